@@ -523,7 +523,7 @@ def q_index_category(spark, sf):
 
 
 def _apply_index_sql(fs: str, key, cols, extra=()) -> str:
-    sel = list(key) + list(extra)
+    sel = [f"{fs}.{c}" for c in key] + [f"{fs}.{c} AS {c}" if c.isidentifier() else c for c in extra]
     joins = []
     for i, c in enumerate(cols):
         sel.append(f"coalesce(i{i}.idx, (SELECT CAST(n_labels AS DOUBLE) FROM sizes WHERE feature = '{c}'), 0.0) "
@@ -594,14 +594,16 @@ def _scale_sql(kind: str) -> str:
 def q_standard_scale(spark, sf):
     df, spec = lineitem_returns(spark, sf)
     filled = clean.fill_numeric_zero(df.select(*spec.key, *spec.numeric), list(spec.numeric))
-    return rounded(encode.standard_scale(filled, spec.numeric))
+    out = encode.standard_scale(filled, spec.numeric)
+    return rounded(out.select(*spec.key, *[f"scaled_{c}" for c in spec.numeric]))
 
 
 @register("max_abs_scale", _scale_sql("maxabs"))
 def q_max_abs_scale(spark, sf):
     df, spec = lineitem_returns(spark, sf)
     filled = clean.fill_numeric_zero(df.select(*spec.key, *spec.numeric), list(spec.numeric))
-    return rounded(encode.max_abs_scale(filled, spec.numeric))
+    out = encode.max_abs_scale(filled, spec.numeric)
+    return rounded(out.select(*spec.key, *[f"scaled_{c}" for c in spec.numeric]))
 
 
 def _pipeline_sql() -> str:

@@ -45,18 +45,28 @@ def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType,
     return lines.select(*cols)
 
 
+NULL_MARKER = "\\N"   # fixed value: how a null is spelled in CSV files
+
+
+def _csv_options(rw, header: bool):
+    """Options shared by the CSV writer and reader: nulls as \\N and no
+    whitespace trimming, so null, '' and ' ' all survive a round trip (with the
+    defaults an empty string and a null both come back as null)."""
+    return (rw.option("header", str(header).lower()).option("nullValue", NULL_MARKER)
+              .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    """CSV sink with a header. Nulls are written as empty fields and empty
-    strings as ``""`` so the two stay distinct on the way back."""
-    (df.write.mode("errorifexists").option("header", str(header).lower())
-       .option("nullValue", "").option("emptyValue", '""').csv(path))
+    """CSV sink with a header."""
+    # empty strings are written quoted ("") so they differ from the null marker
+    _csv_options(df.write.mode("errorifexists"), header).option("emptyValue", '""').csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              header: bool = True) -> DataFrame:
     """CSV scan. With ``schema`` no inference pass runs; without it every column is a string."""
-    reader = spark.read.option("header", str(header).lower()).option("nullValue", "")
+    reader = _csv_options(spark.read, header)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
