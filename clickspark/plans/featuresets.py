@@ -36,8 +36,12 @@ FS_D = FeatureSpec(key=("doc_id",), label="label",
 
 
 def events_clicks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeatureSpec]:
-    ev = read_table(spark, sf_dir, "events")
-    df = ev.select(
+    return events_to_clicks(read_table(spark, sf_dir, "events")), FS_E
+
+
+def events_to_clicks(ev: DataFrame) -> DataFrame:
+    """The FS-E projection; a plain projection, so it also applies to a stream of events."""
+    return ev.select(
         "event_id",
         (F.col("event_type") == "click").cast("int").alias("label"),
         "value",
@@ -46,7 +50,6 @@ def events_clicks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeatureS
         F.col("user_id").cast("string").alias("uid"),
         F.date_format("ts", "EEE").alias("dow"),
     )
-    return df, FS_E
 
 
 def lineitem_returns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeatureSpec]:

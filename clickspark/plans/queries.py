@@ -959,5 +959,38 @@ def q_document_features(spark, sf):
                                           F.avg(F.col("n_words").cast("double")).alias("mean_words")))
 
 
+# ---------------------------------------------------------------------------
+# streaming
+# ---------------------------------------------------------------------------
+
+
+@register("ctr_stream_hourly", """
+SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, count(*) AS n,
+       CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks,
+       round(CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 6) AS ctr
+FROM events GROUP BY 1""")
+def q_ctr_stream_hourly(spark, sf):
+    from clickspark.streaming import run_hourly_ctr
+    return rounded(run_hourly_ctr(spark, f"{sf.rstrip('/')}/events.parquet"))
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, sf):
+    from clickspark.plans.featuresets import events_to_clicks
+    from clickspark.streaming import score_stream
+    df, spec = events_clicks(spark, sf)
+    prep = models.prepare(df, spec)
+    try:
+        res = models.train(prep, "lr", **models.REFERENCE_PARAMS["lr"])
+        path = f"{sf.rstrip('/')}/events.parquet"
+        stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+        feats = clean.fill_numeric_zero(events_to_clicks(stream), list(spec.numeric))
+        sink = scratch_path(spark, "scored")
+        score_stream(feats, prep.pipeline, res.model, spec.key, sink, scratch_path(spark, "scored-ckpt"))
+        return spark.read.parquet(sink)
+    finally:
+        prep.unpersist()
+
+
 def feature_spec_of(name: str) -> FeatureSpec:
     return {"events": FS_E, "lineitem": FS_L}[name]
