@@ -977,13 +977,13 @@ def q_ctr_stream_hourly(spark, sf):
 @register("stream_scoring")
 def q_stream_scoring(spark, sf):
     from clickspark.plans.featuresets import events_to_clicks
-    from clickspark.streaming import score_stream
+    from clickspark.streaming import file_stream, score_stream
     df, spec = events_clicks(spark, sf)
     prep = models.prepare(df, spec)
     try:
         res = models.train(prep, "lr", **models.REFERENCE_PARAMS["lr"])
         path = f"{sf.rstrip('/')}/events.parquet"
-        stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+        stream = file_stream(spark, path)
         feats = clean.fill_numeric_zero(events_to_clicks(stream), list(spec.numeric))
         sink = scratch_path(spark, "scored")
         score_stream(feats, prep.pipeline, res.model, spec.key, sink, scratch_path(spark, "scored-ckpt"))

@@ -19,14 +19,46 @@ from pyspark.sql import functions as F
 from clickspark.session import scratch_path
 
 
+def file_stream(spark: SparkSession, source_path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Stream over parquet files. ``source_path`` may be a folder (new files
+    arriving in it) or a file/glob inside one; the schema is taken from the files
+    present now and fixed for the stream."""
+    schema = spark.read.parquet(source_path).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    folder, name = source_path.rstrip("/").rsplit("/", 1)
+    if name.endswith(".parquet") and not any(ch in name for ch in "*?[{"):
+        # the file source treats a plain path as its own base folder; an exact
+        # one-file glob keeps the real folder as the base
+        source_path = f"{folder}/[{name[0]}]{name[1:]}"
+        reader = reader.option("basePath", folder)
+    return reader.parquet(source_path)
+
+
+_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c):
+    """Wall-clock TIMESTAMP_NTZ -> TIMESTAMP instant read as UTC, whatever the
+    session time zone (watermarks need TIMESTAMP)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c))
+
+
+def instant_to_ntz(c):
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH_NTZ)
+
+
 def hourly_ctr_stream(events: DataFrame, window: str = "1 hour", watermark: str = "2 hours",
                       label_expr=None) -> DataFrame:
-    """Streaming (or batch) aggregate: window_start, n, clicks per window."""
+    """Streaming (or batch) aggregate: window start (wall clock), n, clicks per window."""
     label = label_expr if label_expr is not None else (F.col("event_type") == "click").cast("int")
-    return (events.select(F.col("ts"), label.alias("label"))
-                  .withWatermark("ts", watermark)
-                  .groupBy(F.window("ts", window).alias("w"))
-                  .agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("clicks")))
+    ts = F.col("ts")
+    is_ntz = dict(events.dtypes).get("ts") == "timestamp_ntz"
+    return (events.select((ntz_to_instant(ts) if is_ntz else ts).alias("et"), label.alias("label"))
+                  .withWatermark("et", watermark)
+                  .groupBy(F.window("et", window).alias("w"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("clicks"))
+                  .select((instant_to_ntz(F.col("w.start")) if is_ntz else F.col("w.start")).alias("window_start"),
+                          "n", "clicks"))
 
 
 def consolidate_changelog(changelog: DataFrame) -> DataFrame:
@@ -41,15 +73,12 @@ def consolidate_changelog(changelog: DataFrame) -> DataFrame:
 def run_hourly_ctr(spark: SparkSession, source_path: str, changelog_path: str | None = None,
                    checkpoint_path: str | None = None, max_files_per_trigger: int = 1) -> DataFrame:
     """Run the stream over everything available now, then return the consolidated table."""
-    schema = spark.read.parquet(source_path).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_path))
+    stream = file_stream(spark, source_path, max_files_per_trigger)
     changelog_path = changelog_path or scratch_path(spark, "ctr-changelog")
     checkpoint_path = checkpoint_path or scratch_path(spark, "ctr-stream-ckpt")
 
     def write_batch(batch: DataFrame, batch_id: int):
-        (batch.select(F.col("w.start").alias("window_start"), "n", "clicks",
-                      F.lit(batch_id).cast("bigint").alias("batch_id"))
+        (batch.select("window_start", "n", "clicks", F.lit(batch_id).cast("bigint").alias("batch_id"))
               .write.mode("append").parquet(changelog_path))
 
     q = (hourly_ctr_stream(stream).writeStream.outputMode("update")
