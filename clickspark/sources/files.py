@@ -64,11 +64,15 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             header: bool = True) -> DataFrame:
-    """CSV scan. With ``schema`` no inference pass runs; without it every column is a string."""
+             header: bool = True, infer: bool = False) -> DataFrame:
+    """CSV scan. With ``schema`` no inference pass runs (the production path);
+    ``infer=True`` samples the files for types (an extra full pass); otherwise
+    every column is a string."""
     reader = _csv_options(spark.read, header)
     if schema is not None:
         reader = reader.schema(schema)
+    elif infer:
+        reader = reader.option("inferSchema", "true")
     return reader.csv(path)
 
 

@@ -1,14 +1,19 @@
 """Incremental click-through rate per event-time window.
 
-``readStream`` over the event files -> label expression -> watermark ->
-``groupBy(window(ts))`` counts. The aggregate runs in *update* mode: each
-micro-batch emits the windows it changed, and ``foreachBatch`` appends them,
-tagged with the batch id, to a changelog table in the shared checkpoint folder.
-The current result is the latest row per window (one grouped aggregate over the
-changelog). Update mode keeps open windows visible -- append mode would hold
-back every window the watermark has not yet closed, including the last ones of
-a finite input -- while the watermark still bounds the state: windows older
-than the watermark are dropped from the state store.
+Two shapes:
+
+* ``run_hourly_ctr`` (exact, used by the registered query): ``readStream`` over
+  the event files; every micro-batch aggregates ITS OWN rows per window and
+  writes that partial result to ``<changelog>/batch_id=N`` (overwritten if the
+  batch is retried, so each batch counts exactly once). The current table is
+  the sum of the partials per window, one grouped aggregate. No state store is
+  needed, and rows arriving late are added to their window instead of being
+  dropped or re-counted.
+* ``hourly_ctr_stream``: Spark's stateful windowed aggregate with a watermark,
+  for live sinks in update mode (dashboards). Its rows are running values per
+  window; Structured Streaming does not promise to drop rows older than the
+  watermark, and a late row for an evicted window restarts that window's
+  count, so its output must not be consolidated by "latest row wins".
 """
 
 from __future__ import annotations
@@ -19,6 +24,20 @@ from pyspark.sql import functions as F
 from clickspark.session import scratch_path
 
 
+def _epoch_ntz():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c):
+    """Wall-clock TIMESTAMP_NTZ -> TIMESTAMP instant read as UTC, whatever the
+    session time zone (watermarks need TIMESTAMP)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+
+
+def instant_to_ntz(c):
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+
+
 def file_stream(spark: SparkSession, source_path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Stream over parquet files. ``source_path`` may be a folder (new files
     arriving in it) or a file/glob inside one; the schema is taken from the files
@@ -34,23 +53,21 @@ def file_stream(spark: SparkSession, source_path: str, max_files_per_trigger: in
     return reader.parquet(source_path)
 
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
-def ntz_to_instant(c):
-    """Wall-clock TIMESTAMP_NTZ -> TIMESTAMP instant read as UTC, whatever the
-    session time zone (watermarks need TIMESTAMP)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c))
+def click_label(event_type: str = "event_type", click_value: str = "click"):
+    return (F.col(event_type) == click_value).cast("int")
 
 
-def instant_to_ntz(c):
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH_NTZ)
+def window_counts(events: DataFrame, window: str = "1 hour", label_expr=None) -> DataFrame:
+    """(window_start, n, clicks) of a batch of events; window_start keeps the type of ``ts``."""
+    label = label_expr if label_expr is not None else click_label()
+    return (events.groupBy(F.window("ts", window).start.alias("window_start"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("clicks")))
 
 
 def hourly_ctr_stream(events: DataFrame, window: str = "1 hour", watermark: str = "2 hours",
                       label_expr=None) -> DataFrame:
-    """Streaming (or batch) aggregate: window start (wall clock), n, clicks per window."""
-    label = label_expr if label_expr is not None else (F.col("event_type") == "click").cast("int")
+    """Stateful running aggregate with a watermark (bounded state) for live update-mode sinks."""
+    label = label_expr if label_expr is not None else click_label()
     ts = F.col("ts")
     is_ntz = dict(events.dtypes).get("ts") == "timestamp_ntz"
     return (events.select((ntz_to_instant(ts) if is_ntz else ts).alias("et"), label.alias("label"))
@@ -62,27 +79,26 @@ def hourly_ctr_stream(events: DataFrame, window: str = "1 hour", watermark: str
 
 
 def consolidate_changelog(changelog: DataFrame) -> DataFrame:
-    """Latest version of every window: (window_start, n, clicks, ctr)."""
-    latest = changelog.groupBy("window_start").agg(
-        F.max_by(F.struct("n", "clicks"), F.col("batch_id")).alias("v"))
-    return latest.select(F.col("window_start").cast("string").alias("window_start"),
-                         F.col("v.n").alias("n"), F.col("v.clicks").alias("clicks"),
-                         (F.col("v.clicks") / F.col("v.n")).alias("ctr"))
+    """Sum the per-batch partials: (window_start, n, clicks, ctr)."""
+    tot = changelog.groupBy("window_start").agg(F.sum("n").cast("bigint").alias("n"),
+                                                F.sum("clicks").cast("bigint").alias("clicks"))
+    return tot.select(F.col("window_start").cast("string").alias("window_start"), "n", "clicks",
+                      (F.col("clicks") / F.col("n")).alias("ctr"))
 
 
 def run_hourly_ctr(spark: SparkSession, source_path: str, changelog_path: str | None = None,
-                   checkpoint_path: str | None = None, max_files_per_trigger: int = 1) -> DataFrame:
-    """Run the stream over everything available now, then return the consolidated table."""
+                   checkpoint_path: str | None = None, max_files_per_trigger: int = 1,
+                   window: str = "1 hour") -> DataFrame:
+    """Process everything available now, then return the consolidated table."""
     stream = file_stream(spark, source_path, max_files_per_trigger)
     changelog_path = changelog_path or scratch_path(spark, "ctr-changelog")
     checkpoint_path = checkpoint_path or scratch_path(spark, "ctr-stream-ckpt")
 
     def write_batch(batch: DataFrame, batch_id: int):
-        (batch.select("window_start", "n", "clicks", F.lit(batch_id).cast("bigint").alias("batch_id"))
-              .write.mode("append").parquet(changelog_path))
+        # overwrite: a retried batch replaces its own partial instead of adding a second one
+        window_counts(batch, window).write.mode("overwrite").parquet(f"{changelog_path}/batch_id={batch_id}")
 
-    q = (hourly_ctr_stream(stream).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint_path)
+    q = (stream.writeStream.option("checkpointLocation", checkpoint_path)
          .foreachBatch(write_batch).trigger(availableNow=True).start())
     q.awaitTermination()
     return consolidate_changelog(spark.read.parquet(changelog_path))
