@@ -16,9 +16,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# fixed value: the characters Python's str.strip() and regex \s treat as ASCII whitespace
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace (tabs and newlines too, unlike ``trim``)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace (tabs and newlines too, unlike a
+    plain ``trim``, which removes spaces only). A character-set trim, no regex."""
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def blank_or_null(c) -> Column:

@@ -53,10 +53,11 @@ def make_classifier(kind: str, weighted: bool = True, seed: int = 2019, **params
     if kind == "lr":
         est = LogisticRegression(**common, **({"weightCol": WEIGHT} if weighted else {}))
     elif kind == "rf":
-        est = RandomForestClassifier(**common, seed=seed, cacheNodeIds=True, checkpointInterval=10,
+        est = RandomForestClassifier(**common, seed=seed, checkpointInterval=10,
                                      **({"weightCol": WEIGHT} if weighted else {}))
     elif kind == "gbt":
-        est = GBTClassifier(**common, seed=seed, cacheNodeIds=True, checkpointInterval=10,
+        # checkpointInterval cuts the lineage of the boosting residuals every 10 trees
+        est = GBTClassifier(**common, seed=seed, checkpointInterval=10,
                             **({"weightCol": WEIGHT} if weighted else {}))
     elif kind == "lsvc":
         est = LinearSVC(**common, **({"weightCol": WEIGHT} if weighted else {}))
@@ -69,6 +70,16 @@ def feature_names(spec: FeatureSpec) -> list[str]:
     return list(spec.numeric) + [c + "_idx" for c in spec.categorical]
 
 
+ROWS_PER_ML_PARTITION = 2_000_000
+
+
+def ml_partitions(spark, n_rows: int) -> int:
+    """Partitions for tables that MLlib scans once per iteration: at least two
+    per core, at most about ROWS_PER_ML_PARTITION rows each."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(2 * cores, -(-n_rows // ROWS_PER_ML_PARTITION))
+
+
 def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
     stages = []
     if spec.categorical:
@@ -92,18 +103,35 @@ class Prepared:
 
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
             persist: bool = True) -> Prepared:
-    """Steps 1-5 of the module docstring."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Steps 1-5 of the module docstring.
+
+    The base table (joins, fill, split) is persisted while the feature pipeline
+    and the weights are fitted -- three passes that would otherwise each
+    recompute the joins -- and released once the featurised train/test tables
+    are materialised.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
     base = hash_split(base, spec, train_fraction, seed)
+    parts = None
+    if persist:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        parts = ml_partitions(spark, base.count())
     train_raw = base.where(F.col("split") == "train")
     pipe = fit_feature_pipeline(train_raw, spec)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT)
     test = pipe.transform(base.where(F.col("split") == "test")).select(*keep).withColumn(WEIGHT, F.lit(1.0))
     if persist:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        test = test.persist(StorageLevel.MEMORY_AND_DISK)
+        # every fit makes many passes: spread the rows over all cores (AQE may
+        # have coalesced the join output to a few partitions); hashing the key
+        # keeps the layout identical when a lost partition is recomputed
+        train = train.repartition(parts, *spec.key).persist(StorageLevel.MEMORY_AND_DISK)
+        test = test.repartition(parts, *spec.key).persist(StorageLevel.MEMORY_AND_DISK)
+        train.count()
+        test.count()
+        base.unpersist()
     return Prepared(spec, pipe, train, test)
 
 

@@ -111,32 +111,23 @@ def describe_all_fields(df: DataFrame, columns: Sequence[str] | None = None) ->
     """Per field, strings included: type, non-null count, null count, exact distinct count,
     and min/max of string fields (null for other types).
 
-    Distinct counts use unpivot + two-level grouping, so the per-value work is
-    spread over all reducers instead of one Expand per column.
+    One scan: the fields are unpivoted to (feature, value) and counted per
+    distinct pair (map-side combined, so a hot value is one row per task); a
+    second, small aggregate over those pairs yields every statistic.
     """
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    base = null_profile(df, cols)
-    distinct = (melt(df, cols).where(F.col("value").isNotNull())
-                .groupBy("feature", "value").agg(F.lit(1).alias("_one"))
-                .groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct")))
     strings = [c for c in cols if isinstance(types[c], T.StringType)]
-    if strings:
-        aggs = []
-        for i, c in enumerate(strings):
-            aggs += [F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}")]
-        mm = _explode_stats(df.agg(*aggs), [F.struct(F.lit(c).alias("feature"), F.col(f"a{i}").alias("min_str"),
-                                                      F.col(f"b{i}").alias("max_str"))
-                                             for i, c in enumerate(strings)])
-    else:
-        mm = df.sparkSession.createDataFrame([], "feature string, min_str string, max_str string")
+    pairs = melt(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    is_str = F.col("feature").isin(strings) if strings else F.lit(False)
+    stats = pairs.groupBy("feature").agg(
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).cast("bigint").alias("n_non_null"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("bigint").alias("n_null"),
+        F.count("value").alias("n_distinct"),
+        F.min("value").alias("_min"), F.max("value").alias("_max"))
     dtype = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c].simpleString()))])
-    # all three inputs hold one row per column (a bound of len(cols)), so the joins are tiny
-    return (base.join(distinct, "feature", "left").join(mm, "feature", "left")
-                .select("feature", dtype[F.col("feature")].alias("dtype"),
-                        (F.col("n_rows") - F.col("n_null")).alias("n_non_null"), "n_null",
-                        F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"),
-                        "min_str", "max_str"))
+    return stats.select("feature", dtype[F.col("feature")].alias("dtype"), "n_non_null", "n_null", "n_distinct",
+                        F.when(is_str, F.col("_min")).alias("min_str"), F.when(is_str, F.col("_max")).alias("max_str"))
 
 
 # --- categories -------------------------------------------------------------
