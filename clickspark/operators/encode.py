@@ -10,9 +10,10 @@ computed two ways:
   under ``max_broadcast_labels``; otherwise it is a shuffle join (AQE splits a
   hot value's partition).
 * ``string_indexer``: MLlib's ``StringIndexer`` for ``Pipeline`` use. It brings
-  every label to the driver, so ``checked_string_indexer`` first measures the
-  cardinality and refuses columns above the bound (use the join path or
-  ``hashed_index`` for those).
+  every label to the driver, so the model pipeline first estimates each
+  column's cardinality (``cardinality_split``) and gives columns above the
+  bound a hashed ordinal index (``hashed_index_stage``) instead;
+  ``checked_string_indexer`` refuses such columns outright.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ from clickspark.operators.prefix import global_rank
 from clickspark.operators.profile import melt
 from clickspark.spec import FeatureSpec
 
-MAX_BROADCAST_LABELS = 1_000_000
+# labels per column that may be broadcast (or sent to the driver by StringIndexer):
+# about 10-20 MB per column, so a few dozen columns stay well inside executor memory
+MAX_BROADCAST_LABELS = 250_000
 
 
 # --- category index -----------------------------------------------------------
@@ -92,6 +95,24 @@ def checked_string_indexer(df: DataFrame, columns: Sequence[str], suffix: str =
     return string_indexer(columns, suffix)
 
 
+def cardinality_split(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_BROADCAST_LABELS):
+    """(bounded, unbounded) columns by an HLL estimate: one aggregate, one row to the driver."""
+    if not columns:
+        return [], []
+    row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    small = [c for i, c in enumerate(columns) if row[f"d{i}"] <= max_labels]
+    return small, [c for c in columns if c not in small]
+
+
+def hashed_index_stage(columns: Sequence[str], buckets: int, suffix: str = "_idx"):
+    """Pipeline stage for unbounded cardinality: index = xxhash64(value) mod buckets,
+    null -> buckets. No label table exists anywhere, so nothing reaches the driver."""
+    from pyspark.ml.feature import SQLTransformer
+    exprs = ", ".join(f"CASE WHEN `{c}` IS NULL THEN CAST({buckets} AS DOUBLE) "
+                      f"ELSE CAST(pmod(xxhash64(`{c}`), {buckets}) AS DOUBLE) END AS `{c}{suffix}`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
+
+
 def hashed_index(df: DataFrame, columns: Sequence[str], buckets: int, suffix: str = "_idx") -> DataFrame:
     """Hashing-trick index for unbounded cardinality: no label table at all."""
     return df.withColumns({c + suffix: F.when(F.col(c).isNull(), F.lit(float(buckets)))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.clean import fill_numeric_zero
-from clickspark.operators.encode import checked_string_indexer, class_weights
+from clickspark.operators.encode import cardinality_split, class_weights, hashed_index_stage, string_indexer
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
 from clickspark.session import ensure_checkpoint_dir
@@ -80,10 +80,22 @@ def ml_partitions(spark, n_rows: int) -> int:
     return max(2 * cores, -(-n_rows // ROWS_PER_ML_PARTITION))
 
 
+HASH_BUCKETS = 1 << 20
+
+
 def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
+    """Indexer(s) -> assembler -> scaler, fitted on ``train``.
+
+    Categorical columns whose estimated label count is within the broadcast
+    bound get a frequency-ranked ``StringIndexer`` (labels go through the
+    driver); the others get a hashed ordinal index, which needs no label table.
+    """
     stages = []
-    if spec.categorical:
-        stages.append(checked_string_indexer(train, spec.categorical))
+    small, large = cardinality_split(train, spec.categorical)
+    if small:
+        stages.append(string_indexer(small))
+    if large:
+        stages.append(hashed_index_stage(large, HASH_BUCKETS))
     stages += [VectorAssembler(inputCols=feature_names(spec), outputCol="features"),
                StandardScaler(inputCol="features", outputCol=FEATURES, withStd=True, withMean=False)]
     return Pipeline(stages=stages).fit(train)

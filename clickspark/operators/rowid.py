@@ -25,7 +25,14 @@ from clickspark.spec import FeatureSpec
 
 def stable_row_id(df: DataFrame, spec: FeatureSpec, name: str = "row_id",
                   partitions: int | None = None) -> DataFrame:
-    return global_rank(df, [F.col(k).asc() for k in spec.key], name=name, partitions=partitions)
+    """Dense ids in key order. A hash of the whole row breaks ties, so a key
+    that (against the contract) repeats for many rows still spreads over
+    several ranges instead of landing in one partition, and duplicates get
+    reproducible ids."""
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    ranked = global_rank(df.withColumn("_tie", tie), [*[F.col(k).asc() for k in spec.key], F.col("_tie").asc()],
+                         name=name, partitions=partitions)
+    return ranked.drop("_tie")
 
 
 def split_by_columns(df: DataFrame, key: Sequence[str], groups: Sequence[Sequence[str]]) -> list[DataFrame]:

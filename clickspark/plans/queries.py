@@ -11,14 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickspark.operators import clean, encode, evaluate, models, profile, rowid, sample, select, theory, tuning
 from clickspark.plans.featuresets import (
+    FS_D,
     FS_E,
     FS_L,
+    SQL_FS_D,
     SQL_FS_E,
     SQL_FS_L,
     documents_toxic,
@@ -230,6 +232,12 @@ def q_correlated_pairs(spark, sf):
     return rounded(profile.correlated_pairs(df, spec.numeric, 0.5))
 
 
+@register("correlated_pairs_documents", _corr_sql("fs_d", SQL_FS_D, list(FS_D.numeric), threshold=0.5))
+def q_correlated_pairs_documents(spark, sf):
+    df, spec = documents_toxic(spark, sf)
+    return rounded(profile.correlated_pairs(df, spec.numeric, 0.5))
+
+
 _E_PAIRS = [(a, b) for i, a in enumerate(E_NUM) for b in E_NUM[i + 1:]]
 
 
@@ -437,8 +445,7 @@ def q_preview_transposed(spark, sf):
     df, spec = events_clicks(spark, sf)
     top = df.select(*spec.columns).orderBy("event_id").limit(5)
     # limit(5) is the feature: five rows, so numbering them needs no distributed rank
-    top = top.withColumn("row_n", (F.row_number().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("event_id")) - 1).cast("int"))
+    top = top.withColumn("row_n", (F.row_number().over(Window.orderBy("event_id")) - 1).cast("int"))
     long = profile.melt(top, list(spec.columns), keep=["row_n"])
     return long
 
@@ -506,10 +513,8 @@ def q_kfold_assign(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _index_sql(fs: str, cols, where: str = "") -> str:
-    w = f" WHERE {where}" if where else ""
     body = _union(fs, cols, "'{c}' AS feature, CAST({c} AS VARCHAR) AS value", where="{c} IS NOT NULL" +
                   (f" AND {where}" if where else ""))
-    del w
     return (f"cnt AS (SELECT feature, value, count(*) AS n FROM ({body}) u GROUP BY feature, value),\n"
             f"idx AS (SELECT feature, value, n, CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 "
             f"AS DOUBLE) AS idx FROM cnt),\n"
@@ -947,10 +952,7 @@ def q_compare_classifiers(spark, sf):
     return models.compare_classifiers(df, spec)
 
 
-@register("document_features", _with("""fs_d AS (
-  SELECT d.doc_id, lb.toxic AS label, d.n_chars,
-         CAST(len(string_split_regex(d.text, '\\s+')) AS BIGINT) AS n_words, d.lang, d.source
-  FROM documents d JOIN labels lb ON d.doc_id = lb.doc_id)""") + """
+@register("document_features", _with(SQL_FS_D) + """
 SELECT lang, count(*) AS n, CAST(sum(label) AS BIGINT) AS toxic, round(avg(CAST(n_words AS DOUBLE)), 6) AS mean_words
 FROM fs_d GROUP BY lang""")
 def q_document_features(spark, sf):

@@ -128,3 +128,21 @@ def test_feature_steps_keep_row_count(spark):
     enc = encode.apply_category_index(df, encode.index_category(df, spec.categorical), spec.categorical)
     assert enc.count() == n
     assert vector_to_array is not None and pd is not None
+
+
+def test_results_independent_of_partitioning(spark):
+    df, spec = lineitem_returns(spark, SF_SMALL)
+    df = df.persist()
+    other = df.repartition(7, "l_partkey")
+
+    def rows(d):
+        return sorted(tuple(r) for r in d.collect())
+    assert rows(encode.index_category(df, spec.categorical)) == rows(encode.index_category(other, spec.categorical))
+    a = evaluate.auc_exact(df, "label", "l_quantity").first()["auc"]
+    b = evaluate.auc_exact(other, "label", "l_quantity").first()["auc"]
+    assert a == pytest.approx(b, abs=1e-15)
+    from clickspark.operators import rowid
+    assert rows(rowid.stable_row_id(df.select(*spec.key), spec)) == rows(rowid.stable_row_id(other.select(*spec.key), spec))
+    from clickspark.operators import profile
+    assert rows(profile.ctr_by_category(df, spec)) == rows(profile.ctr_by_category(other, spec))
+    df.unpersist()

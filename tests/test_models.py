@@ -74,3 +74,19 @@ def test_explain_params(spark):
     from pyspark.ml.classification import GBTClassifier
     rows = tuning.explain_params(GBTClassifier()).collect()
     assert {"maxIter", "maxDepth"} <= {r["param"] for r in rows}
+
+
+def test_high_cardinality_column_uses_hashed_index(spark, monkeypatch):
+    from clickspark.operators import encode
+    df, spec = events_clicks(spark, SF_SMALL)
+    # pretend the bound is tiny so 'uid' (150 values) counts as unbounded
+    monkeypatch.setattr(encode, "MAX_BROADCAST_LABELS", 10)
+    monkeypatch.setattr(models, "cardinality_split",
+                        lambda d, cols: encode.cardinality_split(d, cols, max_labels=10))
+    prep = models.prepare(df, spec)
+    try:
+        kinds = [type(s).__name__ for s in prep.pipeline.stages]
+        assert "SQLTransformer" in kinds and "StringIndexerModel" in kinds
+        assert prep.train.count() + prep.test.count() == df.count()
+    finally:
+        prep.unpersist()
