@@ -70,14 +70,17 @@ def feature_names(spec: FeatureSpec) -> list[str]:
     return list(spec.numeric) + [c + "_idx" for c in spec.categorical]
 
 
-ROWS_PER_ML_PARTITION = 2_000_000
+MAX_ROWS_PER_ML_PARTITION = 2_000_000
+MIN_ROWS_PER_ML_PARTITION = 50_000
 
 
 def ml_partitions(spark, n_rows: int) -> int:
-    """Partitions for tables that MLlib scans once per iteration: at least two
-    per core, at most about ROWS_PER_ML_PARTITION rows each."""
+    """Partitions for tables that MLlib scans once per iteration: two per core
+    when there are enough rows (a task per few rows only adds scheduling cost
+    to every iteration), and never more than MAX_ROWS_PER_ML_PARTITION rows each."""
     cores = spark.sparkContext.defaultParallelism
-    return max(2 * cores, -(-n_rows // ROWS_PER_ML_PARTITION))
+    by_cores = min(2 * cores, max(1, -(-n_rows // MIN_ROWS_PER_ML_PARTITION)))
+    return max(by_cores, -(-n_rows // MAX_ROWS_PER_ML_PARTITION))
 
 
 HASH_BUCKETS = 1 << 20
