@@ -33,10 +33,6 @@ from pyspark.sql import types as T
 from clickspark.session import checkpoint
 
 
-def _default_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _local_running(group: list[str], sums: list[str]):
     """mapInPandas body: inclusive running count and sums per group within one range."""
 
@@ -86,10 +82,12 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = ()
     as the last tie-breaker).
     """
     group, sums = list(group), list(sums)
-    parts = partitions or _default_partitions(df)
     keys = [F.col(g) for g in group] + list(order)
-    ranged = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-                .withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count AQE may merge adjacent small ranges after the
+    # shuffle; merged ranges stay contiguous, and the partition id is read after
+    # the merge, so ordering by it is still the global order.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
     out_schema = T.StructType(ranged.schema.fields + [T.StructField("_lseq", T.LongType())] +
                               [T.StructField(f"_lc_{s}", T.DoubleType()) for s in sums])
     local = checkpoint(ranged.mapInPandas(_local_running(group, sums), out_schema))

@@ -85,6 +85,23 @@ def test_prefix_sums_match_pandas(spark):
     assert (m["seq"] == m["seq_r"]).all() and (m["cum_p"] == m["cum_p_r"]).all()
 
 
+def test_prefix_sums_default_ranges_with_aqe(spark):
+    # no explicit range count: AQE may merge adjacent ranges; sums must stay exact
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        df = spark.range(0, 30000).select((F.rand(11) * 1000).cast("int").alias("s"), F.col("id"),
+                                          (F.col("id") % 5 == 0).cast("int").alias("p"))
+        got = prefix.prefix_sums(df, [F.col("s").asc(), F.col("id").asc()], ["p"]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    src = df.toPandas().sort_values(["s", "id"])
+    src["seq"] = np.arange(len(src))
+    src["cum_p"] = src["p"].cumsum()
+    m = src.merge(got, on=["s", "id", "p"], suffixes=("", "_r"))
+    assert len(m) == 30000 and (m["seq"] == m["seq_r"]).all() and (m["cum_p"] == m["cum_p_r"]).all()
+
+
 def test_index_category_matches_string_indexer(spark):
     df, spec = lineitem_returns(spark, SF_MID)
     ours = {(r["feature"], r["value"]): r["idx"] for r in encode.index_category(df, spec.categorical).collect()}
