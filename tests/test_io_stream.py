@@ -107,3 +107,11 @@ def test_stream_scoring_query_rows(spark):
     assert out.count() == read_table(spark, SF_SMALL, "events").count()
     assert set(out.columns) == {"event_id", "prediction", "score"}
     assert pytest is not None
+
+
+def test_stream_ctr_empty_source(spark):
+    ev = read_table(spark, SF_SMALL, "events")
+    folder = scratch_path(spark, "events-empty")
+    ev.where(F.lit(False)).coalesce(1).write.parquet(f"{folder}/part0")
+    out = run_hourly_ctr(spark, f"{folder}/part*")
+    assert out.count() == 0 and out.columns == ["window_start", "n", "clicks", "ctr"]
