@@ -49,6 +49,15 @@ def train_test(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, se
     return df.where(s == "train"), df.where(s == "test")
 
 
+def split_counts(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019) -> DataFrame:
+    """(split, n, n_pos, ctr): sizes of both parts in ONE aggregate (two counts
+    would be two full passes)."""
+    y = F.col(spec.label)
+    return (hash_split(df, spec, train_fraction, seed).groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(y == 1).alias("n_pos"),
+                 F.avg((y == 1).cast("double")).alias("ctr")))
+
+
 def kfold_assign(df: DataFrame, spec: FeatureSpec, k: int = 3, seed: int = 2019, col: str = "fold") -> DataFrame:
     """Fold number in [0, k) from the key; usable as ``CrossValidator(foldCol=...)``."""
     return df.withColumn(col, F.pmod(hex_bucket(spec.key, f"-fold-{seed}", 8), F.lit(k)).cast("int"))

@@ -66,6 +66,9 @@ L_NUM, L_CAT = list(FS_L.numeric), list(FS_L.categorical)
 L_KEY = list(FS_L.key)
 L_KEY_SQL = ", ".join(L_KEY)
 E_COLS = ", ".join(FS_E.columns)
+_L_SPLIT = ("CASE WHEN substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), "
+            "CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) || '-2019'), 1, 4) < 'b333' "
+            "THEN 'train' ELSE 'test' END")
 L_COLS = ", ".join(FS_L.columns)
 
 # ---------------------------------------------------------------------------
@@ -500,6 +503,14 @@ def q_hash_split(spark, sf):
     return sample.hash_split(df.select(*spec.key, spec.label), spec)
 
 
+@register("split_counts", _with(SQL_FS_L) + f"""
+SELECT split, count(*) AS n, count(*) FILTER (WHERE label = 1) AS n_pos, round(avg(CAST(label = 1 AS DOUBLE)), 6) AS ctr
+FROM (SELECT label, {_L_SPLIT} AS split FROM fs_l) t GROUP BY split""")
+def q_split_counts(spark, sf):
+    df, spec = lineitem_returns(spark, sf)
+    return rounded(sample.split_counts(df, spec))
+
+
 @register("kfold_assign", _with(SQL_FS_E) + f"""
 SELECT event_id, CAST(CAST(('0x' || substr(md5({_E_KEY_STR} || '-fold-2019'), 1, 8)) AS BIGINT) % 3 AS INTEGER) AS fold
 FROM fs_e""")
@@ -539,9 +550,6 @@ def _apply_index_sql(fs: str, key, cols, extra=()) -> str:
 
 _L_BRAND_NULL = SQL_FS_L.replace("CASE WHEN p.p_brand = 'Brand#1' THEN '' ELSE p.p_brand END",
                                  "CASE WHEN p.p_brand = 'Brand#1' THEN NULL ELSE p.p_brand END")
-_L_SPLIT = ("CASE WHEN substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), "
-            "CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) || '-2019'), 1, 4) < 'b333' "
-            "THEN 'train' ELSE 'test' END")
 
 
 @register("index_category_keep", _with(_L_BRAND_NULL, _index_sql("fs_l", L_CAT, where=f"{_L_SPLIT} = 'train'"))

@@ -90,3 +90,14 @@ def test_high_cardinality_column_uses_hashed_index(spark, monkeypatch):
         assert prep.train.count() + prep.test.count() == df.count()
     finally:
         prep.unpersist()
+
+
+def test_hashed_index_stage_matches_function(spark):
+    from clickspark.operators import encode
+    df, spec = events_clicks(spark, SF_SMALL)
+    df = df.withColumn("uid", F.when(F.col("event_id") == 0, None).otherwise(F.col("uid")))
+    a = encode.hashed_index_stage(["uid"], 97).transform(df).select("event_id", "uid_idx")
+    b = encode.hashed_index(df, ["uid"], 97).select("event_id", "uid_idx")
+    assert a.subtract(b).count() == 0 and a.count() == df.count()
+    vals = [r["uid_idx"] for r in a.collect()]
+    assert all(0 <= v < 97 or v == 97 for v in vals) and 97.0 in vals
