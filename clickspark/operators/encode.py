@@ -83,20 +83,19 @@ def string_indexer(columns: Sequence[str], suffix: str = "_idx", handle_invalid:
 
 
 def checked_string_indexer(df: DataFrame, columns: Sequence[str], suffix: str = "_idx",
-                           max_labels: int = MAX_BROADCAST_LABELS) -> StringIndexer:
+                           max_labels: int | None = None) -> StringIndexer:
     """``StringIndexer`` after verifying that every column's labels fit the driver bound."""
-    if columns:
-        # a bound check only needs a rough count: one HLL per column in one aggregate, no unpivot
-        row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-        big = [c for i, c in enumerate(columns) if row[f"d{i}"] > max_labels]
-        if big:
-            raise ValueError(f"columns {big} exceed {max_labels} labels; use apply_category_index "
-                             "or hashed_index for them")
+    _, big = cardinality_split(df, columns, max_labels)
+    if big:
+        raise ValueError(f"columns {big} exceed {max_labels or MAX_BROADCAST_LABELS} labels; "
+                         "use apply_category_index or hashed_index for them")
     return string_indexer(columns, suffix)
 
 
-def cardinality_split(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_BROADCAST_LABELS):
-    """(bounded, unbounded) columns by an HLL estimate: one aggregate, one row to the driver."""
+def cardinality_split(df: DataFrame, columns: Sequence[str], max_labels: int | None = None):
+    """(bounded, unbounded) columns by an HLL estimate: one aggregate, one row to the driver.
+    A bound check needs only a rough count, so the estimate is coarse (5 %)."""
+    max_labels = max_labels or MAX_BROADCAST_LABELS
     if not columns:
         return [], []
     row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
