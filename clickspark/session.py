@@ -28,6 +28,8 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # checkpoints written by prefix sums are removed once their DataFrame is gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CLICKSPARK_DRIVER_MEMORY", "16g"))
