@@ -57,8 +57,8 @@ def roc_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
     counts = score_counts(pred, label, score)
     run = prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions)
     pts = run.select(F.col("score").alias("threshold"),
-                     (F.col("cum_n") / F.col("total_n")).alias("fpr"),
-                     (F.col("cum_p") / F.col("total_p")).alias("tpr"))
+                     F.try_divide(F.col("cum_n"), F.col("total_n")).alias("fpr"),
+                     F.try_divide(F.col("cum_p"), F.col("total_p")).alias("tpr"))
     if with_origin:
         origin = pred.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")
         pts = origin.unionByName(pts)
@@ -70,8 +70,8 @@ def pr_curve(pred: DataFrame, label: str, score, partitions: int | None = None)
     counts = score_counts(pred, label, score)
     run = prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions)
     return run.select(F.col("score").alias("threshold"),
-                      (F.col("cum_p") / F.col("total_p")).alias("recall"),
-                      (F.col("cum_p") / (F.col("cum_p") + F.col("cum_n"))).alias("precision"))
+                      F.try_divide(F.col("cum_p"), F.col("total_p")).alias("recall"),
+                      F.try_divide(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"))
 
 
 def confusion_matrix(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -97,8 +97,8 @@ def weighted_metrics(pred: DataFrame, label: str, prediction: str = "prediction"
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
     fpr = F.when(F.col("N") - F.col("n_c") > 0,
                  (F.col("pred_c") - F.col("tp")) / (F.col("N") - F.col("n_c"))).otherwise(0.0)
-    w = F.col("n_c") / F.col("N")
-    agg = t.agg((F.sum("tp") / F.max("N")).alias("accuracy"),
+    w = F.try_divide(F.col("n_c"), F.col("N"))
+    agg = t.agg(F.try_divide(F.sum("tp"), F.max("N")).alias("accuracy"),
                 F.sum(w * prec).alias("weighted_precision"),
                 F.sum(w * rec).alias("weighted_recall"),
                 F.sum(w * f1).alias("weighted_f1"),

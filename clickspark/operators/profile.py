@@ -102,7 +102,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
                                               for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("feature"), F.col("_n").alias("n_rows"), F.col(f"z{i}").alias("n_null"),
-                     (F.col(f"z{i}") * 100.0 / F.col("_n")).alias("pct_null"))
+                     F.try_divide(F.col(f"z{i}") * 100.0, F.col("_n")).alias("pct_null"))
             for i, c in enumerate(cols)]
     return _explode_stats(wide, rows)
 

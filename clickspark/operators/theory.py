@@ -62,7 +62,7 @@ def label_entropy(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """(n, n_pos, entropy) of the label, natural log."""
     y = F.col(spec.label)
     agg = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(y == 1).alias("n_pos"))
-    p = F.col("n_pos") / F.col("n")
+    p = F.try_divide(F.col("n_pos"), F.col("n"))
     return agg.select("n", "n_pos", (entropy_term(p) + entropy_term(F.lit(1.0) - p)).alias("entropy"))
 
 

@@ -721,7 +721,7 @@ def _scaled_events(spark, sf):
     df, spec = events_clicks(spark, sf)
     mx = df.agg(*[F.max(F.abs(F.col(c).cast("double"))).alias(c) for c in spec.numeric]).first()
     scaled = df.select(*spec.key, spec.label,
-                       *[(F.col(c).cast("double") / F.lit(float(mx[c]))).alias(c) for c in spec.numeric])
+                       *[F.try_divide(F.col(c).cast("double"), F.lit(float(mx[c]))).alias(c) for c in spec.numeric])
     return scaled, spec
 
 

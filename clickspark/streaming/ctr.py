@@ -84,7 +84,7 @@ def consolidate_changelog(changelog: DataFrame) -> DataFrame:
     tot = changelog.groupBy("window_start").agg(F.sum("n").cast("bigint").alias("n"),
                                                 F.sum("clicks").cast("bigint").alias("clicks"))
     return tot.select(F.col("window_start").cast("string").alias("window_start"), "n", "clicks",
-                      (F.col("clicks") / F.col("n")).alias("ctr"))
+                      F.try_divide(F.col("clicks"), F.col("n")).alias("ctr"))
 
 
 def run_hourly_ctr(spark: SparkSession, source_path: str, changelog_path: str | None = None,

@@ -163,3 +163,16 @@ def test_results_independent_of_partitioning(spark):
     from clickspark.operators import profile
     assert rows(profile.ctr_by_category(df, spec)) == rows(profile.ctr_by_category(other, spec))
     df.unpersist()
+
+
+def test_degenerate_inputs_do_not_fail_under_ansi(spark):
+    one_class = spark.createDataFrame([(0, 0.1), (0, 0.5)], "label int, s double")
+    roc = evaluate.roc_curve(one_class, "label", "s").collect()
+    assert all(r["tpr"] is None for r in roc if r["threshold"] is not None)
+    assert evaluate.auc_exact(one_class, "label", "s").first()["auc"] is None
+    assert len(evaluate.pr_curve(one_class, "label", "s").collect()) == 2
+    empty = one_class.where("false")
+    from clickspark.operators import profile, theory
+    from clickspark.spec import FeatureSpec
+    assert profile.null_profile(empty).collect()[0]["pct_null"] is None
+    assert theory.label_entropy(empty, FeatureSpec(("s",), "label")).first()["n"] == 0
