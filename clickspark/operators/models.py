@@ -34,7 +34,7 @@ from clickspark.operators.clean import fill_numeric_zero
 from clickspark.operators.encode import cardinality_split, class_weights, hashed_index_stage, string_indexer
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
-from clickspark.session import ensure_checkpoint_dir
+from clickspark.session import ensure_checkpoint_dir, scratch_path
 from clickspark.spec import FeatureSpec
 
 LABEL, FEATURES, WEIGHT = "label_d", "scaled_features", "class_weight"
@@ -117,14 +117,21 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
-            persist: bool = True) -> Prepared:
+            persist: bool = True, materialize: str = "persist") -> Prepared:
     """Steps 1-5 of the module docstring.
 
     The base table (joins, fill, split) is persisted while the feature pipeline
     and the weights are fitted -- three passes that would otherwise each
     recompute the joins -- and released once the featurised train/test tables
     are materialised.
+
+    ``materialize="persist"`` keeps the featurised tables in executor memory and
+    disk (a lost executor's blocks are recomputed through the lineage);
+    ``"write"`` writes them as Parquet into the shared checkpoint folder and
+    reads them back, cutting the lineage for long training jobs.
     """
+    if materialize not in ("persist", "write"):
+        raise ValueError("materialize must be 'persist' or 'write'")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
@@ -142,14 +149,26 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
         # every fit makes many passes: spread the rows over all cores (AQE may
         # have coalesced the join output to a few partitions); hashing the key
         # keeps the layout identical when a lost partition is recomputed
-        train = train.repartition(parts, *spec.key).persist(StorageLevel.MEMORY_AND_DISK)
-        test = test.repartition(parts, *spec.key).persist(StorageLevel.MEMORY_AND_DISK)
+        train = train.repartition(parts, *spec.key)
+        test = test.repartition(parts, *spec.key)
+        if materialize == "write":
+            train = _write_back(train, "train")
+            test = _write_back(test, "test")
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        test = test.persist(StorageLevel.MEMORY_AND_DISK)
         train.count()
         test.count()
         base.unpersist()
     return Prepared(spec, pipe, train, test)
 
 
+def _write_back(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared checkpoint folder and read back (vectors round-trip in Parquet)."""
+    path = scratch_path(df.sparkSession, f"features-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def score_column(kind: str):
     """Score of class 1: rawPrediction[1] orders rows like the evaluator does."""
     return vector_to_array(F.col("rawPrediction"))[1]

@@ -101,3 +101,19 @@ def test_hashed_index_stage_matches_function(spark):
     assert a.subtract(b).count() == 0 and a.count() == df.count()
     vals = [r["uid_idx"] for r in a.collect()]
     assert all(0 <= v < 97 or v == 97 for v in vals) and 97.0 in vals
+
+
+def test_prepare_write_back_matches_persist(planted):
+    df, spec = planted
+    a = models.prepare(df, spec)
+    b = models.prepare(df, spec, materialize="write")
+    try:
+        key = list(spec.key)
+        ra = sorted((r[0], r[1]) for r in a.train.select(*key, models.WEIGHT).collect())
+        rb = sorted((r[0], r[1]) for r in b.train.select(*key, models.WEIGHT).collect())
+        assert ra == rb and b.test.count() == a.test.count()
+        m = models.evaluate(models.train(b, "lr"), spec).collect()
+        assert {r["metric"]: r["value"] for r in m}["auc_test"] > 0.7
+    finally:
+        a.unpersist()
+        b.unpersist()
