@@ -64,3 +64,19 @@ def test_tsv_trailing_empty_fields_and_non_ascii(spark, tmp_path):
     got = sorted(tuple(r) for r in files.read_delimited_text(spark, path, schema, ascii_only=True).collect())
     assert got == [(0, None, 7, None), (1, 3, 4, "caf"), (1, 5, None, "ab")]
     assert glob is not None and pytest is not None
+
+
+def test_t7_scaled_indexes_are_continuous_for_trees(spark):
+    """uid has 150 labels > maxBins 32: trees accept it only as a continuous column."""
+    from clickspark.operators import models
+    from clickspark.plans.featuresets import events_clicks
+    from conftest import SF_SMALL
+    df, spec = events_clicks(spark, SF_SMALL)
+    prep = models.prepare(df, spec)
+    try:
+        meta = prep.train.schema[models.FEATURES].metadata.get("ml_attr", {})
+        assert "nominal" not in meta.get("attrs", {})
+        res = models.train(prep, "rf", numTrees=3)
+        assert res.model.numFeatures == len(models.feature_names(spec))
+    finally:
+        prep.unpersist()
