@@ -51,11 +51,22 @@ def auc_exact(pred: DataFrame, label: str, score, group: Sequence[str] = (),
                        F.col("P").cast("bigint").alias("n_pos"), F.col("N").cast("bigint").alias("n_neg")))
 
 
+def _thin(run: DataFrame, max_points: int | None) -> DataFrame:
+    """Keep the last point of each of ``max_points`` equal-count bins of the
+    score order (a row-wise filter on the running sums: no extra shuffle).
+    Kept points are exact curve points; the final (1, 1) point is always kept."""
+    if not max_points:
+        return run
+    b, seq, tot = F.lit(int(max_points)), F.col("seq"), F.col("total_rows")
+    return run.where(F.floor((seq + 1) * b / tot) > F.floor(seq * b / tot))
+
+
 def roc_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
-              with_origin: bool = True) -> DataFrame:
-    """(threshold, fpr, tpr): one point per distinct score, descending; plus (0, 0)."""
+              with_origin: bool = True, max_points: int | None = None) -> DataFrame:
+    """(threshold, fpr, tpr): one point per distinct score, descending; plus (0, 0).
+    ``max_points`` thins a curve with very many distinct scores (see ``_thin``)."""
     counts = score_counts(pred, label, score)
-    run = prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions)
+    run = _thin(prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions), max_points)
     pts = run.select(F.col("score").alias("threshold"),
                      F.try_divide(F.col("cum_n"), F.col("total_n")).alias("fpr"),
                      F.try_divide(F.col("cum_p"), F.col("total_p")).alias("tpr"))
@@ -65,10 +76,11 @@ def roc_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
     return pts
 
 
-def pr_curve(pred: DataFrame, label: str, score, partitions: int | None = None) -> DataFrame:
+def pr_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
+             max_points: int | None = None) -> DataFrame:
     """(threshold, recall, precision): one point per distinct score, descending."""
     counts = score_counts(pred, label, score)
-    run = prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions)
+    run = _thin(prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions), max_points)
     return run.select(F.col("score").alias("threshold"),
                       F.try_divide(F.col("cum_p"), F.col("total_p")).alias("recall"),
                       F.try_divide(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"))

@@ -176,3 +176,13 @@ def test_degenerate_inputs_do_not_fail_under_ansi(spark):
     from clickspark.spec import FeatureSpec
     assert profile.null_profile(empty).collect()[0]["pct_null"] is None
     assert theory.label_entropy(empty, FeatureSpec(("s",), "label")).first()["n"] == 0
+
+
+def test_thinned_curve_keeps_exact_points(spark):
+    df, _ = events_clicks(spark, SF_SMALL)
+    full = {r["threshold"]: (r["fpr"], r["tpr"]) for r in evaluate.roc_curve(df, "label", "value").collect()}
+    thin = evaluate.roc_curve(df, "label", "value", max_points=50).collect()
+    assert 2 <= len(thin) <= 51
+    for r in thin:
+        assert full[r["threshold"]] == (r["fpr"], r["tpr"])
+    assert max((r["fpr"], r["tpr"]) for r in thin) == (1.0, 1.0)
