@@ -8,7 +8,10 @@ sequential row ids all need exactly that, so they go through this operator:
 1. ``repartitionByRange`` on (group, order): Spark samples the keys and cuts the
    data into balanced, ordered ranges; each range is sorted locally.
 2. ``mapInPandas`` computes running sums inside each range with numpy (the
-   partition's rows are already in order; carries cross Arrow batches).
+   partition's rows are already in order; carries cross Arrow batches). A
+   window partitioned by the range id would do the same in the JVM, but Spark
+   would first re-shuffle the data by that id; here the rows never leave
+   their task.
 3. The result is checkpointed into the shared checkpoint folder, which fixes
    the range assignment (a recomputed range shuffle could cut differently) and
    cuts the lineage, so a lost executor re-reads instead of re-sorting.
