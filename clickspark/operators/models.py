@@ -8,12 +8,15 @@ Shape of a run (the reference's single-job layout, with its traps removed):
 3. feature pipeline (StringIndexer keep -> VectorAssembler -> StandardScaler)
    fitted on the TRAIN rows only, then applied to both parts
 4. class weights from the train rows
-5. the featurized train table is persisted once (every later fit and metric
-   reads it instead of recomputing the joins and the scans)
+5. the featurized train/test tables are repartitioned by key over all cores
+   and persisted once (every later fit and metric reads them instead of
+   recomputing the joins and the scans); optionally written to the shared
+   folder instead
 6. fit, score both parts, exact AUC and weighted metrics as DataFrames
 
-The solvers are MLlib's: each iteration is one distributed aggregate, and tree
-learners checkpoint their node-id cache into the shared checkpoint folder.
+The solvers are MLlib's: each iteration is one distributed aggregate, and
+gradient boosting checkpoints its residuals every 10 trees into the shared
+checkpoint folder, so a long boosting run keeps a short lineage.
 """
 
 from __future__ import annotations
