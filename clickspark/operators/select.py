@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.encode import assemble
-from clickspark.operators.profile import melt
+from clickspark.operators.profile import bin_expr, column_ranges, melt
 from clickspark.spec import FeatureSpec
 
 
@@ -36,6 +36,13 @@ def chi_square_stat(df: DataFrame, spec: FeatureSpec, columns: Sequence[str]) ->
                     ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).cast("bigint").alias("dof")))
 
 
+def bin_numeric(df: DataFrame, columns: Sequence[str], bins: int = 50, suffix: str = "_bin") -> DataFrame:
+    """Equal-width bins (as in the histograms) so continuous features can enter a
+    chi-square test: MLlib refuses features with more than 10000 distinct values."""
+    ranges = column_ranges(df, columns)
+    return df.withColumns({c + suffix: bin_expr(c, *ranges[c], bins).cast("double") for c in columns})
+
+
 def univariate_select(df: DataFrame, spec: FeatureSpec, columns: Sequence[str], mode: str = "fpr",
                       threshold: float = 0.05, feature_type: str = "categorical") -> DataFrame:
     """MLlib selector with an explicit mode; returns (feature, selected).
