@@ -86,17 +86,22 @@ def pr_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
                       F.try_divide(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"))
 
 
-def confusion_matrix(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n)."""
+def confusion_matrix(pred: DataFrame, label: str, prediction: str = "prediction",
+                     weight: str | None = None) -> DataFrame:
+    """(label, prediction, n); with ``weight``, n is the sum of row weights (double)."""
+    n = F.sum(F.col(weight).cast("double")) if weight else F.count(F.lit(1))
     return (pred.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction"))
-                .agg(F.count(F.lit(1)).alias("n")))
+                .agg(n.alias("n")))
 
 
-def weighted_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+def weighted_metrics(pred: DataFrame, label: str, prediction: str = "prediction",
+                     weight: str | None = None) -> DataFrame:
     """(metric, value): accuracy and label-frequency-weighted precision, recall,
     F1, false- and true-positive rate, from the confusion table (at most
-    classes^2 rows, so everything after the first aggregate is tiny)."""
-    cm = confusion_matrix(pred, label, prediction)
+    classes^2 rows, so everything after the first aggregate is tiny). With
+    ``weight`` every count is a sum of row weights, as in MLlib's weighted
+    training summaries."""
+    cm = confusion_matrix(pred, label, prediction, weight)
     per_label = cm.groupBy(F.col("label").alias("c")).agg(F.sum("n").alias("n_c"),
                                                           F.sum(F.when(F.col("label") == F.col("prediction"),
                                                                        F.col("n")).otherwise(0)).alias("tp"))

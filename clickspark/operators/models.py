@@ -120,7 +120,7 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
-            persist: bool = True, materialize: str = "persist") -> Prepared:
+            persist: bool = True, materialize: str = "persist", fit_scope: str = "train") -> Prepared:
     """Steps 1-5 of the module docstring.
 
     The base table (joins, fill, split) is persisted while the feature pipeline
@@ -132,9 +132,15 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     disk (a lost executor's blocks are recomputed through the lineage);
     ``"write"`` writes them as Parquet into the shared checkpoint folder and
     reads them back, cutting the lineage for long training jobs.
+
+    ``fit_scope="all"`` fits the indexer and scaler on all rows before the
+    split -- test rows leak into the features -- and exists only to measure
+    that effect against the default ``"train"``.
     """
     if materialize not in ("persist", "write"):
         raise ValueError("materialize must be 'persist' or 'write'")
+    if fit_scope not in ("train", "all"):
+        raise ValueError("fit_scope must be 'train' or 'all'")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
@@ -144,7 +150,7 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
         parts = ml_partitions(spark, base.count())
     train_raw = base.where(F.col("split") == "train")
-    pipe = fit_feature_pipeline(train_raw, spec)
+    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT)
     test = pipe.transform(base.where(F.col("split") == "test")).select(*keep).withColumn(WEIGHT, F.lit(1.0))

@@ -186,3 +186,30 @@ def test_thinned_curve_keeps_exact_points(spark):
     for r in thin:
         assert full[r["threshold"]] == (r["fpr"], r["tpr"])
     assert max((r["fpr"], r["tpr"]) for r in thin) == (1.0, 1.0)
+
+
+def test_weighted_metrics_with_row_weights(spark):
+    df, spec = events_clicks(spark, SF_SMALL)
+    pred = encode.class_weights(df.withColumn("prediction", (F.col("value") > 50).cast("int")), spec)
+    plain = {r["metric"]: r["value"] for r in evaluate.weighted_metrics(pred, "label").collect()}
+    ones = {r["metric"]: r["value"] for r in
+            evaluate.weighted_metrics(pred.withColumn("w1", F.lit(1.0)), "label", weight="w1").collect()}
+    assert plain == pytest.approx(ones)
+    wtd = {r["metric"]: r["value"] for r in evaluate.weighted_metrics(pred, "label", weight="class_weight").collect()}
+    assert wtd["weighted_recall"] == pytest.approx(wtd["accuracy"])
+    assert wtd["accuracy"] != pytest.approx(plain["accuracy"])
+
+
+def test_fit_scope_all_differs_only_in_pipeline_fit(spark):
+    from clickspark.operators import models
+    df, spec = events_clicks(spark, SF_SMALL)
+    a = models.prepare(df, spec)
+    b = models.prepare(df, spec, fit_scope="all")
+    try:
+        assert a.train.count() == b.train.count()
+        sa = a.pipeline.stages[-1].std.toArray()
+        sb = b.pipeline.stages[-1].std.toArray()
+        assert not np.allclose(sa, sb)
+    finally:
+        a.unpersist()
+        b.unpersist()
