@@ -111,20 +111,34 @@ def describe_all_fields(df: DataFrame, columns: Sequence[str] | None = None) ->
     """Per field, strings included: type, non-null count, null count, exact distinct count,
     and min/max of string fields (null for other types).
 
-    One scan: the fields are unpivoted to (feature, value) and counted per
-    distinct pair (map-side combined, so a hot value is one row per task); a
-    second, small aggregate over those pairs yields every statistic.
+    One scan: every field is unpivoted into a typed slot (integral, floating or
+    text, so no value is converted to text and -0.0 equals 0.0) and counted per
+    distinct (feature, value) pair, map-side combined so a hot value is one row
+    per task; a second, small aggregate over those pairs yields every statistic.
     """
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
+
+    def slot(c):
+        t = types[c]
+        integral = isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
+        floating = isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType))
+        return F.struct(
+            F.lit(c).alias("feature"),
+            (F.col(c).cast("bigint") if integral else F.lit(None).cast("bigint")).alias("v_int"),
+            (F.col(c).cast("double") if floating else F.lit(None).cast("double")).alias("v_dbl"),
+            (F.col(c).cast("string") if not (integral or floating) else F.lit(None).cast("string")).alias("v_str"),
+            F.col(c).isNull().alias("is_null"))
+
+    long = df.select(F.explode(F.array(*[slot(c) for c in cols])).alias("_m")).select("_m.*")
+    pairs = long.groupBy("feature", "v_int", "v_dbl", "v_str", "is_null").agg(F.count(F.lit(1)).alias("n"))
     strings = [c for c in cols if isinstance(types[c], T.StringType)]
-    pairs = melt(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     is_str = F.col("feature").isin(strings) if strings else F.lit(False)
     stats = pairs.groupBy("feature").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).cast("bigint").alias("n_non_null"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("bigint").alias("n_null"),
-        F.count("value").alias("n_distinct"),
-        F.min("value").alias("_min"), F.max("value").alias("_max"))
+        F.sum(F.when(~F.col("is_null"), F.col("n")).otherwise(0)).cast("bigint").alias("n_non_null"),
+        F.sum(F.when(F.col("is_null"), F.col("n")).otherwise(0)).cast("bigint").alias("n_null"),
+        F.count_if(~F.col("is_null")).alias("n_distinct"),
+        F.min("v_str").alias("_min"), F.max("v_str").alias("_max"))
     dtype = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c].simpleString()))])
     return stats.select("feature", dtype[F.col("feature")].alias("dtype"), "n_non_null", "n_null", "n_distinct",
                         F.when(is_str, F.col("_min")).alias("min_str"), F.when(is_str, F.col("_max")).alias("max_str"))
