@@ -619,7 +619,7 @@ def q_max_abs_scale(spark, sf):
     return rounded(out.select(*spec.key, *[f"scaled_{c}" for c in spec.numeric]))
 
 
-def _pipeline_sql() -> str:
+def _fit_transform_sql() -> str:
     split_e = _E_SPLIT
     base = (f"base AS (SELECT event_id, {split_e} AS split, " + ", ".join(
         [f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in E_NUM] + E_CAT) + " FROM fs_e)")
@@ -633,8 +633,8 @@ def _pipeline_sql() -> str:
     return _with(SQL_FS_E, base, idx, enc) + f"SELECT {', '.join(sel)} FROM enc"
 
 
-@register("pipeline_transform", _pipeline_sql())
-def q_pipeline_transform(spark, sf):
+@register("feature_fit_transform", _fit_transform_sql())
+def q_feature_fit_transform(spark, sf):
     df, spec = events_clicks(spark, sf)
     prep = models.prepare(df, spec, persist=False)
     names = models.feature_names(spec)
