@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickspark.operators.evaluate import auc_exact
 from clickspark.operators.models import LABEL, make_classifier, prepare, score_column

@@ -1,6 +1,5 @@
 """Sources, sinks, feature roles, one-hot and the streaming operators."""
 
-import pytest
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import functions as F
 
@@ -106,7 +105,6 @@ def test_stream_scoring_query_rows(spark):
     out = QUERIES["stream_scoring"](spark, SF_SMALL)
     assert out.count() == read_table(spark, SF_SMALL, "events").count()
     assert set(out.columns) == {"event_id", "prediction", "score"}
-    assert pytest is not None
 
 
 def test_stream_ctr_empty_source(spark):

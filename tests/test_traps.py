@@ -1,7 +1,5 @@
 """Regressions for the reference behaviours that must not be copied."""
 
-import glob
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,7 +52,7 @@ def test_t10_order_by_element_not_vector(spark):
     assert top == [2, 1, 3]
 
 
-def test_tsv_trailing_empty_fields_and_non_ascii(spark, tmp_path):
+def test_tsv_trailing_empty_fields_and_non_ascii(spark):
     from pyspark.sql import types as T
     path = scratch_path(spark, "tsv")
     lines = ["1\t5\t\tab", "0\t\t7\t", "1\t3\t4\tcafé"]
@@ -63,7 +61,6 @@ def test_tsv_trailing_empty_fields_and_non_ascii(spark, tmp_path):
                            T.StructField("i2", T.IntegerType()), T.StructField("c1", T.StringType())])
     got = sorted(tuple(r) for r in files.read_delimited_text(spark, path, schema, ascii_only=True).collect())
     assert got == [(0, None, 7, None), (1, 3, 4, "caf"), (1, 5, None, "ab")]
-    assert glob is not None and pytest is not None
 
 
 def test_t7_scaled_indexes_are_continuous_for_trees(spark):
