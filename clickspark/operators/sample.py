@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickspark.functions import hash_unit, hex_bucket, key_string
 from clickspark.spec import FeatureSpec
@@ -63,6 +64,55 @@ def kfold_assign(df: DataFrame, spec: FeatureSpec, k: int = 3, seed: int = 2019,
     return df.withColumn(col, F.pmod(hex_bucket(spec.key, f"-fold-{seed}", 8), F.lit(k)).cast("int"))
 
 
-def limit_extract(df: DataFrame, spec: FeatureSpec, n: int) -> DataFrame:
-    """First ``n`` rows by key: a deterministic extract (top-k per partition, then merged)."""
-    return df.orderBy(*spec.key).limit(n)
+def limit_extract(df: DataFrame, spec: FeatureSpec, n: int, bins: int = 4096, slack: int = 4,
+                  max_rounds: int = 8) -> DataFrame:
+    """First ``n`` rows in key order (nulls first, as ``orderBy``), exact.
+
+    A plain ``orderBy(key).limit(n)`` keeps n rows per input partition and
+    merges partitions x n rows in one task. When the leading key is numeric the
+    candidates are narrowed first: an equal-width histogram of the key (one
+    aggregate, ``bins`` rows to the driver) finds the bin where the running count
+    reaches n; while that bin is crowded, the same is repeated inside it. Whole
+    bins are kept, so every row of rank <= n is a candidate; the final ordered
+    limit then merges about ``slack`` x n rows. Each round reads only the key
+    column, and later rounds filter on a key range the Parquet scan can prune.
+    """
+    lead = spec.key[0]
+    if not isinstance(df.schema[lead].dataType, T.NumericType):
+        return df.orderBy(*spec.key).limit(n)
+    k = F.col(lead).cast("double")
+    head = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(k.isNull()).alias("z"),
+                  F.min(k).alias("lo"), F.max(k).alias("hi")).first()
+    if head["n"] <= slack * n or head["lo"] is None:
+        return df.orderBy(*spec.key).limit(n)
+    accepted = k.isNull()               # nulls sort first: always candidates
+    below = head["z"]
+    window = k.isNotNull()
+    lo, hi = head["lo"], head["hi"]
+    for _ in range(max_rounds):
+        if below >= n:
+            break
+        if hi == lo:                     # one value left: the whole window is the boundary
+            accepted = accepted | window
+            break
+        b = F.least(F.lit(bins - 1), F.floor((k - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))))
+        hist = sorted(df.where(window).groupBy(b.alias("b"))
+                      .agg(F.count(F.lit(1)).alias("c"), F.min(k).alias("lo"), F.max(k).alias("hi")).collect())
+        cum, star = below, None
+        for r in hist:
+            if cum + r["c"] >= n:
+                star = r
+                break
+            cum += r["c"]
+        if star is None:                 # fewer than n rows in total
+            accepted = accepted | window
+            break
+        accepted = accepted | (window & (b < F.lit(star["b"])))
+        window = window & (b == F.lit(star["b"])) & k.between(star["lo"], star["hi"])
+        below, lo, hi = cum, star["lo"], star["hi"]
+        if below + star["c"] <= slack * n:
+            accepted = accepted | window
+            break
+    else:
+        accepted = accepted | window     # rounds exhausted: keep the crowded bin whole
+    return df.where(accepted).orderBy(*spec.key).limit(n)

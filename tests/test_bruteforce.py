@@ -92,3 +92,28 @@ def test_stream_scoring_equals_batch_scoring(spark):
             assert p == r["prediction"] and s == pytest.approx(r["score"], abs=1e-12)
     finally:
         prep.unpersist()
+
+
+@pytest.mark.parametrize("n", [1, 7, 500, 5000, 20000])
+def test_limit_extract_matches_plain_top_n(spark, n):
+    from clickspark.spec import FeatureSpec
+    # skewed keys: a third of the rows share one key value, a few nulls, negative values
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(10**9)).when(F.col("id") % 997 == 1, F.lit(None))
+         .otherwise(F.col("id") * 7919 % 100003 - 5000).cast("bigint").alias("k"),
+        F.col("id").alias("k2"))
+    spec = FeatureSpec(("k", "k2"), "label")
+    got = [tuple(r) for r in sample.limit_extract(df, spec, n, bins=16).collect()]
+    want = [tuple(r) for r in df.orderBy("k", "k2").limit(n).collect()]
+    assert got == want
+
+
+@pytest.mark.parametrize("n", [100, 9000, 10500])
+def test_limit_extract_hot_key_at_the_boundary(spark, n):
+    from clickspark.spec import FeatureSpec
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-(10**9))).otherwise(F.col("id")).cast("bigint").alias("k"),
+        F.col("id").alias("k2"))
+    spec = FeatureSpec(("k", "k2"), "label")
+    got = [tuple(r) for r in sample.limit_extract(df, spec, n, bins=16, slack=1).collect()]
+    assert got == [tuple(r) for r in df.orderBy("k", "k2").limit(n).collect()]
