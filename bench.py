@@ -25,6 +25,7 @@ HEADLINE = [
     "encoded_feature_table", "standard_scale", "hash_split", "kfold_assign", "stable_row_id",
     "reassemble_by_row_id", "chi_square_stat", "information_gain", "auc_exact", "roc_curve",
     "weighted_metrics", "top_confident_negatives", "csv_roundtrip", "ascii_clean", "ctr_stream_hourly",
+    "limit_extract",
 ]
 
 
