@@ -25,3 +25,15 @@ def test_every_query_is_registered_in_entry():
     import __spark_entry__ as e
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.queries()) >= 70
+
+
+@pytest.mark.parametrize("tz", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_time_features_do_not_depend_on_session_time_zone(spark, con, tz):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        for name in ("ctr_by_category", "histogram_numeric", "ctr_stream_hourly"):
+            sp = QUERIES[name](spark, SF_SMALL).toArrow()
+            assert table_rows(sp) == table_rows(con.sql(ORACLE_SQL[name]).to_arrow_table()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
