@@ -226,6 +226,18 @@ def train_report(df: DataFrame, spec: FeatureSpec, kind: str, params: dict | Non
         prep.unpersist()
 
 
+def full_model(prep: Prepared, result: TrainResult) -> PipelineModel:
+    """Feature pipeline + classifier as one ``PipelineModel``: persistable with
+    ``.write().save(path)`` and usable on raw rows (numerics filled first)."""
+    return PipelineModel(stages=[*prep.pipeline.stages, result.model])
+
+
+def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(key..., prediction, score) for raw rows with a saved or fitted full model."""
+    out = model.transform(fill_numeric_zero(df, list(spec.numeric)))
+    return out.select(*spec.key, "prediction", score_column("").alias("score"))
+
+
 def lr_coefficients(model, names: Sequence[str]) -> DataFrame:
     """(feature, coefficient, abs_coefficient, rank) sorted by |coefficient| descending."""
     spark = _session()

@@ -117,3 +117,21 @@ def test_prepare_write_back_matches_persist(planted):
     finally:
         a.unpersist()
         b.unpersist()
+
+
+def test_full_model_saves_and_scores_identically(spark, planted):
+    from pyspark.ml import PipelineModel
+    from clickspark.session import scratch_path
+    df, spec = planted
+    prep = models.prepare(df, spec)
+    try:
+        res = models.train(prep, "gbt", maxIter=5)
+        full = models.full_model(prep, res)
+        path = scratch_path(spark, "model")
+        full.write().save(path)
+        loaded = PipelineModel.load(path)
+        a = {r["key"]: (r["prediction"], r["score"]) for r in models.score(full, df, spec).collect()}
+        b = {r["key"]: (r["prediction"], r["score"]) for r in models.score(loaded, df, spec).collect()}
+        assert a == b and len(a) == df.count()
+    finally:
+        prep.unpersist()
