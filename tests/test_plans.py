@@ -34,3 +34,8 @@ def test_nation_is_broadcast_and_fact_tables_are_not_forced(spark):
     plan = _plan(QUERIES["row_count"](spark, SF_SMALL))
     assert "BroadcastExchange" in plan
     assert "n_nationkey" in plan
+
+
+def test_label_filter_reaches_the_scan(spark):
+    plan = _plan(QUERIES["filter_clicked_numeric"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan
