@@ -92,14 +92,18 @@ def checked_string_indexer(df: DataFrame, columns: Sequence[str], suffix: str =
     return string_indexer(columns, suffix)
 
 
-def cardinality_split(df: DataFrame, columns: Sequence[str], max_labels: int | None = None):
+def cardinality_split(df: DataFrame, columns: Sequence[str], max_labels: int | None = None,
+                      estimates: dict[str, int] | None = None):
     """(bounded, unbounded) columns by an HLL estimate: one aggregate, one row to the driver.
-    A bound check needs only a rough count, so the estimate is coarse (5 %)."""
+    A bound check needs only a rough count, so the estimate is coarse (5 %).
+    ``estimates`` (from an aggregate the caller runs anyway) skips the pass."""
     max_labels = max_labels or MAX_BROADCAST_LABELS
     if not columns:
         return [], []
-    row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    small = [c for i, c in enumerate(columns) if row[f"d{i}"] <= max_labels]
+    if estimates is None:
+        row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+        estimates = {c: row[f"d{i}"] for i, c in enumerate(columns)}
+    small = [c for c in columns if estimates[c] <= max_labels]
     return small, [c for c in columns if c not in small]
 
 
@@ -168,10 +172,12 @@ def balancing_ratio(df: DataFrame, spec: FeatureSpec) -> float:
 
 
 def class_weights(df: DataFrame, spec: FeatureSpec, fit_on: DataFrame | None = None,
-                  col: str = "class_weight") -> DataFrame:
+                  col: str = "class_weight", ratio: float | None = None) -> DataFrame:
     """Positive rows weigh ``ratio``, negative rows ``1 - ratio`` (ratio = share of
-    negatives in ``fit_on``, the training rows), so both classes carry equal total weight."""
-    ratio = balancing_ratio(fit_on if fit_on is not None else df, spec)
+    negatives in ``fit_on``, the training rows), so both classes carry equal total weight.
+    A ``ratio`` computed elsewhere (e.g. in a combined aggregate) skips that pass."""
+    if ratio is None:
+        ratio = balancing_ratio(fit_on if fit_on is not None else df, spec)
     return df.withColumn(col, F.when(F.col(spec.label) == 1, F.lit(ratio)).otherwise(F.lit(1.0 - ratio)))
 
 

@@ -89,7 +89,8 @@ def ml_partitions(spark, n_rows: int) -> int:
 HASH_BUCKETS = 1 << 20
 
 
-def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
+def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec,
+                         cardinalities: dict[str, int] | None = None) -> PipelineModel:
     """Indexer(s) -> assembler -> scaler, fitted on ``train``.
 
     Categorical columns whose estimated label count is within the broadcast
@@ -97,7 +98,8 @@ def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
     driver); the others get a hashed ordinal index, which needs no label table.
     """
     stages = []
-    small, large = cardinality_split(train, spec.categorical)
+    small, large = (cardinality_split(train, spec.categorical) if cardinalities is None
+                    else cardinality_split(train, spec.categorical, estimates=cardinalities))
     if small:
         stages.append(string_indexer(small))
     if large:
@@ -145,14 +147,26 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     ensure_checkpoint_dir(spark)
     base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
     base = hash_split(base, spec, train_fraction, seed)
-    parts = None
+    parts, ratio, cards = None, None, None
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        parts = ml_partitions(spark, base.count())
+        # one pass over the persisted base gives the row count (partition sizing),
+        # the class ratio of the train rows and the cardinality estimates of the
+        # fitting rows -- three statistics that would otherwise be three passes
+        is_train = F.col("split") == "train"
+        fit_rows = is_train if fit_scope == "train" else F.lit(True)
+        row = base.agg(F.count(F.lit(1)).alias("_n"), F.count_if(is_train).alias("_nt"),
+                       F.count_if(is_train & (F.col(spec.label) == 1)).alias("_pt"),
+                       *[F.approx_count_distinct(F.when(fit_rows, F.col(c)), 0.05).alias(f"_d{i}")
+                         for i, c in enumerate(spec.categorical)]).first()
+        parts = ml_partitions(spark, row["_n"])
+        ratio = (row["_nt"] - row["_pt"]) / row["_nt"] if row["_nt"] else 0.5
+        cards = {c: row[f"_d{i}"] for i, c in enumerate(spec.categorical)}
     train_raw = base.where(F.col("split") == "train")
-    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec)
+    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec, cards)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
-    train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT)
+    train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT,
+                          ratio=ratio)
     test = pipe.transform(base.where(F.col("split") == "test")).select(*keep).withColumn(WEIGHT, F.lit(1.0))
     if persist:
         # every fit makes many passes: spread the rows over all cores (AQE may

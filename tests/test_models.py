@@ -82,7 +82,8 @@ def test_high_cardinality_column_uses_hashed_index(spark, monkeypatch):
     # pretend the bound is tiny so 'uid' (150 values) counts as unbounded
     monkeypatch.setattr(encode, "MAX_BROADCAST_LABELS", 10)
     monkeypatch.setattr(models, "cardinality_split",
-                        lambda d, cols: encode.cardinality_split(d, cols, max_labels=10))
+                        lambda d, cols, **kw: encode.cardinality_split(d, cols, max_labels=10,
+                                                                        estimates=kw.get("estimates")))
     prep = models.prepare(df, spec)
     try:
         kinds = [type(s).__name__ for s in prep.pipeline.stages]
