@@ -2,8 +2,8 @@
 
 Tier 1: a minimal perfect hash over the vocabulary resolves a pre-token that is
 itself a vocabulary entry. Tier 2: any other pre-token is merged by a heap of
-adjacent pairs over a linked list of its bytes. A bounded memo per task keeps
-the ids of pre-tokens already seen.
+adjacent pairs over a linked list of its bytes. A bounded memo per Python worker
+keeps the ids of pre-tokens already seen.
 
 The tables are built once on the driver from a rank file and broadcast; their
 size is bound by the vocabulary (about 50,000 entries), not by the data.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from clickspark.llm.tasks import map_arrow
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 500_000
 MEMO_KEY_CHARS = 256
 #: Longer texts are matched piece by piece instead of into one list.
 LIST_CHARS = 1 << 20
@@ -115,29 +115,25 @@ class PerfectHash:
 
 
 class Vocabulary:
-    """Tables of one rank file: entries by rank and the perfect hash over them."""
+    """Tables of one rank file: entries by rank, ranks by entry for pairs, and the
+    perfect hash over the entries for whole pre-tokens."""
 
     def __init__(self, entries: list[bytes]):
         self.entries, self.hash = entries, PerfectHash(entries)
+        self.ranks = {e: i for i, e in enumerate(entries)}
 
     def rank(self, piece: bytes) -> int | None:
         i = self.hash.index(piece)
         return i if self.entries[i] == piece else None
 
 
-def merge_bytes(vocab: Vocabulary, piece: bytes) -> list[int]:
+def merge_bytes(ranks: dict[bytes, int], piece: bytes) -> list[int]:
     """Ranks after merging the adjacent pair of lowest rank (leftmost first)
     until no pair is a vocabulary entry. O(n log n) for n bytes."""
-    n = len(piece)
-    end, before, rank = list(range(1, n + 1)), list(range(-1, n - 1)), vocab.rank
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(i: int) -> None:
-        if i >= 0 and end[i] < n and (r := rank(piece[i:end[end[i]]])) is not None:
-            heapq.heappush(heap, (r, i, end[end[i]]))
-
-    for i in range(n - 1):
-        offer(i)
+    n, get = len(piece), ranks.get
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(piece[i:i + 2])) is not None]
+    heapq.heapify(heap)
     while heap:
         _, i, stop = heapq.heappop(heap)
         right = end[i]
@@ -146,36 +142,53 @@ def merge_bytes(vocab: Vocabulary, piece: bytes) -> list[int]:
         end[i], end[right] = stop, 0
         if stop < n:
             before[stop] = i
-        offer(before[i])
-        offer(i)
+            if (r := get(piece[i:end[stop]])) is not None:
+                heapq.heappush(heap, (r, i, end[stop]))
+        if (left := before[i]) >= 0 and (r := get(piece[left:stop])) is not None:
+            heapq.heappush(heap, (r, left, stop))
     out, i = [], 0
     while i < n:
-        out.append(rank(piece[i:end[i]]))
+        out.append(ranks[piece[i:end[i]]])
         i = end[i]
     return out
 
 
 class Memo(dict):
-    """pre-token -> its ids as little-endian 32-bit bytes; emptied when full."""
+    """pre-token -> its ids as little-endian 32-bit bytes.
+
+    Two generations of bounded size: when the young one is full it becomes the
+    old one, whose entries return on use and are else forgotten."""
 
     def __init__(self, encode):
-        self.encode = encode
+        self.encode, self.old = encode, {}
 
     def __missing__(self, token: str) -> bytes:
-        ids = self.encode(token)
-        out = struct.pack(f"<{len(ids)}I", *ids)
+        if (out := self.old.get(token)) is None:
+            ids = self.encode(token)
+            out = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= MEMO_KEY_CHARS:
             if len(self) >= MEMO_ENTRIES:
+                self.old = dict(self)
                 self.clear()
             self[token] = out
         return out
 
 
+_OF_PROCESS: dict = {}
+
+
+def of_process(key, make):
+    """``make()``, kept under ``key`` for the later tasks of a Python worker."""
+    if key not in _OF_PROCESS:
+        _OF_PROCESS[key] = make()
+    return _OF_PROCESS[key]
+
+
 def encoder(vocab: Vocabulary) -> Memo:
     def encode(token: str) -> list[int]:
         piece = token.encode()
         r = vocab.rank(piece)
-        return [r] if r is not None else merge_bytes(vocab, piece)
+        return [r] if r is not None else merge_bytes(vocab.ranks, piece)
     return Memo(encode)
 
 
@@ -205,7 +218,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, id_col: str
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        memo = encoder(shared.value)
+        memo = of_process(("bpe", vocab_path), lambda: encoder(shared.value))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -223,7 +236,7 @@ def decode_documents(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id"
     src = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def run(batches):
-        entries = shared.value.entries
+        entries = of_process(("vocabulary", vocab_path), lambda: shared.value).entries
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -253,8 +266,8 @@ def round_trip_digests(docs: DataFrame, vocab_path: str, pattern: str, id_col: s
         return n, ids_hash.hexdigest(), data_hash.hexdigest()
 
     def run(batches):
-        vocab = shared.value
-        memo = encoder(vocab)
+        vocab = of_process(("vocabulary", vocab_path), lambda: shared.value)
+        memo = of_process(("bpe", vocab_path), lambda: encoder(vocab))
         for b in batches:
             n, ids, data = zip(*[one(t.as_py(), memo, vocab.entries) for t in b.column(1)], strict=True) if b.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
