@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickspark.llm.bpe import Memo, encode_blocks
+from clickspark.llm.bpe import Memo, encode_blocks, of_process
 from clickspark.llm.tasks import map_arrow
 
 MAX_TOKENS = 2048
@@ -112,7 +112,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: s
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _encoder(shared.value)
+        memo = of_process(("packing", tokenizer_path), lambda: _encoder(shared.value))
         first = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
         tokens, arrow_id = 0, pa.int64()
