@@ -22,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickspark.llm.bpe import of_process
 from clickspark.llm.tasks import map_arrow
 from clickspark.llm.text import word_blocks
 
 MARK = "▁"
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 1_000_000
 MEMO_KEY_CHARS = 256
 
 
@@ -78,15 +79,16 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """One row per input row: id, n_pretokens, n_tokens (long).
 
     Null, empty or blank text: 0 and 0. Repeated rows each get a row; other
-    columns are ignored. A narrow map without shuffle: each task keeps the
-    counts of distinct pre-tokens in a bounded memo, and each batch puts only
-    those not yet known through the trie. A very long text is taken in blocks.
+    columns are ignored. A narrow map without shuffle: each Python worker keeps
+    the counts of distinct pre-tokens in a bounded memo, and only those not yet known go
+    through the trie. A very long text is taken in blocks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_unigram(model_path))
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = shared.value, {}
+        model = of_process(("unigram", model_path), lambda: shared.value)
+        memo = of_process(("counts", model_path), dict)
 
         def settle(pending: list[tuple[int, Counter]], words: list[int], tokens: list[int]) -> None:
             new = {w for _, c in pending for w in c if w not in memo}
