@@ -43,8 +43,9 @@ def split_fields(c, sep: str = "\t") -> Column:
 
 
 def key_string(key: Sequence[str]) -> Column:
-    """Stable text form of a (possibly composite) natural key."""
-    cols = [F.col(k).cast("string") for k in key]
+    """Stable text form of a (possibly composite) natural key; a null part has a
+    spelling of its own, so such rows are hashed like any other."""
+    cols = [F.coalesce(F.col(k).cast("string"), F.lit("\x00null")) for k in key]
     return cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
 
 

@@ -29,11 +29,6 @@ def fill_numeric_zero(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return df.na.fill(0, subset=cols) if cols else df
 
 
-def as_raw_strings(df: DataFrame) -> DataFrame:
-    """Every column as text, the state of a log read without a schema."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-
-
 def clean_blanks(df: DataFrame, spec: FeatureSpec, numeric_type: str = "double") -> DataFrame:
     """Text columns to typed features in one projection.
 

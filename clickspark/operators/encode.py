@@ -9,27 +9,31 @@ computed two ways:
   broadcast only when that column's label count -- measured, not guessed -- is
   under ``max_broadcast_labels``; otherwise it is a shuffle join (AQE splits a
   hot value's partition).
-* ``string_indexer``: MLlib's ``StringIndexer`` for ``Pipeline`` use. It brings
-  every label to the driver, so the model pipeline first estimates each
-  column's cardinality (``cardinality_split``) and gives columns above the
-  bound a hashed ordinal index (``hashed_index_stage``) instead;
-  ``checked_string_indexer`` refuses such columns outright.
+* ``CategoryIndexModel``: the same index, stored as a table, as a pipeline stage.
+  The model path uses it for every column at every size.
+
+``string_indexer`` (MLlib's, which brings every label to the driver) is kept as a
+yardstick for tests and small tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Transformer
 from pyspark.ml.feature import MaxAbsScaler, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.prefix import global_rank
 from clickspark.operators.profile import melt
+from clickspark.session import scratch_path
 from clickspark.spec import FeatureSpec
 
-# labels per column that may be broadcast (or sent to the driver by StringIndexer):
+# labels per column that may be broadcast; the result is the same above it:
 # about 10-20 MB per column, so a few dozen columns stay well inside executor memory
 MAX_BROADCAST_LABELS = 250_000
 
@@ -82,53 +86,44 @@ def string_indexer(columns: Sequence[str], suffix: str = "_idx", handle_invalid:
                          handleInvalid=handle_invalid, stringOrderType=order)
 
 
-def checked_string_indexer(df: DataFrame, columns: Sequence[str], suffix: str = "_idx",
-                           max_labels: int | None = None) -> StringIndexer:
-    """``StringIndexer`` after verifying that every column's labels fit the driver bound."""
-    _, big = cardinality_split(df, columns, max_labels)
-    if big:
-        raise ValueError(f"columns {big} exceed {max_labels or MAX_BROADCAST_LABELS} labels; "
-                         "use apply_category_index or hashed_index for them")
-    return string_indexer(columns, suffix)
+def store_index(index: DataFrame, path: str) -> str:
+    """Write a category index with one folder per column, so that each column's
+    join reads its own entries only."""
+    index.write.partitionBy("feature").parquet(path)
+    return path
+
+
+def load_index(spark, path: str) -> DataFrame:
+    return spark.read.schema("value string, n bigint, idx double, feature string").parquet(path)
+
 
+class CategoryIndexModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Pipeline stage that applies a stored category index, at any number of
+    labels: the labels stay in a table and never pass through the driver. Null
+    and unseen values get the label count."""
 
-def cardinality_split(df: DataFrame, columns: Sequence[str], max_labels: int | None = None,
-                      estimates: dict[str, int] | None = None):
-    """(bounded, unbounded) columns by an HLL estimate: one aggregate, one row to the driver.
-    A bound check needs only a rough count, so the estimate is coarse (5 %).
-    ``estimates`` (from an aggregate the caller runs anyway) skips the pass."""
-    max_labels = max_labels or MAX_BROADCAST_LABELS
-    if not columns:
-        return [], []
-    if estimates is None:
-        row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-        estimates = {c: row[f"d{i}"] for i, c in enumerate(columns)}
-    small = [c for c in columns if estimates[c] <= max_labels]
-    return small, [c for c in columns if c not in small]
+    inputCols = Param(Params._dummy(), "inputCols", "indexed columns", TypeConverters.toListString)
+    indexPath = Param(Params._dummy(), "indexPath", "folder of the stored index", TypeConverters.toString)
+    suffix = Param(Params._dummy(), "suffix", "suffix of the output columns", TypeConverters.toString)
 
+    def __init__(self, columns: Sequence[str] = (), path: str = "", suffix: str = "_idx"):
+        super().__init__()
+        self._set(inputCols=list(columns), indexPath=path, suffix=suffix)
 
-def hashed_index_stage(columns: Sequence[str], buckets: int, suffix: str = "_idx"):
-    """Pipeline stage for unbounded cardinality: index = xxhash64(value) mod buckets,
-    null -> buckets. No label table exists anywhere, so nothing reaches the driver."""
-    from pyspark.ml.feature import SQLTransformer
-    exprs = ", ".join(f"CASE WHEN `{c}` IS NULL THEN CAST({buckets} AS DOUBLE) "
-                      f"ELSE CAST(pmod(xxhash64(`{c}`), {buckets}) AS DOUBLE) END AS `{c}{suffix}`" for c in columns)
-    return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        index = load_index(dataset.sparkSession, self.getOrDefault("indexPath"))
+        return apply_category_index(dataset, index, self.getOrDefault("inputCols"), self.getOrDefault("suffix"))
 
 
-def hashed_index(df: DataFrame, columns: Sequence[str], buckets: int, suffix: str = "_idx") -> DataFrame:
-    """Hashing-trick index for unbounded cardinality: no label table at all."""
-    return df.withColumns({c + suffix: F.when(F.col(c).isNull(), F.lit(float(buckets)))
-                           .otherwise(F.pmod(F.xxhash64(c), F.lit(buckets)).cast("double"))
-                           for c in columns})
+def fit_category_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx") -> CategoryIndexModel:
+    path = store_index(index_category(df, columns), scratch_path(df.sparkSession, "category-index"))
+    return CategoryIndexModel(columns, path, suffix)
 
 
 def index_label(df: DataFrame, spec: FeatureSpec, out: str = "label_idx") -> DataFrame:
-    """Label index with alphabetical order, so 1.0 always means click (frequency
-    order would flip the meaning if clicks were the majority)."""
-    si = StringIndexer(inputCol="_label_s", outputCol=out, stringOrderType="alphabetAsc")
-    tmp = df.withColumn("_label_s", F.col(spec.label).cast("string"))
-    return si.fit(tmp).transform(tmp).drop("_label_s")
+    """The label as double: 1.0 always means click, whichever class is larger or
+    absent; a null label stays null."""
+    return df.withColumn(out, F.col(spec.label).cast("double"))
 
 
 # --- vectors and scaling -----------------------------------------------------------

@@ -21,12 +21,6 @@ from pyspark.sql import functions as F
 from clickspark.operators.prefix import prefix_sums
 
 
-def positive_score(col: str = "rawPrediction") -> Column:
-    """Score of class 1 from an MLlib vector column (ordering by the vector
-    itself would order by its storage struct)."""
-    return vector_to_array(F.col(col))[1]
-
-
 def score_counts(pred: DataFrame, label: str, score, group: Sequence[str] = ()) -> DataFrame:
     s = F.col(score) if isinstance(score, str) else score
     y = F.col(label)

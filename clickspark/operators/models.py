@@ -5,7 +5,7 @@ Shape of a run (the reference's single-job layout, with its traps removed):
 
 1. numeric nulls -> 0, label -> double
 2. deterministic hash split 70/30 on the row key
-3. feature pipeline (StringIndexer keep -> VectorAssembler -> StandardScaler)
+3. feature pipeline (stored category index -> VectorAssembler -> StandardScaler)
    fitted on the TRAIN rows only, then applied to both parts
 4. class weights from the train rows
 5. the featurized train/test tables are repartitioned by key over all cores
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.clean import fill_numeric_zero
-from clickspark.operators.encode import cardinality_split, class_weights, hashed_index_stage, string_indexer
+from clickspark.operators.encode import class_weights, fit_category_index
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
 from clickspark.session import ensure_checkpoint_dir, scratch_path
@@ -51,7 +51,10 @@ REFERENCE_PARAMS = {
 }
 
 
-def make_classifier(kind: str, weighted: bool = True, seed: int = 2019, **params):
+def make_classifier(kind: str, weighted: bool | None = None, seed: int = 2019, **params):
+    """``weighted``: train with the class weights; by default only logistic
+    regression does, as in the reference configuration."""
+    weighted = kind == "lr" if weighted is None else weighted
     common = dict(featuresCol=FEATURES, labelCol=LABEL, predictionCol="prediction")
     if kind == "lr":
         est = LogisticRegression(**common, **({"weightCol": WEIGHT} if weighted else {}))
@@ -86,24 +89,10 @@ def ml_partitions(spark, n_rows: int) -> int:
     return max(by_cores, -(-n_rows // MAX_ROWS_PER_ML_PARTITION))
 
 
-HASH_BUCKETS = 1 << 20
-
-
-def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec,
-                         cardinalities: dict[str, int] | None = None) -> PipelineModel:
-    """Indexer(s) -> assembler -> scaler, fitted on ``train``.
-
-    Categorical columns whose estimated label count is within the broadcast
-    bound get a frequency-ranked ``StringIndexer`` (labels go through the
-    driver); the others get a hashed ordinal index, which needs no label table.
-    """
-    stages = []
-    small, large = (cardinality_split(train, spec.categorical) if cardinalities is None
-                    else cardinality_split(train, spec.categorical, estimates=cardinalities))
-    if small:
-        stages.append(string_indexer(small))
-    if large:
-        stages.append(hashed_index_stage(large, HASH_BUCKETS))
+def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
+    """Category index -> assembler -> scaler, fitted on ``train``. One index for
+    every categorical column, whatever its number of labels."""
+    stages = [fit_category_index(train, spec.categorical)] if spec.categorical else []
     stages += [VectorAssembler(inputCols=feature_names(spec), outputCol="features"),
                StandardScaler(inputCol="features", outputCol=FEATURES, withStd=True, withMean=False)]
     return Pipeline(stages=stages).fit(train)
@@ -147,23 +136,18 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     ensure_checkpoint_dir(spark)
     base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
     base = hash_split(base, spec, train_fraction, seed)
-    parts, ratio, cards = None, None, None
+    parts, ratio = None, None
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        # one pass over the persisted base gives the row count (partition sizing),
-        # the class ratio of the train rows and the cardinality estimates of the
-        # fitting rows -- three statistics that would otherwise be three passes
+        # one pass over the persisted base gives the row count (partition sizing)
+        # and the class ratio of the train rows
         is_train = F.col("split") == "train"
-        fit_rows = is_train if fit_scope == "train" else F.lit(True)
         row = base.agg(F.count(F.lit(1)).alias("_n"), F.count_if(is_train).alias("_nt"),
-                       F.count_if(is_train & (F.col(spec.label) == 1)).alias("_pt"),
-                       *[F.approx_count_distinct(F.when(fit_rows, F.col(c)), 0.05).alias(f"_d{i}")
-                         for i, c in enumerate(spec.categorical)]).first()
+                       F.count_if(is_train & (F.col(spec.label) == 1)).alias("_pt")).first()
         parts = ml_partitions(spark, row["_n"])
         ratio = (row["_nt"] - row["_pt"]) / row["_nt"] if row["_nt"] else 0.5
-        cards = {c: row[f"_d{i}"] for i, c in enumerate(spec.categorical)}
     train_raw = base.where(F.col("split") == "train")
-    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec, cards)
+    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT,
                           ratio=ratio)
@@ -206,7 +190,7 @@ class TrainResult:
     pred_test: DataFrame
 
 
-def train(prep: Prepared, kind: str, weighted: bool = True, **params) -> TrainResult:
+def train(prep: Prepared, kind: str, weighted: bool | None = None, **params) -> TrainResult:
     est = make_classifier(kind, weighted=weighted, **params)
     t0 = time.time()
     model = est.fit(prep.train)
@@ -215,23 +199,22 @@ def train(prep: Prepared, kind: str, weighted: bool = True, **params) -> TrainRe
 
 
 def evaluate(result: TrainResult, spec: FeatureSpec) -> DataFrame:
-    """(model, metric, value) rows: exact train/test AUC, test weighted metrics, fit seconds."""
+    """(model, metric, value) rows: exact train/test AUC, weighted metrics of both parts."""
     spark = result.pred_test.sparkSession
     rows = []
     for part, pred in (("train", result.pred_train), ("test", result.pred_test)):
         a = auc_exact(pred, LABEL, score_column(result.kind)).first()
         rows += [(f"auc_{part}", a["auc"]), (f"n_{part}", float(a["n_pos"] + a["n_neg"]))]
-    for r in weighted_metrics(result.pred_test, LABEL, "prediction").collect():
-        rows.append((f"{r['metric']}_test", r["value"]))
+        for r in weighted_metrics(pred, LABEL, "prediction").collect():
+            rows.append((f"{r['metric']}_{part}", r["value"]))
     if result.kind == "lr" and result.model.hasSummary:
         rows.append(("summary_auc_train", float(result.model.summary.areaUnderROC)))
-    rows.append(("fit_seconds", float(result.seconds)))
     return spark.createDataFrame([(result.kind, m, float(v) if v is not None else None) for m, v in rows],
                                  "model string, metric string, value double")
 
 
 def train_report(df: DataFrame, spec: FeatureSpec, kind: str, params: dict | None = None,
-                 weighted: bool = True) -> DataFrame:
+                 weighted: bool | None = None) -> DataFrame:
     prep = prepare(df, spec)
     res = train(prep, kind, weighted=weighted, **(params if params is not None else REFERENCE_PARAMS[kind]))
     try:
@@ -277,7 +260,7 @@ def _session():
 
 def compare_classifiers(df: DataFrame, spec: FeatureSpec, kinds: Sequence[str] = ("lr", "rf", "gbt", "lsvc"),
                         params: dict | None = None) -> DataFrame:
-    """(model, auc_train, auc_test, fit_seconds): one prepared table, four fits."""
+    """(model, auc_train, auc_test): one prepared table, four fits."""
     prep = prepare(df, spec)
     rows = []
     try:
@@ -286,8 +269,7 @@ def compare_classifiers(df: DataFrame, spec: FeatureSpec, kinds: Sequence[str] =
             res = train(prep, kind, **p)
             a_tr = auc_exact(res.pred_train, LABEL, score_column(kind)).first()["auc"]
             a_te = auc_exact(res.pred_test, LABEL, score_column(kind)).first()["auc"]
-            rows.append((kind, a_tr, a_te, res.seconds))
+            rows.append((kind, a_tr, a_te))
     finally:
         prep.unpersist()
-    return df.sparkSession.createDataFrame(rows, "model string, auc_train double, auc_test double, "
-                                                 "fit_seconds double")
+    return df.sparkSession.createDataFrame(rows, "model string, auc_train double, auc_test double")

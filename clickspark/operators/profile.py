@@ -122,7 +122,7 @@ def describe_all_fields(df: DataFrame, columns: Sequence[str] | None = None) ->
     def slot(c):
         t = types[c]
         integral = isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
-        floating = isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType))
+        floating = isinstance(t, (T.FloatType, T.DoubleType))      # decimals stay exact, as text
         return F.struct(
             F.lit(c).alias("feature"),
             (F.col(c).cast("bigint") if integral else F.lit(None).cast("bigint")).alias("v_int"),

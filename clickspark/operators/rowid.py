@@ -44,14 +44,20 @@ def reassemble_by_key(pieces: Sequence[DataFrame], key: Sequence[str]) -> DataFr
     """Full outer join of pieces on a shared unique key, as union + group by.
 
     Every non-key column must come from exactly one piece; a key missing from a
-    piece yields nulls in that piece's columns, as a full outer join would.
+    piece yields nulls in that piece's columns, as a full outer join would. A key
+    that occurs twice in one piece is an error: the pieces of two rows cannot be
+    told apart, and merging them would make up a row that neither held.
     """
     key = list(key)
     cols: list[str] = []
     for p in pieces:
         cols += [c for c in p.columns if c not in key and c not in cols]
-    unioned = pieces[0]
-    for p in pieces[1:]:
+    tagged = [p.withColumn("_piece", F.lit(i)) for i, p in enumerate(pieces)]
+    unioned = tagged[0]
+    for p in tagged[1:]:
         unioned = unioned.unionByName(p, allowMissingColumns=True)
     # each (key, column) has at most one non-null value, so max() picks it deterministically
-    return unioned.groupBy(*key).agg(*[F.max(c).alias(c) for c in cols])
+    counted = [F.count_if(F.col("_piece") == i).alias(f"_rows{i}") for i in range(len(pieces))]
+    merged = unioned.groupBy(*key).agg(*[F.max(c).alias(c) for c in cols], *counted)
+    most = F.greatest(*[F.col(f"_rows{i}") for i in range(len(pieces))], F.lit(0).cast("long"))
+    return merged.where(F.assert_true(most <= 1, F.lit("reassemble_by_key: a key repeats inside one piece")).isNull()).select(*key, *cols)

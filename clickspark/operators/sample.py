@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickspark.functions import hash_unit, hex_bucket, key_string
+from clickspark.functions import hash_unit, hex_bucket
 from clickspark.spec import FeatureSpec
 
 
@@ -34,9 +34,8 @@ def sample_by_label(df: DataFrame, spec: FeatureSpec, fractions: dict[int, float
 
 def split_expr(spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019):
     """'train' when the first 4 hex digits of md5(key-seed) fall below the fraction."""
-    cut = format(int(round(train_fraction * 65536)), "04x")
-    digest = F.md5(F.concat(key_string(spec.key), F.lit(f"-{seed}")))
-    return F.when(F.substring(digest, 1, 4) < F.lit(cut), F.lit("train")).otherwise(F.lit("test"))
+    cut = int(round(train_fraction * 65536))
+    return F.when(hex_bucket(spec.key, f"-{seed}", 4) < F.lit(cut), F.lit("train")).otherwise(F.lit("test"))
 
 
 def hash_split(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,

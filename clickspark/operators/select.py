@@ -1,9 +1,8 @@
 """Chi-square feature statistics and selection.
 
-``chi_square_stat`` is a pure query: counts per (feature, value, label), the
-row and column margins as grouped aggregates joined back (no window over a
-whole feature), and the identity chi2 = N * (sum n_ij^2 / (r_i c_j) - 1), which
-needs only the observed cells. Continuous features must be binned first;
+``chi_square_stat`` is a pure query of two aggregates: counts of both labels per
+(feature, value), then sums per feature, by the identity
+chi2 = N * (sum n_ij^2 / (r_i c_j) - 1), which needs only the observed cells. Continuous features must be binned first;
 MLlib refuses more than 10000 distinct values per feature.
 """
 
@@ -22,18 +21,18 @@ from clickspark.spec import FeatureSpec
 
 def chi_square_stat(df: DataFrame, spec: FeatureSpec, columns: Sequence[str]) -> DataFrame:
     """(feature, statistic, dof) of the independence test of each feature with the label."""
-    long = melt(df, columns, keep=[spec.label])
-    cells = long.groupBy("feature", "value", spec.label).agg(F.count(F.lit(1)).alias("n"))
-    rows = cells.groupBy("feature", "value").agg(F.sum("n").alias("r"))
-    cols = cells.groupBy("feature", spec.label).agg(F.sum("n").alias("c"))
-    tot = cells.groupBy("feature").agg(F.sum("n").alias("N"),
-                                       F.count_distinct("value").alias("n_values"),
-                                       F.count_distinct(spec.label).alias("n_labels"))
-    terms = (cells.join(rows, ["feature", "value"]).join(cols, ["feature", spec.label])
-             .groupBy("feature").agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("s")))
-    return (terms.join(tot, "feature")
-            .select("feature", (F.col("N") * (F.col("s") - 1.0)).alias("statistic"),
-                    ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).cast("bigint").alias("dof")))
+    y = F.col(spec.label)
+    rows = (melt(df, columns, keep=[spec.label]).where(y.isNotNull()).groupBy("feature", "value")
+            .agg(F.count_if(y == 1).alias("n1"), F.count_if(y != 1).alias("n0")))
+    total = rows.groupBy("feature").agg(
+        F.sum("n1").alias("c1"), F.sum("n0").alias("c0"), F.count(F.lit(1)).alias("n_values"),
+        F.sum(F.col("n1") * F.col("n1") / (F.col("n1") + F.col("n0"))).alias("s1"),
+        F.sum(F.col("n0") * F.col("n0") / (F.col("n1") + F.col("n0"))).alias("s0"))
+    part = lambda s, c: F.coalesce(F.try_divide(F.col(s), F.col(c)), F.lit(0.0))  # noqa: E731  an absent class adds nothing
+    n_labels = (F.col("c1") > 0).cast("int") + (F.col("c0") > 0).cast("int")
+    return total.select(
+        "feature", ((F.col("c1") + F.col("c0")) * (part("s1", "c1") + part("s0", "c0") - 1.0)).alias("statistic"),
+        ((F.col("n_values") - 1) * (n_labels - 1)).cast("bigint").alias("dof"))
 
 
 def bin_numeric(df: DataFrame, columns: Sequence[str], bins: int = 50, suffix: str = "_bin") -> DataFrame:

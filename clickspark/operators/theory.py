@@ -36,9 +36,12 @@ def fixed_lr_scores(df: DataFrame, spec: FeatureSpec, weights: dict[str, float],
 
 
 def log_loss(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    y, p = F.col(label).cast("double"), F.col(probability)
-    return scored.agg(F.count(F.lit(1)).alias("n"),
-                      F.avg(-y * F.log(p) - (F.lit(1.0) - y) * F.log(F.lit(1.0) - p)).alias("log_loss"))
+    """(n, log_loss). A certain and wrong score costs infinity, a certain and right
+    one nothing; rows without a label or a score are counted but not averaged."""
+    y, p = F.col(label), F.col(probability)
+    right = F.when(y == 1, p).otherwise(F.lit(1.0) - p)     # probability given to the true class
+    term = F.when(y.isNull() | p.isNull(), F.lit(None).cast("double")).when(right > 0, -F.log(right)).otherwise(F.lit(float("inf")))
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(term).alias("log_loss"))
 
 
 def gradient_step(df: DataFrame, spec: FeatureSpec, weights: dict[str, float], intercept: float = 0.0,

@@ -1,7 +1,7 @@
 """Click tables built from the driver's parquet tables.
 
 FS-E  events                 key event_id, label event_type = 'click'
-FS-L  lineitem + dimensions  key (orderkey, partkey, suppkey, linenumber), label returnflag = 'R'
+FS-L  lineitem + dimensions  key (orderkey, partkey, suppkey, linenumber, shipdate), label returnflag = 'R'
 FS-D  documents + labels     key doc_id, label toxic
 
 The test tables hold no nulls or blanks, so FS-L injects them by rule
@@ -27,7 +27,7 @@ from clickspark.spec import FeatureSpec
 FS_E = FeatureSpec(key=("event_id",), label="label",
                    numeric=("value", "k", "hour"), categorical=("uid", "dow"))
 
-FS_L = FeatureSpec(key=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), label="label",
+FS_L = FeatureSpec(key=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"), label="label",
                    numeric=("l_quantity", "l_extendedprice", "l_discount", "l_tax"),
                    categorical=("l_linestatus", "p_brand", "p_type", "o_orderpriority", "n_name"))
 
@@ -55,7 +55,7 @@ def events_to_clicks(ev: DataFrame) -> DataFrame:
 def lineitem_returns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeatureSpec]:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -67,6 +67,7 @@ def lineitem_returns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Featu
                 .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
     df = joined.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
         "l_quantity", "l_extendedprice",
         F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"),
@@ -91,9 +92,6 @@ def documents_toxic(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Featur
     return df, FS_D
 
 
-FEATURE_SETS = {"events": events_clicks, "lineitem": lineitem_returns, "documents": documents_toxic}
-
-
 # ---------------------------------------------------------------------------
 # DuckDB twins of the feature sets, used as CTEs by the oracle SQL.
 # ---------------------------------------------------------------------------
@@ -110,6 +108,7 @@ SQL_FS_E = """fs_e AS (
 
 SQL_FS_L = """fs_l AS (
   SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber,
+         strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate,
          CAST(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS INTEGER) AS label,
          l.l_quantity, l.l_extendedprice,
          nullif(l.l_discount, 0.0) AS l_discount, nullif(l.l_tax, 0.0) AS l_tax,

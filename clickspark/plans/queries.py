@@ -67,7 +67,7 @@ L_KEY = list(FS_L.key)
 L_KEY_SQL = ", ".join(L_KEY)
 E_COLS = ", ".join(FS_E.columns)
 _L_SPLIT = ("CASE WHEN substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), "
-            "CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) || '-2019'), 1, 4) < 'b333' "
+            "CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), l_shipdate) || '-2019'), 1, 4) < 'b333' "
             "THEN 'train' ELSE 'test' END")
 L_COLS = ", ".join(FS_L.columns)
 
@@ -131,7 +131,7 @@ def q_describe_numeric(spark, sf):
     return rounded(profile.describe_numeric(df, spec.numeric))
 
 
-_FS_L_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+_FS_L_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_shipdate": "string",
                "label": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
                "l_tax": "double"}
 
@@ -229,10 +229,10 @@ def q_correlation_clicked(spark, sf):
     return rounded(profile.correlation_matrix(df.where(F.col(spec.label) == 1), spec.numeric))
 
 
-@register("correlated_pairs", _corr_sql("fs_l", SQL_FS_L, L_NUM, threshold=0.5))
+@register("correlated_pairs", _corr_sql("fs_l", SQL_FS_L, L_NUM, threshold=0.001))
 def q_correlated_pairs(spark, sf):
     df, spec = lineitem_returns(spark, sf)
-    return rounded(profile.correlated_pairs(df, spec.numeric, 0.5))
+    return rounded(profile.correlated_pairs(df, spec.numeric, 0.001))
 
 
 @register("correlated_pairs_documents", _corr_sql("fs_d", SQL_FS_D, list(FS_D.numeric), threshold=0.5))
@@ -558,8 +558,7 @@ def q_index_category_keep(spark, sf):
     df, spec = lineitem_returns(spark, sf)
     df = clean.blank_to_null(df, ["p_brand"])          # blanks become nulls -> the 'keep' bucket
     train = sample.train_test(df, spec)[0]
-    model = encode.string_indexer(spec.categorical).fit(train)
-    out = model.transform(df)
+    out = encode.fit_category_index(train, spec.categorical).transform(df)
     return out.select(*spec.key, *[c + "_idx" for c in spec.categorical])
 
 
@@ -1000,7 +999,3 @@ def q_stream_scoring(spark, sf):
         return spark.read.parquet(sink)
     finally:
         prep.unpersist()
-
-
-def feature_spec_of(name: str) -> FeatureSpec:
-    return {"events": FS_E, "lineitem": FS_L}[name]

@@ -19,8 +19,16 @@ from clickspark.functions import split_fields
 
 
 def write_delimited_text(df: DataFrame, path: str, sep: str = "\t") -> str:
-    """Write rows as delimited lines, nulls as empty fields (the raw log layout)."""
-    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    """Write rows as delimited lines, nulls as empty fields (the raw log layout).
+
+    The layout has no quoting: a value that holds the separator or a line end is
+    an error, since it could not be read back."""
+    def field(c):
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        broken = F.contains(text, F.lit(sep)) | F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+        return F.when(broken, F.raise_error(F.lit(f"column {c}: separator or line end in a value"))).otherwise(text)
+
+    line = F.concat_ws(sep, *[field(c) for c in df.columns])
     df.select(line.alias("value")).write.mode("errorifexists").text(path)
     return path
 
@@ -30,7 +38,8 @@ def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType,
     """Parse delimited lines into ``schema``; empty fields become null.
 
     Fields are positional: field i gets the name and type of schema field i, so
-    a file without names (``_1 .. _n``) is typed without an RDD round trip.
+    a file without names (``_1 .. _n``) is typed without an RDD round trip. A line
+    with too few fields has nulls in the missing ones; surplus fields are dropped.
     """
     lines = spark.read.text(path)
     value = F.col("value")
@@ -39,7 +48,7 @@ def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType,
     parts = split_fields(value, sep)
     cols = []
     for i, f in enumerate(schema.fields):
-        raw = F.nullif(parts.getItem(i), F.lit(""))
+        raw = F.nullif(F.get(parts, F.lit(i)), F.lit(""))
         typed = raw if isinstance(f.dataType, T.StringType) else raw.try_cast(f.dataType)
         cols.append(typed.alias(f.name))
     return lines.select(*cols)
@@ -49,10 +58,12 @@ NULL_MARKER = "\\N"   # fixed value: how a null is spelled in CSV files
 
 
 def _csv_options(rw, header: bool):
-    """Options shared by the CSV writer and reader: nulls as \\N and no
-    whitespace trimming, so null, '' and ' ' all survive a round trip (with the
-    defaults an empty string and a null both come back as null)."""
+    """Options shared by the CSV writer and reader: nulls as \\N, no whitespace
+    trimming, quotes doubled inside quotes and line ends allowed there, so null,
+    '', ' ' and text of several lines all survive a round trip. Such files are
+    read whole by one task each; big tables belong in Parquet."""
     return (rw.option("header", str(header).lower()).option("nullValue", NULL_MARKER)
+              .option("multiLine", "true").option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
 
 

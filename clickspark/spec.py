@@ -34,10 +34,6 @@ class FeatureSpec:
     def columns(self) -> tuple[str, ...]:
         return tuple(self.key) + (self.label,) + self.features
 
-    def with_roles(self, numeric=None, categorical=None) -> "FeatureSpec":
-        return FeatureSpec(self.key, self.label,
-                           tuple(numeric if numeric is not None else self.numeric),
-                           tuple(categorical if categorical is not None else self.categorical))
 
     @classmethod
     def from_schema(cls, df: DataFrame, label: str, key, exclude=()) -> "FeatureSpec":

@@ -18,7 +18,6 @@ Two shapes:
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,8 +101,9 @@ def run_hourly_ctr(spark: SparkSession, source_path: str, changelog_path: str |
     q = (stream.writeStream.option("checkpointLocation", checkpoint_path)
          .foreachBatch(write_batch).trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(changelog_path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         changelog = spark.read.parquet(changelog_path)
-    except AnalysisException:   # no micro-batch ran: nothing was written
+    else:                       # no micro-batch ran: nothing was written
         changelog = spark.createDataFrame([], "window_start timestamp_ntz, n bigint, clicks bigint")
     return consolidate_changelog(changelog)

@@ -76,32 +76,24 @@ def test_explain_params(spark):
     assert {"maxIter", "maxDepth"} <= {r["param"] for r in rows}
 
 
-def test_high_cardinality_column_uses_hashed_index(spark, monkeypatch):
+def test_category_index_does_not_depend_on_the_join(spark, tmp_path):
     from clickspark.operators import encode
     df, spec = events_clicks(spark, SF_SMALL)
-    # pretend the bound is tiny so 'uid' (150 values) counts as unbounded
-    monkeypatch.setattr(encode, "MAX_BROADCAST_LABELS", 10)
-    monkeypatch.setattr(models, "cardinality_split",
-                        lambda d, cols, **kw: encode.cardinality_split(d, cols, max_labels=10,
-                                                                        estimates=kw.get("estimates")))
-    prep = models.prepare(df, spec)
-    try:
-        kinds = [type(s).__name__ for s in prep.pipeline.stages]
-        assert "SQLTransformer" in kinds and "StringIndexerModel" in kinds
-        assert prep.train.count() + prep.test.count() == df.count()
-    finally:
-        prep.unpersist()
-
-
-def test_hashed_index_stage_matches_function(spark):
-    from clickspark.operators import encode
-    df, spec = events_clicks(spark, SF_SMALL)
-    df = df.withColumn("uid", F.when(F.col("event_id") == 0, None).otherwise(F.col("uid")))
-    a = encode.hashed_index_stage(["uid"], 97).transform(df).select("event_id", "uid_idx")
-    b = encode.hashed_index(df, ["uid"], 97).select("event_id", "uid_idx")
-    assert a.subtract(b).count() == 0 and a.count() == df.count()
-    vals = [r["uid_idx"] for r in a.collect()]
-    assert all(0 <= v < 97 or v == 97 for v in vals) and 97.0 in vals
+    df = df.withColumn("uid", F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("uid")))
+    stage = encode.fit_category_index(df.where("event_id % 3 != 0"), spec.categorical)
+    path = str(tmp_path / "stage")
+    stage.save(path)
+    a = encode.CategoryIndexModel.load(path).transform(df)
+    index = encode.load_index(spark, stage.getOrDefault("indexPath"))
+    b = encode.apply_category_index(df, index, spec.categorical, max_broadcast_labels=0)
+    assert a.select(b.columns).exceptAll(b).count() == 0 and a.count() == df.count()
+    nulls = a.where("uid is null").select("uid_idx").distinct().collect()
+    assert [r.uid_idx for r in nulls] == [index.where("feature = 'uid'").count()]
+
+
+def test_only_logistic_regression_is_weighted_by_default():
+    weights = {k: models.make_classifier(k).isSet("weightCol") for k in ("lr", "rf", "gbt", "lsvc")}
+    assert weights == {"lr": True, "rf": False, "gbt": False, "lsvc": False}
 
 
 def test_prepare_write_back_matches_persist(planted):
