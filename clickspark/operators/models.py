@@ -8,8 +8,8 @@ Shape of a run (the reference's single-job layout, with its traps removed):
 3. feature pipeline (stored category index -> VectorAssembler -> StandardScaler)
    fitted on the TRAIN rows only, then applied to both parts
 4. class weights from the train rows
-5. the featurized train/test tables are repartitioned by key over all cores
-   and persisted once (every later fit and metric reads them instead of
+5. the featurized train/test tables are repartitioned and sorted by key (the
+   number of partitions follows the rows alone) and persisted once (every later fit and metric reads them instead of
    recomputing the joins and the scans); optionally written to the shared
    folder instead
 6. fit, score both parts, exact AUC and weighted metrics as DataFrames
@@ -76,17 +76,17 @@ def feature_names(spec: FeatureSpec) -> list[str]:
     return list(spec.numeric) + [c + "_idx" for c in spec.categorical]
 
 
+ROWS_PER_ML_PARTITION = 50_000
+MAX_SMALL_PARTITIONS = 4096
 MAX_ROWS_PER_ML_PARTITION = 2_000_000
-MIN_ROWS_PER_ML_PARTITION = 50_000
 
 
-def ml_partitions(spark, n_rows: int) -> int:
-    """Partitions for tables that MLlib scans once per iteration: two per core
-    when there are enough rows (a task per few rows only adds scheduling cost
-    to every iteration), and never more than MAX_ROWS_PER_ML_PARTITION rows each."""
-    cores = spark.sparkContext.defaultParallelism
-    by_cores = min(2 * cores, max(1, -(-n_rows // MIN_ROWS_PER_ML_PARTITION)))
-    return max(by_cores, -(-n_rows // MAX_ROWS_PER_ML_PARTITION))
+def ml_partitions(n_rows: int) -> int:
+    """Partitions for tables that MLlib scans once per iteration, from the row
+    count alone: MLlib draws its bootstrap samples per partition, so a layout
+    that followed the cores would give other trees on another cluster."""
+    by_rows = min(MAX_SMALL_PARTITIONS, -(-n_rows // ROWS_PER_ML_PARTITION))
+    return max(1, by_rows, -(-n_rows // MAX_ROWS_PER_ML_PARTITION))
 
 
 def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
@@ -144,7 +144,7 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
         is_train = F.col("split") == "train"
         row = base.agg(F.count(F.lit(1)).alias("_n"), F.count_if(is_train).alias("_nt"),
                        F.count_if(is_train & (F.col(spec.label) == 1)).alias("_pt")).first()
-        parts = ml_partitions(spark, row["_n"])
+        parts = ml_partitions(row["_n"])
         ratio = (row["_nt"] - row["_pt"]) / row["_nt"] if row["_nt"] else 0.5
     train_raw = base.where(F.col("split") == "train")
     pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec)
@@ -153,11 +153,11 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
                           ratio=ratio)
     test = pipe.transform(base.where(F.col("split") == "test")).select(*keep).withColumn(WEIGHT, F.lit(1.0))
     if persist:
-        # every fit makes many passes: spread the rows over all cores (AQE may
-        # have coalesced the join output to a few partitions); hashing the key
-        # keeps the layout identical when a lost partition is recomputed
-        train = train.repartition(parts, *spec.key)
-        test = test.repartition(parts, *spec.key)
+        # every fit makes many passes: spread the rows (AQE may have coalesced the
+        # join output to a few partitions); hashing and sorting by the key keeps
+        # the layout identical on any cluster and when a lost partition is recomputed
+        train = train.repartition(parts, *spec.key).sortWithinPartitions(*spec.key)
+        test = test.repartition(parts, *spec.key).sortWithinPartitions(*spec.key)
         if materialize == "write":
             train = _write_back(train, "train")
             test = _write_back(test, "test")

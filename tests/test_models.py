@@ -91,6 +91,20 @@ def test_category_index_does_not_depend_on_the_join(spark, tmp_path):
     assert [r.uid_idx for r in nulls] == [index.where("feature = 'uid'").count()]
 
 
+def test_forest_does_not_depend_on_the_input_partitioning(spark, monkeypatch):
+    df, spec = events_clicks(spark, SF_SMALL)
+    monkeypatch.setattr(models, "ROWS_PER_ML_PARTITION", 200)
+    found = []
+    for n in (1, 7):
+        prep = models.prepare(df.repartition(n), spec)
+        try:
+            assert prep.train.rdd.getNumPartitions() == models.ml_partitions(df.count()) > 1
+            found.append(models.train(prep, "rf", numTrees=5).model.featureImportances.toArray())
+        finally:
+            prep.unpersist()
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
 def test_only_logistic_regression_is_weighted_by_default():
     weights = {k: models.make_classifier(k).isSet("weightCol") for k in ("lr", "rf", "gbt", "lsvc")}
     assert weights == {"lr": True, "rf": False, "gbt": False, "lsvc": False}
