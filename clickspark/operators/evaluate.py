@@ -4,7 +4,8 @@ Predictions are first collapsed to one row per distinct score with the count of
 positives ``p`` and negatives ``n`` (partial aggregation: a score shared by a
 third of the rows is one row after the map side). Curves and AUC then need
 running sums over the score order, which come from the range-partitioned
-prefix operator instead of a single-task global window.
+prefix operator instead of a single-task global window. AUC keeps one row per
+range and group of them, so nothing of the data's size is stored.
 
 AUC is tie-aware: sum over scores of p * (negatives below + n/2) / (P * N),
 the same as ``BinaryClassificationEvaluator(numBins=0)``.
@@ -18,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickspark.operators.prefix import prefix_sums
+from clickspark.operators.prefix import prefix_sums, range_sums
 
 
 def score_counts(pred: DataFrame, label: str, score, group: Sequence[str] = ()) -> DataFrame:
@@ -33,34 +34,31 @@ def score_counts(pred: DataFrame, label: str, score, group: Sequence[str] = ())
 
 def auc_exact(pred: DataFrame, label: str, score, group: Sequence[str] = (),
               partitions: int | None = None) -> DataFrame:
-    """(group..., auc, n_pos, n_neg); auc is null when a class is absent."""
+    """(group..., auc, n_pos, n_neg); auc is null when a class is absent.
+
+    A positive beats the negatives of its own range that are below it and all
+    negatives of earlier ranges: each range gives its own sum, and the table of
+    ranges (at most partitions x groups rows) adds the rest."""
     counts = score_counts(pred, label, score, group)
-    run = prefix_sums(counts, [F.col("score").asc()], ["p", "n"], group, partitions)
-    contrib = F.col("p") * (F.col("cum_n") - F.col("n") + 0.5 * F.col("n"))
-    return (run.groupBy(*group)
-               .agg(F.sum(contrib).alias("_s"), F.max("total_p").alias("P"), F.max("total_n").alias("N"))
+    local = range_sums(counts, [F.col("score").asc()], ["n"], group, partitions)
+    inside = F.col("p") * (F.col("_lc_n") - 0.5 * F.col("n"))
+    ranges = local.groupBy("_pid", *group).agg(F.sum(inside).alias("_s"), F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_below", F.coalesce(F.sum("_n").over(earlier), F.lit(0.0)))
+    return (ranges.groupBy(*group)
+               .agg(F.sum(F.col("_s") + F.col("_p") * F.col("_below")).alias("_s"),
+                    F.sum("_p").alias("P"), F.sum("_n").alias("N"))
                .select(*group,
                        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_s") / (F.col("P") * F.col("N")))
                         .alias("auc"),
                        F.col("P").cast("bigint").alias("n_pos"), F.col("N").cast("bigint").alias("n_neg")))
 
 
-def _thin(run: DataFrame, max_points: int | None) -> DataFrame:
-    """Keep the last point of each of ``max_points`` equal-count bins of the
-    score order (a row-wise filter on the running sums: no extra shuffle).
-    Kept points are exact curve points; the final (1, 1) point is always kept."""
-    if not max_points:
-        return run
-    b, seq, tot = F.lit(int(max_points)), F.col("seq"), F.col("total_rows")
-    return run.where(F.floor((seq + 1) * b / tot) > F.floor(seq * b / tot))
-
-
 def roc_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
-              with_origin: bool = True, max_points: int | None = None) -> DataFrame:
-    """(threshold, fpr, tpr): one point per distinct score, descending; plus (0, 0).
-    ``max_points`` thins a curve with very many distinct scores (see ``_thin``)."""
+              with_origin: bool = True) -> DataFrame:
+    """(threshold, fpr, tpr): one point per distinct score, descending; plus (0, 0)."""
     counts = score_counts(pred, label, score)
-    run = _thin(prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions), max_points)
+    run = prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions)
     pts = run.select(F.col("score").alias("threshold"),
                      F.try_divide(F.col("cum_n"), F.col("total_n")).alias("fpr"),
                      F.try_divide(F.col("cum_p"), F.col("total_p")).alias("tpr"))
@@ -70,11 +68,10 @@ def roc_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
     return pts
 
 
-def pr_curve(pred: DataFrame, label: str, score, partitions: int | None = None,
-             max_points: int | None = None) -> DataFrame:
+def pr_curve(pred: DataFrame, label: str, score, partitions: int | None = None) -> DataFrame:
     """(threshold, recall, precision): one point per distinct score, descending."""
     counts = score_counts(pred, label, score)
-    run = _thin(prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions), max_points)
+    run = prefix_sums(counts, [F.col("score").desc()], ["p", "n"], (), partitions)
     return run.select(F.col("score").alias("threshold"),
                       F.try_divide(F.col("cum_p"), F.col("total_p")).alias("recall"),
                       F.try_divide(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"))

@@ -37,6 +37,7 @@ from clickspark.operators.clean import fill_numeric_zero
 from clickspark.operators.encode import class_weights, fit_category_index
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
+from clickspark.operators.select import select_features
 from clickspark.session import ensure_checkpoint_dir, scratch_path
 from clickspark.spec import FeatureSpec
 
@@ -51,6 +52,15 @@ REFERENCE_PARAMS = {
 }
 
 
+# fixed values: the reference's classifier settings for the sample runs
+SAMPLE_PARAMS = {
+    "lr": {"maxIter": 10},
+    "rf": {"numTrees": 10},
+    "gbt": {"maxIter": 10},
+    "lsvc": {"maxIter": 10, "regParam": 0.1},
+}
+
+
 def make_classifier(kind: str, weighted: bool | None = None, seed: int = 2019, **params):
     """``weighted``: train with the class weights; by default only logistic
     regression does, as in the reference configuration."""
@@ -111,7 +121,8 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
-            persist: bool = True, materialize: str = "persist", fit_scope: str = "train") -> Prepared:
+            persist: bool = True, materialize: str = "persist", fit_scope: str = "train",
+            selection: tuple[str, float] | None = None) -> Prepared:
     """Steps 1-5 of the module docstring.
 
     The base table (joins, fill, split) is persisted while the feature pipeline
@@ -127,6 +138,9 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     ``fit_scope="all"`` fits the indexer and scaler on all rows before the
     split -- test rows leak into the features -- and exists only to measure
     that effect against the default ``"train"``.
+
+    ``selection`` is a (mode, threshold) of ``select.univariate_select``: features
+    are selected on the train rows, and both parts have the selected ones only.
     """
     if materialize not in ("persist", "write"):
         raise ValueError("materialize must be 'persist' or 'write'")
@@ -147,6 +161,8 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
         parts = ml_partitions(row["_n"])
         ratio = (row["_nt"] - row["_pt"]) / row["_nt"] if row["_nt"] else 0.5
     train_raw = base.where(F.col("split") == "train")
+    if selection:
+        spec = select_features(train_raw, spec, *selection)
     pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT,
@@ -214,15 +230,33 @@ def evaluate(result: TrainResult, spec: FeatureSpec) -> DataFrame:
 
 
 def train_report(df: DataFrame, spec: FeatureSpec, kind: str, params: dict | None = None,
-                 weighted: bool | None = None) -> DataFrame:
-    prep = prepare(df, spec)
+                 weighted: bool | None = None, selection: tuple[str, float] | None = None) -> DataFrame:
+    """The rows of ``evaluate``; with a ``selection``, also one row per selected feature."""
+    prep = prepare(df, spec, selection=selection)
     res = train(prep, kind, weighted=weighted, **(params if params is not None else REFERENCE_PARAMS[kind]))
     try:
-        return evaluate(res, spec)
+        report = evaluate(res, spec)
+        if not selection:
+            return report
+        chosen = df.sparkSession.createDataFrame([(kind, f"selected_{c}", 1.0) for c in prep.spec.features], report.schema)
+        return report.unionByName(chosen)
     finally:
         prep.unpersist()
 
 
+def prediction_preview(pred: DataFrame, spec: FeatureSpec, n: int = 10, negatives_first: bool = False) -> DataFrame:
+    """(key..., label, raw_prediction, probability, prediction) of ``n`` rows of a
+    fitted model's predictions, vectors as arrays: the first by key, or the rows
+    predicted negative with the highest class-0 probability. A top-n per partition
+    and one merge; only those rows reach the driver."""
+    out = pred.select(*spec.key, spec.label, vector_to_array("rawPrediction").alias("raw_prediction"),
+                      vector_to_array("probability").alias("probability"), "prediction")
+    order = [F.col(k).asc() for k in spec.key]
+    if negatives_first:
+        out, order = out.where(F.col("prediction") == 0), [F.col("probability")[0].desc(), *order]
+    return pred.sparkSession.createDataFrame(out.orderBy(*order).limit(n).collect(), out.schema)
+
+
 def full_model(prep: Prepared, result: TrainResult) -> PipelineModel:
     """Feature pipeline + classifier as one ``PipelineModel``: persistable with
     ``.write().save(path)`` and usable on raw rows (numerics filled first)."""

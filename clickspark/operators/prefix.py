@@ -76,14 +76,12 @@ def _local_running(group: list[str], sums: list[str]):
     return run
 
 
-def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = (),
-                group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """Add ``seq`` (0-based row number), ``cum_<s>`` (inclusive running sum) and
-    ``total_<s>`` / ``total_rows`` (group totals) for every row, in ``order`` within ``group``.
-
-    ``order`` must be a total order for ``seq`` to be deterministic (add the key
-    as the last tie-breaker).
-    """
+def range_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = (),
+               group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Rows in sorted ranges: adds ``_pid`` (the range; ids ascend in ``order``),
+    ``_lseq`` and ``_lc_<s>`` (row number and inclusive running sum inside the
+    range, per group). A row's range is fixed within one execution only: read the
+    result once, or checkpoint it."""
     group, sums = list(group), list(sums)
     keys = [F.col(g) for g in group] + list(order)
     # Without an explicit count AQE may merge adjacent small ranges after the
@@ -93,7 +91,19 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = ()
     ranged = ranged.sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
     out_schema = T.StructType(ranged.schema.fields + [T.StructField("_lseq", T.LongType())] +
                               [T.StructField(f"_lc_{s}", T.DoubleType()) for s in sums])
-    local = checkpoint(ranged.mapInPandas(_local_running(group, sums), out_schema))
+    return ranged.mapInPandas(_local_running(group, sums), out_schema)
+
+
+def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = (),
+                group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Add ``seq`` (0-based row number), ``cum_<s>`` (inclusive running sum) and
+    ``total_<s>`` / ``total_rows`` (group totals) for every row, in ``order`` within ``group``.
+
+    ``order`` must be a total order for ``seq`` to be deterministic (add the key
+    as the last tie-breaker).
+    """
+    group, sums = list(group), list(sums)
+    local = checkpoint(range_sums(df, order, sums, group, partitions))
 
     totals = local.groupBy("_pid", *group).agg(
         F.max("_lseq").alias("_pn"), *[F.max(f"_lc_{s}").alias(f"_pt_{s}") for s in sums])

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickspark.operators.prefix import prefix_sums
 from clickspark.spec import FeatureSpec
 
 
@@ -107,22 +108,52 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return _explode_stats(wide, rows)
 
 
+def _is_integral(t) -> bool:
+    return isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
+
+
 def describe_all_fields(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per field, strings included: type, non-null count, null count, exact distinct count,
-    and min/max of string fields (null for other types).
-
-    One scan: every field is unpivoted into a typed slot (integral, floating or
-    text, so no value is converted to text and -0.0 equals 0.0) and counted per
-    distinct (feature, value) pair, map-side combined so a hot value is one row
-    per task; a second, small aggregate over those pairs yields every statistic.
-    """
+    """(feature, dtype, n_non_null, n_null, mean, stddev, min_value, max_value, min_str, max_str)
+    for every field, one scan and one wide aggregate.
+
+    Numeric fields have mean, sample stddev and numeric min/max; string fields
+    have min/max as text; what does not apply is null. An empty table gives zero
+    counts and nulls. Exact distinct counts are ``distinct_all_fields``."""
+    cols = list(columns or df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aggs, rows = [F.count(F.lit(1)).alias("_n")], []
+    for i, c in enumerate(cols):
+        t, x = types[c], F.col(c)
+        number = isinstance(t, T.NumericType)
+        text = isinstance(t, T.StringType)
+        aggs.append(F.count(x).alias(f"c{i}"))
+        if number:
+            d = x.cast("double")
+            aggs += [F.avg(d).alias(f"m{i}"), F.stddev_samp(d).alias(f"s{i}"), F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}")]
+        elif text:
+            aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        num = lambda k, on=number, i=i: (F.col(f"{k}{i}") if on else F.lit(None)).cast("double")
+        txt = lambda k, on=text, i=i: (F.col(f"{k}{i}") if on else F.lit(None)).cast("string")
+        rows.append(F.struct(
+            F.lit(c).alias("feature"), F.lit(t.simpleString()).alias("dtype"), F.col(f"c{i}").alias("n_non_null"),
+            (F.col("_n") - F.col(f"c{i}")).alias("n_null"), num("m").alias("mean"), num("s").alias("stddev"),
+            num("lo").alias("min_value"), num("hi").alias("max_value"), txt("lo").alias("min_str"), txt("hi").alias("max_str")))
+    return _explode_stats(df.agg(*aggs), rows)
+
+
+def distinct_all_fields(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(feature, n_distinct): exact distinct non-null values of every field.
+
+    Every field is unpivoted into a typed slot (integral, floating or text, so
+    -0.0 equals 0.0 and decimals stay exact) and grouped by (feature, value),
+    map-side combined, so a hot value is one row per task. It shuffles the values
+    of near-unique fields; ``category_cardinality(approx=True)`` does not."""
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def slot(c):
-        t = types[c]
-        integral = isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
-        floating = isinstance(t, (T.FloatType, T.DoubleType))      # decimals stay exact, as text
+        integral = _is_integral(types[c])
+        floating = isinstance(types[c], (T.FloatType, T.DoubleType))      # decimals stay exact, as text
         return F.struct(
             F.lit(c).alias("feature"),
             (F.col(c).cast("bigint") if integral else F.lit(None).cast("bigint")).alias("v_int"),
@@ -131,17 +162,8 @@ def describe_all_fields(df: DataFrame, columns: Sequence[str] | None = None) ->
             F.col(c).isNull().alias("is_null"))
 
     long = df.select(F.explode(F.array(*[slot(c) for c in cols])).alias("_m")).select("_m.*")
-    pairs = long.groupBy("feature", "v_int", "v_dbl", "v_str", "is_null").agg(F.count(F.lit(1)).alias("n"))
-    strings = [c for c in cols if isinstance(types[c], T.StringType)]
-    is_str = F.col("feature").isin(strings) if strings else F.lit(False)
-    stats = pairs.groupBy("feature").agg(
-        F.sum(F.when(~F.col("is_null"), F.col("n")).otherwise(0)).cast("bigint").alias("n_non_null"),
-        F.sum(F.when(F.col("is_null"), F.col("n")).otherwise(0)).cast("bigint").alias("n_null"),
-        F.count_if(~F.col("is_null")).alias("n_distinct"),
-        F.min("v_str").alias("_min"), F.max("v_str").alias("_max"))
-    dtype = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c].simpleString()))])
-    return stats.select("feature", dtype[F.col("feature")].alias("dtype"), "n_non_null", "n_null", "n_distinct",
-                        F.when(is_str, F.col("_min")).alias("min_str"), F.when(is_str, F.col("_max")).alias("max_str"))
+    return (long.groupBy("feature", "v_int", "v_dbl", "v_str", "is_null").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("feature").agg(F.count_if(~F.col("is_null")).alias("n_distinct")))
 
 
 # --- categories -------------------------------------------------------------
@@ -256,3 +278,18 @@ def quantile_profile(df: DataFrame, columns: Sequence[str], probs=(0.25, 0.5, 0.
     rows = [F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.col(f"q{i}")[j].alias("value"))
             for i, c in enumerate(columns) for j, p in enumerate(probs)]
     return _explode_stats(wide, rows)
+
+
+def quantile_exact(df: DataFrame, columns: Sequence[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(feature, prob, value): the smallest value that at least ``prob`` of the
+    non-null values do not exceed (a column without values has no rows).
+
+    One row per distinct value with its count, then the distributed running sum
+    over the value order: no column is ever sorted in one task."""
+    counts = (melt(df, columns, value_type="double").where(F.col("value").isNotNull())
+              .groupBy("feature", "value").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    run = prefix_sums(counts, [F.col("value").asc()], ["n"], ["feature"])
+    at = run.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    rank = F.greatest(F.ceil(F.col("prob") * F.col("total_n")), F.lit(1))
+    return (at.where((F.col("cum_n") >= rank) & (F.col("cum_n") - F.col("n") < rank))
+            .select("feature", "prob", "value"))

@@ -140,17 +140,29 @@ def _describe_all_sql() -> str:
     parts = []
     for c in FS_L.columns:
         t = _FS_L_TYPES.get(c, "string")
-        mm = (f"min({c}) AS min_str, max({c}) AS max_str" if t == "string"
-              else "CAST(NULL AS VARCHAR) AS min_str, CAST(NULL AS VARCHAR) AS max_str")
+        d = f"CAST({c} AS DOUBLE)"
+        none = "CAST(NULL AS {0}) AS {1}"
+        stats = ([none.format("DOUBLE", k) for k in ("mean", "stddev", "min_value", "max_value")]
+                 + [f"min({c}) AS min_str", f"max({c}) AS max_str"] if t == "string" else
+                 [f"round(avg({d}), 6) AS mean", f"round(stddev_samp({d}), 6) AS stddev",
+                  f"round(min({d}), 6) AS min_value", f"round(max({d}), 6) AS max_value"]
+                 + [none.format("VARCHAR", k) for k in ("min_str", "max_str")])
         parts.append(f"SELECT '{c}' AS feature, '{t}' AS dtype, count({c}) AS n_non_null, "
-                     f"count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, {mm} FROM fs_l")
+                     f"count(*) - count({c}) AS n_null, {', '.join(stats)} FROM fs_l")
     return _with(SQL_FS_L) + "\nUNION ALL\n".join(parts)
 
 
 @register("describe_all_fields", _describe_all_sql())
 def q_describe_all_fields(spark, sf):
     df, spec = lineitem_returns(spark, sf)
-    return profile.describe_all_fields(df, list(spec.columns))
+    return rounded(profile.describe_all_fields(df, list(spec.columns)))
+
+
+@register("distinct_all_fields", _with(SQL_FS_L) + _union(
+    "fs_l", list(FS_L.columns), "'{c}' AS feature, count(DISTINCT {c}) AS n_distinct"))
+def q_distinct_all_fields(spark, sf):
+    df, spec = lineitem_returns(spark, sf)
+    return profile.distinct_all_fields(df, list(spec.columns))
 
 
 @register("null_profile", _with(SQL_FS_L) + _union(
@@ -280,10 +292,12 @@ def q_skew_profile(spark, sf):
     return rounded(profile.skew_profile(df, spec.numeric))
 
 
-@register("quantile_profile")
+@register("quantile_profile", _with(SQL_FS_E) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST({p} AS DOUBLE) AS prob, round(quantile_disc(CAST({c} AS DOUBLE), {p}), 6) AS value FROM fs_e"
+    for c in E_NUM for p in (0.25, 0.5, 0.75)))
 def q_quantile_profile(spark, sf):
     df, spec = events_clicks(spark, sf)
-    return profile.quantile_profile(df, spec.numeric)
+    return rounded(profile.quantile_exact(df, spec.numeric))
 
 
 # ---------------------------------------------------------------------------
@@ -667,13 +681,13 @@ def q_one_hot_long(spark, sf):
     return encode.one_hot_long(enc, spec.key, spec.categorical, sizes)
 
 
-def _chi_sql() -> str:
-    body = _union("fs_l", L_CAT, "'{c}' AS feature, CAST({c} AS VARCHAR) AS value, label")
+def _chi_sql(where: str = "", digits: int = 4) -> str:
+    body = _union("fs_l", L_CAT, "'{c}' AS feature, CAST({c} AS VARCHAR) AS value, label", where)
     return _with(SQL_FS_L, f"""cells AS (SELECT feature, value, label, count(*) AS n FROM ({body}) u GROUP BY ALL),
 r AS (SELECT feature, value, sum(n) AS r FROM cells GROUP BY ALL),
 c AS (SELECT feature, label, sum(n) AS c FROM cells GROUP BY ALL),
-t AS (SELECT feature, sum(n) AS big_n, count(DISTINCT value) AS nv, count(DISTINCT label) AS nl FROM cells GROUP BY ALL)""") + """
-SELECT t.feature, round(CAST(t.big_n AS DOUBLE) * (sum(CAST(cells.n AS DOUBLE) * cells.n / (CAST(r.r AS DOUBLE) * c.c)) - 1.0), 4) AS statistic,
+t AS (SELECT feature, sum(n) AS big_n, count(DISTINCT value) AS nv, count(DISTINCT label) AS nl FROM cells GROUP BY ALL)""") + f"""
+SELECT t.feature, round(CAST(t.big_n AS DOUBLE) * (sum(CAST(cells.n AS DOUBLE) * cells.n / (CAST(r.r AS DOUBLE) * c.c)) - 1.0), {digits}) AS statistic,
        CAST((t.nv - 1) * (t.nl - 1) AS BIGINT) AS dof
 FROM cells JOIN r USING (feature, value) JOIN c USING (feature, label) JOIN t USING (feature)
 GROUP BY t.feature, t.big_n, t.nv, t.nl"""
@@ -685,25 +699,29 @@ def q_chi_square_stat(spark, sf):
     return rounded(select.chi_square_stat(df, spec, spec.categorical), 4)
 
 
-def _indexed_lineitem(spark, sf):
+def _select_sql(chosen: str) -> str:
+    """P-value: 1 less the series of the regularised lower incomplete gamma function,
+    whose term n is z^(a+n) e^-z / Gamma(a+n+1); the terms rise until n is about z."""
+    a, z = "(dof / 2.0)", "(statistic / 2.0)"
+    lower = f"list_sum([exp(({a} + i) * ln({z}) - {z} - lgamma({a} + i + 1)) FOR i IN range(0, 4000)])"
+    return f"""SELECT feature, round(statistic, 4) AS statistic, dof, round(p, 6) AS p_value, {chosen} AS selected
+FROM (SELECT *, 1.0 - {lower} AS p FROM ({_chi_sql(where=f"{_L_SPLIT} = 'train'", digits=12)}) x) y"""
+
+
+def _selected(spark, sf, mode, threshold):
     df, spec = lineitem_returns(spark, sf)
-    index = encode.index_category(df, spec.categorical)
-    enc = encode.apply_category_index(df, index, spec.categorical)
-    return enc, spec, [c + "_idx" for c in spec.categorical]
+    out = select.univariate_select(sample.train_test(df, spec)[0], spec, spec.categorical, mode, threshold)
+    return out.withColumns({"statistic": F.round("statistic", 4), "p_value": F.round("p_value", 6)})
 
 
-@register("select_fpr")
+@register("select_fpr", _select_sql("p < 0.05"))
 def q_select_fpr(spark, sf):
-    enc, spec, cols = _indexed_lineitem(spark, sf)
-    train = sample.train_test(enc, spec)[0]
-    return select.univariate_select(train, spec, cols, mode="fpr", threshold=0.05)
+    return _selected(spark, sf, "fpr", 0.05)
 
 
-@register("select_top_n")
+@register("select_top_n", _select_sql("row_number() OVER (ORDER BY p, feature) <= 3"))
 def q_select_top_n(spark, sf):
-    enc, spec, cols = _indexed_lineitem(spark, sf)
-    train = sample.train_test(enc, spec)[0]
-    return select.univariate_select(train, spec, cols, mode="numTopFeatures", threshold=3)
+    return _selected(spark, sf, "numTopFeatures", 3)
 
 
 # ---------------------------------------------------------------------------
@@ -920,6 +938,46 @@ for _kind in ("lr", "rf", "gbt", "lsvc"):
     register(f"train_{_kind}")(_model_query(_kind))
 
 
+@register("train_lr_selected")
+def q_train_lr_selected(spark, sf):
+    df, spec = lineitem_returns(spark, sf)
+    return models.train_report(df, spec, "lr", selection=("numTopFeatures", 3))
+
+
+def _preview_query(kind: str, negatives_first: bool):
+    def q(spark, sf):
+        df, spec = events_clicks(spark, sf)
+        prep = models.prepare(df, spec)
+        try:
+            pred = models.train(prep, kind, **models.REFERENCE_PARAMS[kind]).pred_test
+            return models.prediction_preview(pred, spec, 10, negatives_first)
+        finally:
+            prep.unpersist()
+    return q
+
+
+for _kind in ("rf", "gbt"):
+    register(f"preview_{_kind}")(_preview_query(_kind, False))
+    register(f"top_negatives_{_kind}")(_preview_query(_kind, True))
+
+
+@register("lr_one_binary_feature", _with(SQL_FS_E) + """
+SELECT round(ln(n11 / n01) - ln(n10 / n00), 4) AS coefficient, round(ln(n10 / n00), 4) AS intercept
+FROM (SELECT CAST(count(*) FILTER (WHERE hour >= 12 AND label = 1) AS DOUBLE) AS n11,
+             CAST(count(*) FILTER (WHERE hour >= 12 AND label = 0) AS DOUBLE) AS n01,
+             CAST(count(*) FILTER (WHERE hour < 12 AND label = 1) AS DOUBLE) AS n10,
+             CAST(count(*) FILTER (WHERE hour < 12 AND label = 0) AS DOUBLE) AS n00 FROM fs_e) t""")
+def q_lr_one_binary_feature(spark, sf):
+    """Unregularised logistic regression on one 0/1 feature has a closed form: the log odds ratio."""
+    df, spec = events_clicks(spark, sf)
+    rows = encode.assemble(df.select(F.col(spec.label).cast("double").alias(models.LABEL),
+                                     (F.col("hour") >= 12).cast("double").alias("afternoon")),
+                           ["afternoon"], models.FEATURES)
+    model = models.make_classifier("lr", weighted=False, regParam=0.0, tol=1e-12, maxIter=100).fit(rows)
+    return rounded(spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))],
+                                         "coefficient double, intercept double"), 4)
+
+
 def _tune_query(kind: str):
     def q(spark, sf):
         df, spec = events_clicks(spark, sf)
@@ -959,6 +1017,12 @@ def q_compare_classifiers(spark, sf):
     return models.compare_classifiers(df, spec)
 
 
+@register("compare_classifiers_sample")
+def q_compare_classifiers_sample(spark, sf):
+    df, spec = events_clicks(spark, sf)
+    return models.compare_classifiers(df, spec, params=models.SAMPLE_PARAMS)
+
+
 @register("document_features", _with(SQL_FS_D) + """
 SELECT lang, count(*) AS n, CAST(sum(label) AS BIGINT) AS toxic, round(avg(CAST(n_words AS DOUBLE)), 6) AS mean_words
 FROM fs_d GROUP BY lang""")

@@ -7,7 +7,9 @@ runs in local mode and no folder is configured (tests, bench).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -62,6 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; on a cluster it must name a shared folder")
         conf_dir = tempfile.mkdtemp(prefix="clickspark-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)    # private to this process
         spark.conf.set(_CKPT_KEY, conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -38,12 +38,19 @@ def instant_to_ntz(c):
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
 
 
-def file_stream(spark: SparkSession, source_path: str, max_files_per_trigger: int = 1) -> DataFrame:
+#: Input of one micro-batch unless a number of files is given: many small files
+#: share a batch, and a backlog is still cut into bounded ones.
+MAX_BYTES_PER_TRIGGER = "64g"
+
+
+def file_stream(spark: SparkSession, source_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream over parquet files. ``source_path`` may be a folder (new files
     arriving in it) or a file/glob inside one; the schema is taken from the files
     present now and fixed for the stream."""
     schema = spark.read.parquet(source_path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.schema(schema)
+    reader = (reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger
+              else reader.option("maxBytesPerTrigger", MAX_BYTES_PER_TRIGGER))
     folder, name = source_path.rstrip("/").rsplit("/", 1)
     if name.endswith(".parquet") and not any(ch in name for ch in "*?[{"):
         # the file source treats a plain path as its own base folder; an exact
@@ -87,7 +94,7 @@ def consolidate_changelog(changelog: DataFrame) -> DataFrame:
 
 
 def run_hourly_ctr(spark: SparkSession, source_path: str, changelog_path: str | None = None,
-                   checkpoint_path: str | None = None, max_files_per_trigger: int = 1,
+                   checkpoint_path: str | None = None, max_files_per_trigger: int | None = None,
                    window: str = "1 hour") -> DataFrame:
     """Process everything available now, then return the consolidated table."""
     stream = file_stream(spark, source_path, max_files_per_trigger)

@@ -24,48 +24,89 @@ def test_quantile_profile_within_sketch_error(spark):
             assert lo - n / 10000 - 1 <= target <= hi + n / 10000 + 1
 
 
-def test_select_top_n_picks_largest_chi_square(spark):
+def test_selection_matches_the_ml_library(spark):
+    from pyspark.ml.feature import UnivariateFeatureSelector
+    from pyspark.ml.stat import ChiSquareTest
     df, spec = lineitem_returns(spark, SF_SMALL)
     enc = encode.apply_category_index(df, encode.index_category(df, spec.categorical), spec.categorical)
-    train = sample.train_test(enc, spec)[0]
-    cols = [c + "_idx" for c in spec.categorical]
-    chosen = {r["feature"] for r in select.univariate_select(train, spec, cols, "numTopFeatures", 3).collect()
-              if r["selected"]}
-    stats = select.chi_square_stat(train.select("label", *[F.col(c + "_idx").alias(c) for c in spec.categorical]),
-                                   spec, spec.categorical).collect()
-    # MLlib ranks by p-value; with the same statistic ordering by dof-adjusted p is what it uses,
-    # so compare against the three smallest p-values computed by brute force
-    from math import exp, lgamma, log
-
-    def chi2_sf(x, k):
-        # regularised upper incomplete gamma Q(k/2, x/2) by series / continued fraction
-        a, z = k / 2.0, x / 2.0
-        if z < a + 1:
-            term, s, ap = 1.0 / a, 1.0 / a, a
-            for _ in range(10000):
-                ap += 1
-                term *= z / ap
-                s += term
-                if term < s * 1e-15:
-                    break
-            return 1.0 - s * exp(-z + a * log(z) - lgamma(a))
-        b, c, d = z + 1 - a, 1e300, 1 / (z + 1 - a)
-        h = d
-        for i in range(1, 10000):
-            an = -i * (i - a)
-            b += 2
-            d = an * d + b
-            d = 1e-300 if abs(d) < 1e-300 else d
-            c = b + an / c
-            c = 1e-300 if abs(c) < 1e-300 else c
-            d = 1 / d
-            delta = d * c
-            h *= delta
-            if abs(delta - 1) < 1e-15:
-                break
-        return exp(-z + a * log(z) - lgamma(a)) * h
-    pvals = sorted((chi2_sf(r["statistic"], r["dof"]), r["feature"]) for r in stats)
-    assert chosen == {f + "_idx" for _, f in pvals[:3]}
+    enc = enc.withColumn("by_label", (F.col("label") * 3 + F.col("l_linenumber") % 3).cast("double"))
+    cols = [*[c + "_idx" for c in spec.categorical], "by_label"]
+    vec = encode.assemble(enc, cols, "features").withColumn("y", F.col("label").cast("double"))
+    test = ChiSquareTest.test(vec, "features", "y").first()
+    ours = {r["feature"]: r for r in select.univariate_select(enc, spec, cols, "fpr", 0.05).collect()}
+    for i, c in enumerate(cols):
+        assert ours[c]["statistic"] == pytest.approx(test.statistics[i], rel=1e-9)
+        assert ours[c]["dof"] == test.degreesOfFreedom[i]
+        assert ours[c]["p_value"] == pytest.approx(test.pValues[i], abs=1e-10)
+    for mode, limit in (("fpr", 0.5), ("numTopFeatures", 3), ("percentile", 0.5), ("fdr", 0.6), ("fwe", 0.9)):
+        theirs = UnivariateFeatureSelector(featuresCol="features", labelCol="y", outputCol="out", selectionMode=mode)
+        theirs = theirs.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(limit).fit(vec)
+        mine = select.univariate_select(enc, spec, cols, mode, limit).where("selected").collect()
+        assert {r["feature"] for r in mine} == {cols[i] for i in theirs.selectedFeatures}, mode
+
+
+def test_chi_square_tail():
+    # closed forms: exp(-x/2) for two degrees of freedom, with a polynomial factor for more even ones
+    from math import exp
+    for x in (0.1, 1.0, 3.0, 20.0, 200.0):
+        assert select.chi_square_sf(x, 2) == pytest.approx(exp(-x / 2), rel=1e-11)
+        assert select.chi_square_sf(x, 6) == pytest.approx(exp(-x / 2) * (1 + x / 2 + x * x / 8), rel=1e-11)
+    assert select.chi_square_sf(5.0, 0) == 1.0 and select.chi_square_sf(0.0, 3) == 1.0
+    assert 0.4 < select.chi_square_sf(1e6, 10 ** 6) < 0.6
+
+
+def test_selection_is_fitted_on_train_and_applied_to_both_parts(spark):
+    from clickspark.spec import FeatureSpec
+    from clickspark.operators.sample import hash_split
+    df = spark.createDataFrame([(i, i % 2, float(i % 2 + i % 5), float(i % 7), "ab"[i % 2], "xyz"[i % 3]) for i in range(600)],
+                               "key long, label int, x double, noise double, c string, d string")
+    spec = FeatureSpec(("key",), "label", ("x", "noise"), ("c", "d"))
+    # in the test rows alone, d gives the label away: the selection must not see it
+    split = hash_split(df, spec, 0.7, 2019)
+    leak = split.withColumn("d", F.when(F.col("split") == "test", F.col("label").cast("string")).otherwise(F.col("d"))).drop("split")
+    prep = models.prepare(leak, spec, selection=("fpr", 1e-6))
+    try:
+        assert prep.spec.features == ("x", "c")
+        assert {len(r[0]) for p in (prep.train, prep.test) for r in p.select(models.FEATURES).collect()} == {2}
+    finally:
+        prep.unpersist()
+    names = {r["metric"] for r in models.train_report(leak, spec, "lr", selection=("fpr", 1e-6)).collect()}
+    assert {"selected_x", "selected_c", "accuracy_train", "auc_test"} <= names
+
+
+def test_exact_quantiles(spark):
+    rows = [(1.0, 5), (2.0, None), (2.0, 7), (2.0, 7), (9.0, 8), (None, 1)]
+    df = spark.createDataFrame(rows, "a double, b int")
+    got = {(r["feature"], r["prob"]): r["value"] for r in profile.quantile_exact(df, ["a", "b"], (0.0, 0.2, 0.5, 0.8, 1.0)).collect()}
+    assert [got["a", p] for p in (0.0, 0.2, 0.5, 0.8, 1.0)] == [1.0, 1.0, 2.0, 2.0, 9.0]
+    assert [got["b", p] for p in (0.0, 0.2, 0.5, 0.8, 1.0)] == [1.0, 1.0, 7.0, 7.0, 8.0]
+    assert profile.quantile_exact(df.where("false"), ["a"]).count() == 0
+
+
+def test_describe_all_fields(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(1, "b", True, Decimal("1.50")), (3, None, False, None), (None, "a", True, Decimal("2.50"))],
+                               "i int, s string, f boolean, d decimal(10,2)")
+    got = {r["feature"]: r for r in profile.describe_all_fields(df).collect()}
+    assert (got["i"]["mean"], got["i"]["n_null"], got["i"]["min_value"], got["i"]["max_value"]) == (2.0, 1, 1.0, 3.0)
+    assert (got["s"]["min_str"], got["s"]["max_str"], got["s"]["mean"]) == ("a", "b", None)
+    assert got["f"]["n_non_null"] == 3 and got["f"]["mean"] is None
+    assert got["d"]["mean"] == 2.0
+    assert profile.describe_all_fields(df.where("false")).where("n_non_null = 0 and mean is null").count() == 4
+
+
+def test_previews_of_a_fitted_model(spark):
+    df, spec = events_clicks(spark, SF_SMALL)
+    prep = models.prepare(df, spec)
+    try:
+        pred = models.train(prep, "rf", numTrees=3).pred_test
+        first = models.prediction_preview(pred, spec, 5).collect()
+        assert [r["event_id"] for r in first] == sorted(r["event_id"] for r in pred.select("event_id").collect())[:5]
+        top = models.prediction_preview(pred, spec, 5, negatives_first=True).collect()
+        best = sorted((-float(r["probability"][0]) for r in pred.where("prediction = 0").select("probability").collect()))[:5]
+        assert [-r["probability"][0] for r in top] == best and all(len(r["raw_prediction"]) == 2 for r in top)
+    finally:
+        prep.unpersist()
 
 
 def test_stream_scoring_equals_batch_scoring(spark):

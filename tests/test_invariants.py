@@ -174,14 +174,12 @@ def test_degenerate_inputs_do_not_fail_under_ansi(spark):
     assert theory.label_entropy(empty, FeatureSpec(("s",), "label")).first()["n"] == 0
 
 
-def test_thinned_curve_keeps_exact_points(spark):
+def test_auc_is_the_same_over_any_ranges_and_stores_nothing(spark, monkeypatch):
+    from clickspark.operators import prefix
     df, _ = events_clicks(spark, SF_SMALL)
-    full = {r["threshold"]: (r["fpr"], r["tpr"]) for r in evaluate.roc_curve(df, "label", "value").collect()}
-    thin = evaluate.roc_curve(df, "label", "value", max_points=50).collect()
-    assert 2 <= len(thin) <= 51
-    for r in thin:
-        assert full[r["threshold"]] == (r["fpr"], r["tpr"])
-    assert max((r["fpr"], r["tpr"]) for r in thin) == (1.0, 1.0)
+    monkeypatch.setattr(prefix, "checkpoint", None)      # a call would fail
+    found = {round(evaluate.auc_exact(df, "label", "value", partitions=n).first()["auc"], 12) for n in (1, 3, 40)}
+    assert len(found) == 1
 
 
 def test_weighted_metrics_with_row_weights(spark):

@@ -68,7 +68,7 @@ def test_delimited_text_refuses_what_it_cannot_hold(spark):
 
 def test_decimals_are_counted_exactly(spark):
     df = spark.sql("select explode(array(12345678901234567890.01BD, 12345678901234567890.02BD)) as d")
-    assert profile.describe_all_fields(df).first().n_distinct == 2
+    assert profile.distinct_all_fields(df).first().n_distinct == 2
 
 
 def test_chi_square_of_one_class_and_null_labels(spark):
