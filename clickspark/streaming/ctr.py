@@ -40,7 +40,7 @@ def instant_to_ntz(c):
 
 #: Input of one micro-batch unless a number of files is given: many small files
 #: share a batch, and a backlog is still cut into bounded ones.
-MAX_BYTES_PER_TRIGGER = "64g"
+MAX_BYTES_PER_TRIGGER = 64 << 30
 
 
 def file_stream(spark: SparkSession, source_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
