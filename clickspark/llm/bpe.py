@@ -3,7 +3,7 @@
 Tier 1: a minimal perfect hash over the vocabulary resolves a pre-token that is
 itself a vocabulary entry. Tier 2: any other pre-token is merged by a heap of
 adjacent pairs over a linked list of its bytes. A bounded memo per Python worker
-keeps the ids of pre-tokens already seen.
+keeps the ids of pre-tokens already seen by the same query.
 
 The tables are built once on the driver from a rank file and broadcast; their
 size is bound by the vocabulary (about 50,000 entries), not by the data.
@@ -18,6 +18,7 @@ import heapq
 import itertools
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -177,11 +178,17 @@ class Memo(dict):
 _OF_PROCESS: dict = {}
 
 
-def of_process(key, make):
-    """``make()``, kept under ``key`` for the later tasks of a Python worker."""
-    if key not in _OF_PROCESS:
-        _OF_PROCESS[key] = make()
-    return _OF_PROCESS[key]
+def of_process(key, query: str, make):
+    """``make()``, kept under ``key`` for the later tasks of one query in a Python
+    worker. A new query replaces it, so no query profits from an earlier one."""
+    if _OF_PROCESS.get(key, ("",))[0] != query:
+        _OF_PROCESS[key] = (query, make())
+    return _OF_PROCESS[key][1]
+
+
+def new_query() -> str:
+    """A name for one call of an operator, made on the driver."""
+    return uuid.uuid4().hex
 
 
 def encoder(vocab: Vocabulary) -> Memo:
@@ -215,10 +222,11 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, id_col: str
     Null or empty text: no ids. Repeated rows each get a row; other columns are
     ignored. A narrow map: no shuffle, rows are independent."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocab_path))
+    query = new_query()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        memo = of_process(("bpe", vocab_path), lambda: encoder(shared.value))
+        _, memo = of_process("bpe", query, lambda: (shared.value, encoder(shared.value)))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -236,7 +244,7 @@ def decode_documents(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id"
     src = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def run(batches):
-        entries = of_process(("vocabulary", vocab_path), lambda: shared.value).entries
+        entries = shared.value.entries
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -255,6 +263,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str, pattern: str, id_col: s
     the decoded bytes of a very long text are held whole. Null text counts as
     empty: 0 tokens and the digests of nothing."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocab_path))
+    query = new_query()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def one(text, memo, entries):
@@ -266,8 +275,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str, pattern: str, id_col: s
         return n, ids_hash.hexdigest(), data_hash.hexdigest()
 
     def run(batches):
-        vocab = of_process(("vocabulary", vocab_path), lambda: shared.value)
-        memo = of_process(("bpe", vocab_path), lambda: encoder(vocab))
+        vocab, memo = of_process("bpe", query, lambda: (shared.value, encoder(shared.value)))
         for b in batches:
             n, ids, data = zip(*[one(t.as_py(), memo, vocab.entries) for t in b.column(1)], strict=True) if b.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickspark.llm.bpe import of_process
+from clickspark.llm.bpe import new_query, of_process
 from clickspark.llm.tasks import map_arrow
 from clickspark.llm.text import word_blocks
 
@@ -32,19 +32,22 @@ MEMO_KEY_CHARS = 256
 
 
 class Unigram:
-    """Scores by piece, the longest piece in characters, the score of a byte."""
+    """Scores by piece, the same with the ends of pieces, the score of a byte."""
 
     def __init__(self, pieces: Iterable[str]):
         pieces = list(pieces)
         norm = math.log(sum(1 / (r + 2) for r in range(len(pieces) + 1)))
         self.scores = {p: -math.log(r + 2) - norm for r, p in enumerate(pieces)}
-        self.longest = max(map(len, pieces), default=1)
+        # every end of a piece is a key, so a walk back from a position stops where
+        # no piece goes on; only whole pieces have a score
+        self.ends: dict[str, float | None] = {p[i:]: None for p in pieces for i in range(1, len(p))}
+        self.ends.update(self.scores)
         self.byte = -math.log(len(pieces) + 2) - norm
 
     def counts(self, pretokens: Iterable[str]) -> dict[str, tuple[int, float]]:
         """(tokens, score) of the best segmentation of each distinct pre-token:
         highest score, then fewest tokens."""
-        get, longest, out, last = self.scores.get, self.longest, {}, ""
+        get, out, last = self.ends.get, {}, ""
         best: list[tuple[float, int]] = [(0.0, 0)]      # by prefix length: score, -tokens
         for t in sorted(set(pretokens)):
             keep, most = 0, min(len(t), len(last))
@@ -55,8 +58,10 @@ class Unigram:
                 n = len(t[i - 1].encode())
                 s, k = best[i - 1]
                 top = (s + n * self.byte, k - n)
-                for j in range(max(0, i - longest), i):
-                    if (v := get(t[j:i])) is not None:
+                for j in range(i - 1, -1, -1):
+                    if (v := get(t[j:i], 0)) == 0:      # scores are below 0
+                        break
+                    if v is not None:
                         s, k = best[j]
                         if (x := (s + v, k - 1)) > top:
                             top = x
@@ -80,15 +85,15 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     Null, empty or blank text: 0 and 0. Repeated rows each get a row; other
     columns are ignored. A narrow map without shuffle: each Python worker keeps
-    the counts of distinct pre-tokens in a bounded memo, and only those not yet known go
+    the counts of distinct pre-tokens in a bounded memo while the query runs, and only those not yet known go
     through the trie. A very long text is taken in blocks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_unigram(model_path))
+    query = new_query()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = of_process(("unigram", model_path), lambda: shared.value)
-        memo = of_process(("counts", model_path), dict)
+        model, memo = of_process("counts", query, lambda: (shared.value, {}))
 
         def settle(pending: list[tuple[int, Counter]], words: list[int], tokens: list[int]) -> None:
             new = {w for _, c in pending for w in c if w not in memo}

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickspark.llm.bpe import Memo, encode_blocks, of_process
+from clickspark.llm.bpe import Memo, encode_blocks, new_query, of_process
 from clickspark.llm.tasks import map_arrow
 
 MAX_TOKENS = 2048
@@ -106,13 +106,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: s
         raise ValueError("max_tokens must be a power of two")
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    query = new_query()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
     kind = src.schema["id"].dataType
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = of_process(("packing", tokenizer_path), lambda: _encoder(shared.value))
+        memo = of_process("packing", query, lambda: _encoder(shared.value))
         first = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
         tokens, arrow_id = 0, pa.int64()
