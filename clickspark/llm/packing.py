@@ -14,6 +14,8 @@ of tokens of one input partition; no text and no ids are shuffled.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -82,9 +84,19 @@ def _tokenizer(definition: str):
     return t
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    bytes stand for themselves, the others for the letters from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = itertools.count(256)
+    return {b: chr(b if b in plain else next(others)) for b in range(256)}
+
+
 def _encoder(definition: str) -> Memo:
-    tok = _tokenizer(definition)
-    return Memo(lambda pretoken: tok.encode(pretoken, add_special_tokens=False).ids)
+    """Ids of one pre-token by the tokenizer's model. The tokenizer would only
+    split a pre-token again (into itself) and note its offsets."""
+    model, letters = _tokenizer(definition).model, _byte_letters()
+    return Memo(lambda pretoken: [t.id for t in model.tokenize(pretoken.encode().decode("latin-1").translate(letters))])
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -94,8 +106,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: s
     A document's ids are its text's, then ``end_id``; null or empty text gives
     that id alone. Every input row is packed, repeated rows and null ids too.
     Other columns are ignored. ``pattern`` must be the split that the tokenizer
-    itself makes; each match is encoded by the tokenizer and kept in a bounded
-    memo. Sequences are ``max_tokens`` long or a power of two, without padding;
+    itself makes, and the tokenizer byte-level without a normalizer; each match is
+    encoded by the tokenizer's model and kept in a bounded memo. Sequences are ``max_tokens`` long or a power of two, without padding;
     ``max_tokens`` must be a power of two. Sequence ids are unique over the
     result: partition number * 2^32 + count.
 
@@ -105,7 +117,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: s
     if max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        definition = f.read()
+    parts = json.loads(definition)
+    if parts["normalizer"] or parts["pre_tokenizer"]["type"] != "ByteLevel" or parts["pre_tokenizer"]["add_prefix_space"]:
+        raise ValueError("the tokenizer must be byte-level, without normalizer and prefix space")
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
     query = new_query()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
