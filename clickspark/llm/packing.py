@@ -119,7 +119,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: s
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
     parts = json.loads(definition)
-    if parts["normalizer"] or parts["pre_tokenizer"]["type"] != "ByteLevel" or parts["pre_tokenizer"]["add_prefix_space"]:
+    split = parts["pre_tokenizer"] or {}
+    if parts["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"]:
         raise ValueError("the tokenizer must be byte-level, without normalizer and prefix space")
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     query = new_query()

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -7,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from clickspark.llm import packing
+from clickspark.llm.bpe import encode_blocks
 from llm_data import SF_SMALL, docs, none, odd  # noqa: F401
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,3 +81,27 @@ def test_costs_are_balanced():
         fill[q] += n
     full = [cost[q] for q in cost if fill[q] == 2048]
     assert max(full) < 1.35 * min(full)
+
+
+def test_pretokens_by_the_model_equal_the_whole_tokenizer():
+    with open(PATH, encoding="utf-8") as f:
+        definition = f.read()
+    tok, memo = packing._tokenizer(definition), packing._encoder(definition)
+    rng = random.Random(1)
+    pool = [*map(chr, range(0x300)), *"\u4e2d\u0416\U0001f600\ue000\u200b\u2028\ufeff\u0301\u0660\u3000", "<|endoftext|>", "'s"]
+    for _ in range(5000):
+        text = "".join(rng.choices(pool, k=rng.randrange(40)))
+        want = b"".join(x.to_bytes(4, "little") for x in tok.encode(text, add_special_tokens=False).ids)
+        assert b"".join(encode_blocks(text, memo, public_tokenizers.PATTERN)) == want
+
+
+@pytest.mark.parametrize("part, value", [("normalizer", {"type": "Lowercase"}), ("pre_tokenizer", {"type": "Whitespace"}),
+                                         ("pre_tokenizer", None)])
+def test_other_tokenizers_are_refused(spark, tmp_path, part, value):
+    with open(PATH, encoding="utf-8") as f:
+        definition = json.load(f) | {part: value}
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(definition))
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        packing.pack_documents(df, str(path), public_tokenizers.PATTERN)
