@@ -23,9 +23,10 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Rejected rows are named by id,
-    host and text hash, so repeated ids are judged row by row."""
-    rejected = (quality.quality_rules(docs).where(~F.col("kept"))
+    """Documents that the quality rules keep, lines judged alike at every host
+    size. Rejected rows are named by id, host and text hash, so repeated ids are
+    judged row by row."""
+    rejected = (quality.quality_rules(docs, min_docs=quality.MIN_DOCS).where(~F.col("kept"))
                 .select(F.col("doc_id").alias("r_id"), F.col("source").alias("r_source"), "text_hash").distinct())
     same = (F.col("doc_id").eqNullSafe(F.col("r_id")) & F.col("source").eqNullSafe(F.col("r_source"))
             & (quality.text_hash(F.col("text")) == F.col("text_hash")))
