@@ -5,16 +5,27 @@ equivalent spellings), and the digest of the *entire* canonical text is
 hash-joined to the digests of known licences. The same canonicaliser runs over
 the documents and over the known texts, so there is one definition of equality.
 
-Two kinds of unit are looked up: the whole document, and each of its lines (a
-licence notice usually stands on a line of its own).
+Three kinds of unit are looked up: the whole document, each of its lines (a
+licence notice usually stands on a line of its own), and runs of whole lines
+that begin like a known text of several lines and have as many words.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickspark.llm.text import lower_ascii
+from clickspark.llm.text import let, lower_ascii
+
+#: More known texts, one JSON object (license_id, text) a line: licence texts,
+#: notices and SPDX identifiers. Read by the driver.
+LICENSE_FILE = Path(__file__).with_name("known_licenses.jsonl")
+#: A run of lines is looked up if it begins with so many words of a known text.
+START_WORDS = 4
 
 # Public licence texts and their standard notices (id, text).
 KNOWN_LICENSES = [
@@ -120,11 +131,57 @@ def _flat(canon: Column) -> Column:
     return F.btrim(F.regexp_replace(canon, r"\n+", " "))
 
 
-def known_digests(spark: SparkSession, known=KNOWN_LICENSES) -> DataFrame:
-    """(digest, license_id) of the known texts; one row per digest."""
-    df = spark.createDataFrame(list(known), "license_id string, text string")
-    return (df.select(digest(_flat(canonical(F.col("text")))).alias("digest"), "license_id")
-            .groupBy("digest").agg(F.min("license_id").alias("license_id")))
+def known_texts() -> list[tuple[str, str]]:
+    """(id, text): the fixed values above and those of the data file."""
+    with LICENSE_FILE.open(encoding="utf-8") as f:
+        return KNOWN_LICENSES + [(x["license_id"], x["text"]) for x in map(json.loads, f)]
+
+
+def known_digests(spark: SparkSession, known=None) -> DataFrame:
+    """(digest, license_id, n_lines, n_words, start) of the known texts, by
+    default ``known_texts()``; one row per digest. ``start``: the first words of
+    the canonical text."""
+    df = spark.createDataFrame(known_texts() if known is None else list(known), "license_id string, text string")
+    canon = df.select("license_id", canonical(F.col("text")).alias("canon"))
+    flat = canon.select("license_id", _spelled(_flat(F.col("canon"))).alias("flat"),
+                        F.size(F.filter(F.split("canon", "\n"), lambda x: x != "")).alias("n_lines"))
+    return (flat.select(digest(F.col("flat")).alias("digest"), "license_id", "n_lines",
+                        F.size(F.split("flat", " ")).alias("n_words"),
+                        F.substring_index("flat", " ", START_WORDS).alias("start"))
+            .groupBy("digest").agg(F.min("license_id").alias("license_id"), F.max("n_lines").alias("n_lines"),
+                                   F.first("n_words").alias("n_words"), F.first("start").alias("start")))
+
+
+def _starts_pattern(starts: list[str]) -> str:
+    """Matches a canonical text in which a line begins with one of the starts,
+    in any of the equivalent spellings and over any line ends."""
+    def one(start: str) -> str:
+        for spelling, same in SPELLINGS:
+            start = re.sub(rf"\b{same}\b", f"(?:{same}|{spelling})", start)
+        return start.replace(" ", r"[ \n]+")
+    return r"(?:^|\n)(?:" + "|".join(map(one, sorted(starts))) + ")"
+
+
+def _spelled_lines(canon: Column) -> Column:
+    """Spellings unified, line structure kept (a spelling over a line end goes on one line)."""
+    for spelling, same in SPELLINGS:
+        canon = F.regexp_replace(canon, rf"\b{spelling}\b".replace(" ", r"[ \n]+"), same)
+    return canon
+
+
+def _runs(canon: Column, lengths: dict[str, list[int]]) -> Column:
+    """The runs of whole lines, joined by single spaces, that begin with a start
+    of ``lengths`` and have one of its numbers of words, however wrapped."""
+    tokens = F.split(F.concat(F.lit("\n"), F.regexp_replace(_spelled_lines(canon), r"\n+", " \n")), " ")
+    number_of = F.create_map(*[x for k, v in sorted(lengths.items()) for x in (F.lit(k), F.array(*map(F.lit, sorted(v))))])
+    flat = lambda t, at, n: F.replace(F.array_join(F.slice(t, at + 1, n), " "), F.lit("\n"), F.lit(""))
+    begins = lambda t, at: F.startswith(F.get(t, at), F.lit("\n"))
+    return let(tokens, lambda t: F.flatten(F.transform(
+        F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda at: begins(t, at)),
+        lambda at: F.transform(
+            F.filter(F.coalesce(F.element_at(number_of, flat(t, at, F.lit(START_WORDS))), F.array().cast("array<int>")),
+                     lambda n: (at + n == F.size(t)) | F.coalesce(begins(t, at + n), F.lit(False))),
+            lambda n: flat(t, at, n)))))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id",
@@ -133,21 +190,32 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id",
 
     ``license``: the known licence whose entire canonical text equals the
     document's; null if none. ``line_licenses``: ids of the licences whose
-    entire text equals one of the document's lines, sorted, comma-joined; ''
-    if none. Null text: null digest, 0 lines, no licence. An empty or
+    entire text equals one of the document's lines or, for known texts of
+    several lines, a run of its lines, wrapped in any way; sorted, comma-joined,
+    '' if none. Null text: null digest, 0 lines, no licence. An empty or
     punctuation-only text has the digest of the empty text. Rows that share an
     id share ``line_licenses``; rows without an id have none. Other columns,
     whatever their names, are ignored.
 
-    ``known`` (digest, license_id) joins by hash; its side is broadcast only if
-    Spark measures it under the broadcast threshold. Lines that hit are
-    aggregated per document before the join back, at most one entry per licence.
+    ``known`` joins by hash; its side is broadcast only if Spark measures it
+    under the broadcast threshold. Lines that hit are aggregated per document
+    before the join back, at most one entry per licence. The driver receives the
+    starts and lengths of the known texts, not of the documents; only documents
+    with a line that begins with a start are searched for runs.
     """
+    lengths: dict[str, list[int]] = {}
+    for r in known.where("n_lines > 1").select("start", "n_words").distinct().collect():
+        lengths.setdefault(r.start, []).append(r.n_words)
+    known = known.select("digest", "license_id")
     base = docs.select(F.col(id_col).alias("id"), canonical(F.col(text_col)).alias("canon"))
     whole = base.select("id", digest(_flat(F.col("canon"))).alias("digest"),
                         F.coalesce(F.size(F.filter(F.split("canon", "\n"), lambda x: x != "")), F.lit(0))
                         .cast("long").alias("n_lines"))
-    lines = (base.select("id", F.explode(F.array_distinct(F.split("canon", "\n"))).alias("line"))
+    units = F.split("canon", "\n")
+    if lengths:
+        units = F.when(F.col("canon").rlike(_starts_pattern(list(lengths))),
+                       F.concat(units, _runs(F.col("canon"), lengths))).otherwise(units)
+    lines = (base.select("id", F.explode(F.array_distinct(units)).alias("line"))
              .where("line != '' and id is not null")
              .select("id", digest(F.col("line")).alias("digest")))
     found = (lines.join(known, "digest")
