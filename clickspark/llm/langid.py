@@ -11,6 +11,9 @@ Prediction: the AND of a trigram's slots is the mask of all languages that
 contain it. Popcounts per language over the text are corrected for the
 filters' false-positive rates; the language with the highest corrected share of
 trigrams is returned.
+
+The table is sized from the counted trigrams of the largest language, up to a
+bound in bytes; a table too full for its languages is an error, not a guess.
 """
 
 from __future__ import annotations
@@ -27,8 +30,11 @@ from clickspark.llm.tasks import map_arrow
 from clickspark.session import scratch_path
 
 UNKNOWN = "und"
-BITS = 20
+BITS = 20                           # slots at least, as a power of 2
 HASHES = 3
+FALSE_RATE = 0.01                   # that the table is sized for
+MAX_FALSE_RATE = 0.05               # above it, no model
+MAX_BYTES = 1 << 27                 # of a table with more than 2^BITS slots
 KEEP = 0.35
 MIN_COUNT = 2
 WORD_BITS = 62                      # languages per mask word
@@ -119,12 +125,16 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 class Model:
     """languages, the slot table (2^bits x mask words) and, per language, the
-    false-positive rate of its filter."""
+    false-positive rate of its filter; a ValueError above ``MAX_FALSE_RATE``."""
 
     def __init__(self, languages: list[str], table: np.ndarray, bits: int, hashes: int):
         self.languages, self.table, self.bits, self.hashes = languages, table, bits, hashes
-        fill = np.array([self._bit(table[:, i // WORD_BITS], i).mean() for i in range(len(languages))])
-        self.false_rate = np.minimum(fill ** hashes, 0.999)
+        fill = np.array([sum(np.count_nonzero(self._bit(table[at:at + CHUNK, i // WORD_BITS], i))
+                             for at in range(0, len(table), CHUNK)) / len(table) for i in range(len(languages))])
+        self.false_rate = fill ** hashes
+        full = [f"{x}: {r:.3f}" for x, r in zip(languages, self.false_rate, strict=True) if r > MAX_FALSE_RATE]
+        if full:
+            raise ValueError(f"2^{bits} slots are too few, false-positive rates above {MAX_FALSE_RATE}: {', '.join(full)}; raise max_bytes")
 
     @staticmethod
     def _bit(words: np.ndarray, i: int) -> np.ndarray:
@@ -148,23 +158,39 @@ class Model:
         return self.languages[best], float(share[best])
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS, hashes: int = HASHES,
-        keep: float = KEEP, min_count: int = MIN_COUNT) -> Model:
+def table_bits(n_grams: int, n_languages: int, hashes: int = HASHES, max_bytes: int = MAX_BYTES) -> int:
+    """Bits of a table in which a language of ``n_grams`` trigrams has a
+    false-positive rate of at most ``FALSE_RATE``; ``BITS`` at least, and no more
+    than ``max_bytes`` allow."""
+    slots_needed = -hashes * n_grams / np.log1p(-FALSE_RATE ** (1 / hashes))
+    most = (max_bytes // (8 * -(-n_languages // WORD_BITS))).bit_length() - 1
+    return max(BITS, min(int(np.ceil(np.log2(max(slots_needed, 1)))), most))
+
+
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int | None = None, hashes: int = HASHES,
+        keep: float = KEEP, min_count: int = MIN_COUNT, max_bytes: int = MAX_BYTES) -> Model:
     """Learn from every row with a non-null language and a text.
 
+    Without ``bits`` the table is sized from the trigrams counted (``table_bits``).
     The driver receives the list of languages and the non-empty slots of the
     table, at most 2^bits rows of two integers per mask word: a bound set by
-    ``bits``, not by the data. Without usable rows the model knows no language.
+    ``bits`` or ``max_bytes``, not by the data. If a language does not fit into
+    that bound, a ValueError names it. Without usable rows the model knows no
+    language.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "langid")
     (gram_counts(docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
                  .where("lang is not null and text is not null")).write.parquet(path))
     counts = spark.read.schema("lang string, gram long, n long").parquet(path)
-    totals = sorted((r.lang, r.total) for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect())
+    by_lang = (counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count_if(F.col("n") >= min_count).alias("grams"))
+               .collect())
+    totals = sorted((r.lang, r.total) for r in by_lang)
     languages = [x for x, _ in totals]
     if not languages:
+        bits = bits or BITS
         return Model([], np.zeros((1 << bits, 1), np.int64), bits, hashes)
+    bits = bits or table_bits(max(r.grams for r in by_lang), len(languages), hashes, max_bytes)
     number = F.create_map(*[F.lit(x) for i, (lang, total) in enumerate(totals) for x in (lang, i)])
     total_of = F.create_map(*[F.lit(x) for lang, total in totals for x in (lang, float(total))])
     rate = counts.where(F.col("n") >= min_count).select(
