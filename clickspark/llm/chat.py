@@ -79,7 +79,10 @@ def format_conversations(conversations: DataFrame, conv: str = "conv_id", turn:
     conversation id form one conversation. Other columns are ignored.
 
     One shuffle: turns are collected per conversation, which is the unit of
-    output.
+    output. So one conversation, and with it all rows with a null id, is one row
+    in one task: its turns and its output must each stay below Spark's 2 GB for
+    an array row or a string, and within the task's memory; beyond, the job
+    fails, no row is lost. The README gives measured sizes.
     """
     merged = _turns(conversations, conv, turn, role, text).select("conv_id", _blocks(F.col("turns")).alias("blocks"))
     piece = lambda loss, n: F.struct(loss.alias("loss"), n.alias("n"))
