@@ -133,4 +133,64 @@ SELECT conv_id, count(*) AS n_turns,
 FROM m GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op1_license_scan": OP1, "op2_quality_rules": OP2, "op8_url_filter": OP8, "op10_chat_format": OP10}
+def _best(*paths: str) -> str:
+    return f"list_min([{', '.join(paths)}])"
+
+
+def _edit(path: str, cost: str, initial: str, said: str = "''") -> str:
+    return f"{{'c': {path}.c + {cost}, 'a': {path}.a || '{initial}', 't': {path}.t || {said}}}"
+
+
+_NO_PATH = "{'c': 1000000000, 'a': '', 't': ''}"
+
+
+def _if(condition: str, path: str) -> str:
+    return f"CASE WHEN {condition} THEN {path} ELSE {_NO_PATH} END"
+
+
+def _row_edits(kept: str, froms: tuple[str, ...], state: str, role: str) -> str:
+    """Best way to a state over the next row: delete it there, keep or rerole it."""
+    return _best(_edit(state, "4", "D"), *[
+        _if(f"fault <> 1 AND kind = '{kept}'", _edit(f, "fault", "K", "role || ':' || text || chr(10)")) for f in froms], *[
+        _if("fault <> 1", _edit(f, "3 + fault", "R", f"'{role}:' || text || chr(10)")) for f in froms if role])
+
+
+#: CRC-32 by its byte table, then the lattice row by row: the cheapest path to each
+#: state of the role pattern, of equal ones the one whose initials sort first.
+#: ``fault`` is 1 for rows that must go, 3 (its cost) for truncated ones, else 0.
+OP12 = f"""
+WITH RECURSIVE crc(i, k, v) AS (SELECT i, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END) FROM crc WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM crc WHERE k = 8),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce([4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS code FROM conversations, tab),
+ids AS (SELECT conv_id, row_number() OVER () AS k FROM (SELECT DISTINCT conv_id FROM src)),
+d AS (SELECT k, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM src JOIN ids ON src.conv_id IS NOT DISTINCT FROM ids.conv_id, range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+n AS (SELECT *, left(role, 1) AS kind, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, md5(text)) AS n FROM d),
+r AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS first,
+  coalesce((lag(kind) OVER (PARTITION BY k ORDER BY n) || kind) NOT IN ('su', 'ua', 'au'), false) AS illegal FROM n),
+f AS (SELECT *, CASE WHEN first IN ('blank', 'duplicate') THEN 1 WHEN first = 'truncated' THEN 3 ELSE 0 END AS fault FROM r),
+path(k, i, v0, v1, v2, v3) AS (
+  SELECT k, 0::BIGINT, {{'c': 0, 'a': '', 't': ''}}, {_NO_PATH}, {{'c': 3, 'a': 'I', 't': 'user:' || chr(10)}},
+    {{'c': 6, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}} FROM ids
+  UNION ALL
+  SELECT k, n, n0, n1, c2, {_best('n3', _edit('c2', '3', 'I', "'assistant:' || chr(10)"))} FROM (
+    SELECT *, {_best('n2', *[_edit(x, '3', 'I', "'user:' || chr(10)") for x in ('n0', 'n1', 'n3')])} AS c2 FROM (
+      SELECT k, n, {_edit('v0', '4', 'D')} AS n0, {_row_edits('s', ('v0',), 'v1', '')} AS n1,
+        {_row_edits('u', ('v0', 'v1', 'v3'), 'v2', 'user')} AS n2, {_row_edits('a', ('v2',), 'v3', 'assistant')} AS n3
+      FROM path JOIN f USING (k) WHERE n = i + 1))),
+best AS (SELECT k, arg_max({_best('v0', 'v3')}, i) AS p FROM path GROUP BY k)
+SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (WHERE first = 'blank')::BIGINT AS blank, count(*) FILTER (WHERE first = 'duplicate')::BIGINT AS duplicate,
+  count(*) FILTER (WHERE first = 'truncated')::BIGINT AS truncated, count(*) FILTER (WHERE illegal)::BIGINT AS illegal,
+  any_value(p.c)::BIGINT AS cost, any_value(p.a) AS audit, sha256(any_value(left(p.t, greatest(length(p.t) - 1, 0)))) AS repaired_sha256
+FROM ids JOIN best USING (k) LEFT JOIN f USING (k) GROUP BY k, conv_id
+"""
+
+ORACLE_SQL = {"op1_license_scan": OP1, "op2_quality_rules": OP2, "op8_url_filter": OP8, "op10_chat_format": OP10,
+              "op12_structure_repair": OP12}

@@ -15,4 +15,4 @@ def test_query_matches_duckdb(spark, duck, name):
 def test_every_operator_is_registered_once():
     import __spark_entry__ as e
     numbers = sorted(int(n[2:].split("_")[0]) for n in e.queries() if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in e.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in e.queries()
