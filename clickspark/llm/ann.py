@@ -14,6 +14,8 @@ them. Retrieved rows are ranked by the inner product of the original vectors.
 Tables are dealt by the leading bits of the substring (cells); a query goes to the
 cells whose leading bits are near enough. Cells of more rows or queries than a
 task should hold are split in a grid, so no bucket is capped and no copy dropped.
+Cells are probed in rounds, nearest first; a round returns no row below the k-th
+score that its query has already.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ ROUNDS = 40
 CELL_ROWS, QUERY_BLOCK, MAX_PREFIX = 4096, 8192, 12
 #: Code pairs compared at once.
 PAIRS = 1 << 20
+#: A round probes up to so many times the cells probed before it.
+GROWTH = 8
 
 
 @dataclass(frozen=True)
@@ -153,37 +157,78 @@ def encode(vectors: DataFrame, coder: Coder, query: bool, id_col: str = "vec_id"
     return map_arrow(src, run, f"id long, code long, v {kind}, n long")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back, so that it is computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _cells(code: Column, prefix: int) -> Column:
     """One (table, leading bits of its substring) number per table."""
     return F.array(*[F.lit(t << WIDTH) + F.shiftrightunsigned(F.shiftrightunsigned(code, t * WIDTH).bitwiseAND((1 << WIDTH) - 1), WIDTH - prefix)
                      for t in range(TABLES)])
 
 
+def _rounds(prefix: int, limits: list[int]) -> list[list[list[int]]]:
+    """Masks of leading bits to probe, per round and table: the own cell first, then
+    cells at growing distance, each round up to GROWTH times the cells before it."""
+    out: list[list[list[int]]] = []
+    size = before = 0
+    for distance in range(min(prefix, max(limits)) + 1):
+        masks = [m for m in range(1 << prefix) if m.bit_count() == distance]
+        if distance < 2 or size + len(masks) > GROWTH * before:
+            out.append([[] for _ in limits])
+            before = size
+        size += len(masks)
+        for t, limit in enumerate(limits):
+            if distance <= limit:
+                out[-1][t] += masks
+    return out
+
+
 def _retrieve(rows: DataFrame, asked: DataFrame, n_rows: int, radius: int, k: int, dim: int) -> DataFrame:
-    """(q, qn, id, score): for every query the k best rows with a code within the radius."""
+    """(q, qn, id, score): for every query the k best rows with a code within the
+    radius. Later rounds return only rows that may still enter a query's k best, so
+    what a query sends to the shuffle does not grow with the number of cells."""
     limits = thresholds(radius)
     if limits[0] >= WIDTH:
         limits[1:] = [-1] * (TABLES - 1)            # the first table finds everything
     prefix = min(MAX_PREFIX, max(0, int(np.ceil(np.log2(max(1, n_rows / CELL_ROWS))))))
-    probed = [[m for m in range(1 << prefix) if m.bit_count() <= t] for t in limits]
     in_use = [t for t in range(TABLES) if limits[t] >= 0]
-    indexed = (rows.select("id", "code", "v", "n", F.explode(F.filter(_cells(F.col("code"), prefix), lambda c: F.shiftright(c, WIDTH).isin(in_use))).alias("cell")))
+    indexed = rows.select("id", "code", "v", "n", F.explode(F.filter(
+        _cells(F.col("code"), prefix), lambda c: F.shiftright(c, WIDTH).isin(in_use))).alias("cell"))
+    cells = _stored(indexed.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).alias("salts")).coalesce(1), "ann-cells")
+    found = None
+    for masks in _rounds(prefix, limits):
+        if found is None:
+            waiting = asked.withColumn("floor", F.lit(float("-inf")))
+        else:
+            floors = (found.groupBy(F.col("q").alias("id"), F.col("qn").alias("n"))
+                      .agg(F.when(F.count("*") >= k, F.min("score")).alias("floor")))
+            waiting = (asked.join(floors, ["id", "n"], "left").select("id", "code", "v", "n", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")))
+        new = _probe(indexed, waiting, cells, masks, limits, prefix, radius, k, dim)
+        found = _stored(_best(new if found is None else found.unionByName(new), k).drop("rank"), "ann-found")
+    return found
+
+
+def _probe(indexed: DataFrame, waiting: DataFrame, cells: DataFrame, masks: list[list[int]], limits: list[int], prefix: int,
+           radius: int, k: int, dim: int) -> DataFrame:
+    """What one round's cells hold for the queries: at most k rows per query and task,
+    none below the query's floor."""
     own = _cells(F.col("code"), prefix)
     own_and = lambda t: lambda mask: own[t].bitwiseXOR(mask)
-    near = F.flatten(F.array(*[F.transform(F.array(*[F.lit(m).cast("long") for m in probed[t]]), own_and(t)) for t in in_use]))
-    probes = asked.select("id", "code", "v", "n", F.explode(near).alias("cell"))
+    near = F.flatten(F.array(*[F.transform(F.array(*[F.lit(m).cast("long") for m in part]), own_and(t)) for t, part in enumerate(masks) if part]))
+    probes = waiting.select("id", "code", "v", "n", "floor", F.explode(near).alias("cell"))
     # at most TABLES * 2^MAX_PREFIX rows: the grid of every cell
-    grid = (indexed.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).alias("salts"))
-            .join(probes.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")), "cell"))
-    path = scratch_path(rows.sparkSession, "ann-grid")
-    grid.coalesce(1).write.parquet(path)
-    grid = F.broadcast(rows.sparkSession.read.schema("cell long, salts long, blocks long").parquet(path))
+    grid = F.broadcast(_stored(cells.join(
+        probes.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")), "cell").coalesce(1), "ann-grid"))
     part = lambda n, of: F.pmod(F.xxhash64(n), F.col(of))
     every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
     left = indexed.join(grid, "cell").select("cell", part("n", "salts").alias("salt"), every("blocks").alias("block"), "id", "code", "v")
     right = probes.join(grid, "cell").select(
         F.col("cell").alias("to_cell"), every("salts").alias("to_salt"), part("n", "blocks").alias("to_block"),
-        *[F.col(c).alias(f"q_{c}") for c in ("id", "code", "v", "n")])
+        *[F.col(c).alias(f"q_{c}") for c in ("id", "code", "v", "n", "floor")])
 
     def run(key: tuple, held: pa.Table, asking: pa.Table) -> pa.Table:
         table = key[0].as_py() >> WIDTH
@@ -196,6 +241,7 @@ def _retrieve(rows: DataFrame, asked: DataFrame, n_rows: int, radius: int, k: in
             values, start = np.unique(cut(codes, table), return_index=True)     # the buckets
             size = np.diff(np.append(start, len(codes)))
             q_ids, q_codes, q_n, q_vectors = asking["q_id"].to_numpy(), asking["q_code"].to_numpy().view(np.uint64), asking["q_n"].to_numpy(), _matrix(asking["q_v"], dim)
+            floor = asking["q_floor"].to_numpy()
             step = max(1, PAIRS // len(codes))
             for at in range(0, len(q_ids), step):
                 some = slice(at, at + step)
@@ -212,6 +258,8 @@ def _retrieve(rows: DataFrame, asked: DataFrame, n_rows: int, radius: int, k: in
                 for a in range(0, len(q), 1 << 16):     # equal vectors add up in equal order: equal scores
                     b = slice(a, a + (1 << 16))
                     score[b] = (q_vectors[q[b]].astype(float) * vectors[r[b]]).sum(1)
+                keep = score >= floor[q]
+                q, r, score = q[keep], r[keep], score[keep]
                 order = np.lexsort((ids[r], -score, q))
                 q, r, score = q[order], r[order], score[order]
                 first = np.searchsorted(q, q)           # q is sorted: position within its query
@@ -220,14 +268,13 @@ def _retrieve(rows: DataFrame, asked: DataFrame, n_rows: int, radius: int, k: in
         cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
         return pa.table(dict(zip(("q", "qn", "id", "score"), cols, strict=True)))
 
-    ship(rows.sparkSession)
-    found = left.groupBy("cell", "salt", "block").cogroup(right.groupBy("to_cell", "to_salt", "to_block")).applyInArrow(
+    ship(indexed.sparkSession)
+    return left.groupBy("cell", "salt", "block").cogroup(right.groupBy("to_cell", "to_salt", "to_block")).applyInArrow(
         run, "q long, qn long, id long, score double")
-    return _best(found, k).drop("rank")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k best rows of every query: at most k per cell come together."""
+    """The k best rows of every query."""
     order = Window.partitionBy("q", "qn").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -255,20 +302,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, coder: Coder
     if coder is None:
         return spark.createDataFrame([], result)
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    rows = stored(encode(vectors, coder, False, id_col, vector_col), "ann-rows")
+    rows = _stored(encode(vectors, coder, False, id_col, vector_col), "ann-rows")
     asked = encode(queries, coder, True, query_id, vector_col).dropDuplicates(["id", "v"])
-    asked = stored(asked, "ann-queries")
+    asked = _stored(asked, "ann-queries")
     n_rows = rows.count()
-    found = stored(_retrieve(rows, asked, n_rows, coder.radius, k, coder.dim), "ann-found")
+    found = _retrieve(rows, asked, n_rows, coder.radius, k, coder.dim)
     enough = found.groupBy("q", "qn").count().where(F.col("count") >= k).select(F.col("q").alias("id"), F.col("qn").alias("n"))
     short = asked.join(enough, ["id", "n"], "left_anti").select("id", "code", "v", "n")
     if coder.radius < BITS and not short.isEmpty():
-        short = stored(short, "ann-short")
+        short = _stored(short, "ann-short")
         wide = _retrieve(rows, short, n_rows, BITS, k, coder.dim)
         found = found.join(enough.select(F.col("id").alias("q"), F.col("n").alias("qn")), ["q", "qn"], "left_semi").unionByName(wide)
     order = Window.partitionBy("q", "qn").orderBy(F.desc("score"), "id")

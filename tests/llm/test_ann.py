@@ -40,6 +40,17 @@ def test_thresholds_cover_every_code_within_the_radius():
         assert sum(t + 1 for t in ann.thresholds(radius)) == radius + 1     # more differing bits than that fit nowhere
 
 
+def test_rounds_probe_every_mask_within_the_limits_once():
+    for prefix in (0, 1, 5, 12):
+        for limits in ([-1, 0, 2, 16], [3, 3, 2, 2], [16, -1, -1, -1]):
+            rounds = ann._rounds(prefix, limits)
+            for t, limit in enumerate(limits):
+                masks = [m for r in rounds for m in r[t]]
+                assert sorted(masks) == [m for m in range(1 << prefix) if m.bit_count() <= limit]
+            sizes = np.cumsum([max(map(len, r)) for r in rounds])
+            assert rounds[0][limits.index(max(limits))] == [0] and all(b <= max(ann.GROWTH, prefix + 1) * a for a, b in zip(sizes, sizes[1:]))
+
+
 @pytest.mark.parametrize("radius", [0, 3, 12, 24])
 def test_probing_finds_every_code_within_the_radius_once(spark, monkeypatch, radius):
     monkeypatch.setattr(ann, "CELL_ROWS", 50)
