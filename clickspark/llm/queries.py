@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickspark.llm import ann, bpe, chat, counts, langid, licenses, packing, quality, repair, search, simhash, urls
+from clickspark.llm import align, ann, bpe, chat, counts, langid, licenses, packing, quality, repair, search, simhash, urls
 from clickspark.llm.oracles import ORACLE_SQL
 from clickspark.sources import read_table
 
@@ -71,6 +71,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(rows)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN).documents
+
+
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_digests(repair.damage(read_table(spark, sf_dir, "conversations")))
 
@@ -83,4 +88,4 @@ def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_simhash_groups, op4_topk_search, op5_byte_bpe,
                             op6_language_id, op7_cost_packing, op8_url_filter, op9_token_counts, op10_chat_format,
-                            op12_structure_repair, op13_nearest_neighbours)}
+                            op11_token_alignment, op12_structure_repair, op13_nearest_neighbours)}
