@@ -15,13 +15,14 @@ own, and composed by a tree of combinations across tasks; only the open ends cli
 the tree.
 
 Both tokenizers treat the text between two safe cuts (a space or line feed after
-something that is no white space) by itself, so the alignment of such a unit is
-worked out once and remembered.
+something that is no white space) by itself, so a range is tokenised with no more
+than the text between the safe cuts around it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -43,20 +44,20 @@ from clickspark.session import scratch_path
 CHUNK_BYTES, FAN_IN = 1 << 16, 16
 #: Links of a block: documents that look up their counts together in one task.
 BLOCK_LINKS = 1 << 21
-#: Units remembered in each of two generations, and the longest of them.
-MEMO_UNITS, MEMO_CHARS = 1 << 17, 64
 SPACE_PIECE = "▁"
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_LONG_SPACE = re.compile(r"\s{1000}")
 Tokens = list[tuple[int, int]]              # (id, byte offset of its end)
 Group = tuple[int, list[int], list[int]]    # byte offset of its end, A ids, B ids
 
 
 class Aligner:
-    """Both tokenizers, and the alignment of units (text between safe cuts)."""
+    """Both tokenizers."""
 
     def __init__(self, a_definition: str, b_model: bytes, pattern: str):
         import sentencepiece
+        import tiktoken
         from sentencepiece import sentencepiece_model_pb2
         spec = sentencepiece_model_pb2.ModelProto()
         spec.ParseFromString(b_model)
@@ -64,52 +65,66 @@ class Aligner:
         if (spec.normalizer_spec.name != "identity" or not spec.normalizer_spec.add_dummy_prefix or spec.normalizer_spec.remove_extra_whitespaces
                 or not spec.trainer_spec.byte_fallback or any(re.search(f"[^{SPACE_PIECE}]{SPACE_PIECE}|.\n|\n.", t, re.S) for t in texts)):
             raise ValueError("tokenizer B must keep its text, begin with a space, and have no piece across a space or line feed")
-        self.b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == p.BYTE else p.piece.replace(SPACE_PIECE, " ").encode() for p in spec.pieces]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         self.lone_space = self.b.piece_to_id(SPACE_PIECE)
-        self.a, self.letters, self.pattern = _tokenizer(a_definition).model, _byte_letters(), regex.compile(pattern)
+        b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == p.BYTE else p.piece.replace(SPACE_PIECE, " ").encode() for p in spec.pieces]
+        parts = json.loads(a_definition)
+        vocab, merges = parts["model"]["vocab"], parts["model"]["merges"]
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        if parts["normalizer"] or (parts["pre_tokenizer"] or {}).get("type") != "ByteLevel" or made != sorted(made):
+            raise ValueError("tokenizer A must be byte-level, without normalizer, with ids in the order of its merges")
+        self.letters, self.pattern = _byte_letters(), regex.compile(pattern)
         back = {c: b for b, c in self.letters.items()}
-        self.a_bytes = {i: bytes(back[c] for c in t) for t, i in _tokenizer(a_definition).get_vocab(with_added_tokens=False).items() if all(c in back for c in t)}
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def ids(self, unit: str) -> tuple[list[int], list[int]]:
-        """A and B ids of a unit. It begins with a space or a line feed."""
-        a = [t.id for part in self.pattern.findall(unit) for t in self.a.tokenize(part.encode().decode("latin-1").translate(self.letters))]
-        if unit == " ":
-            return a, [self.lone_space]
-        # B puts a space before what it encodes: the unit's own, or one to be taken off
-        return a, self.b.encode(unit[1:], num_threads=1) if unit[0] == " " else self.b.encode(unit, num_threads=1)[1:]
-
-    def tokens(self, unit: str, at: int) -> tuple[Tokens, Tokens]:
-        """A and B tokens of a unit that begins at byte ``at``."""
-        a, b = self.ids(unit)
-        data = unit.encode()
-        if b"".join(self.a_bytes[i] for i in a) != data or b"".join(self.b_bytes[i] for i in b) != data:
-            raise ValueError(f"tokens do not spell their text: {unit[:100]!r}")
-        return _ends(a, (len(self.a_bytes[i]) for i in a), at), _ends(b, (len(self.b_bytes[i]) for i in b), at)
-
-    def unit(self, unit: str) -> tuple[str, bytes, int, int]:
-        """(groups as text, links as 64-bit numbers, A tokens, B tokens)."""
-        out = self.young.get(unit)
-        if out is None:
-            out = self.old.get(unit)
-            if out is None:
-                a, b = self.tokens(unit, 0)
-                out = (*_written(cut(a, b)[0]), len(a), len(b))
-            if len(unit) <= MEMO_CHARS:
-                if len(self.young) >= MEMO_UNITS:
-                    self.old, self.young = self.young, {}
-                self.young[unit] = out
-        return out
-
-
-def _ends(ids: Iterable[int], sizes: Iterable[int], at: int) -> Tokens:
-    out = []
-    for i, n in zip(ids, sizes, strict=True):
-        at += n
-        out.append((i, at))
-    return out
+        ranks = {bytes(back[c] for c in t): i for t, i in vocab.items() if all(c in back for c in t)}
+        # ids ascend with the merges, so merging by rank is merging in their order
+        self.a = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.a_model = _tokenizer(a_definition).model
+        a_bytes = [b""] * (max(ranks.values()) + 1)
+        for data, i in ranks.items():
+            a_bytes[i] = data
+        self.bytes = a_bytes, b_bytes
+        self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in self.bytes)
+        # a token as written in a group: followed by a comma, or by the end of its side
+        self.written = [f"{i}{end}" for side, last in ((a_bytes, "|"), (b_bytes, ";")) for i in range(len(side)) for end in (",", last)]
+
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """A and B ids of a text that begins with a space or line feed and lies between safe cuts."""
+        if _LONG_SPACE.search(text):        # too deep a recursion for the splitter of tiktoken
+            a = [t.id for part in self.pattern.findall(text) for t in self.a_model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
+        else:
+            a = self.a.encode_to_numpy(text)
+        # B puts a space before what it encodes: the text's own, or one to be taken off
+        b = [self.lone_space] if text == " " else self.b.encode(text[1:], num_threads=1) if text[0] == " " else self.b.encode(text, num_threads=1)[1:]
+        return np.asarray(a, np.int64), np.array(b, np.int64)
+
+    def spells(self, ids: tuple[np.ndarray, np.ndarray], text: str) -> bool:
+        data = text.encode()
+        return all(b"".join(map(side.__getitem__, i.tolist())) == data for side, i in zip(self.bytes, ids, strict=True))
+
+    def tokens(self, text: str, at: int) -> tuple[Tokens, Tokens]:
+        """A and B tokens of such a text that begins at byte ``at``."""
+        ids = self.ids(text)
+        if not self.spells(ids, text):
+            raise ValueError(f"tokens do not spell their text: {text[:100]!r}")
+        return tuple(list(zip(i.tolist(), (at + size[i].cumsum()).tolist(), strict=True)) for i, size in zip(ids, self.sizes, strict=True))
+
+    def aligned(self, text: str) -> tuple[str, np.ndarray, int, int] | None:
+        """(groups as text, links as 64-bit numbers, A tokens, B tokens) of a whole
+        text; None if the tokens do not spell it. ``cut``, in vectors."""
+        a, b = ids = self.ids(text)
+        if not self.spells(ids, text):
+            return None
+        a_end, b_end = (size[i].cumsum() for i, size in zip(ids, self.sizes, strict=True))
+        at = np.searchsorted(b_end, a_end)              # both end at the text's end
+        a_last = b_end[at] == a_end
+        b_last = np.zeros(len(b), bool)
+        b_last[at[a_last]] = True
+        # a group's A tokens, then its B tokens
+        a_stop, b_stop = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+        said = np.empty(len(a) + len(b), np.int64)
+        said[np.arange(len(a)) + np.append(0, b_stop)[a_last.cumsum() - a_last]] = 2 * a + a_last
+        said[np.arange(len(b)) + a_stop[b_last.cumsum() - b_last]] = 2 * (len(self.bytes[0]) + b) + b_last
+        return "".join(map(self.written.__getitem__, said.tolist()))[:-1], a[a_last] << 32 | b[b_last], len(a), len(b)
 
 
 def cut(a: Tokens, b: Tokens) -> tuple[list[Group], Tokens, Tokens]:
@@ -128,9 +143,9 @@ def cut(a: Tokens, b: Tokens) -> tuple[list[Group], Tokens, Tokens]:
     return groups, a[from_a:], b[from_b:]
 
 
-def _written(groups: list[Group]) -> tuple[str, bytes]:
+def _written(groups: list[Group]) -> tuple[str, np.ndarray]:
     text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for _, a, b in groups)
-    return text, np.array([a[-1] << 32 | b[-1] for _, a, b in groups], "<i8").tobytes()
+    return text, np.array([a[-1] << 32 | b[-1] for _, a, b in groups], np.int64)
 
 
 @dataclass
@@ -191,37 +206,11 @@ def ranges(text: str, size: int) -> Iterator[tuple[int, int, int, str]]:
         at, low = end, high
 
 
-def range_fragment(aligner: Aligner, low: int, high: int, start: int, text: str) -> tuple[Fragment, tuple | None]:
-    """The fragment of a range, and its closed groups as (end of the first group,
-    text, links, A tokens, B tokens). Units within the range come remembered."""
-    whole = Fragment()
-    texts, links, n_a, n_b, first = [], [], 0, 0, None
-
-    def closed(groups: list[Group]) -> None:
-        nonlocal n_a, n_b, first
-        if groups:
-            first = groups[0][0] if first is None else first
-            said, pairs = _written(groups)
-            texts.append(said)
-            links.append(pairs)
-            n_a, n_b = n_a + sum(len(g[1]) for g in groups), n_b + sum(len(g[2]) for g in groups)
-
-    for unit in _CUT.split(text):
-        end = start + len(unit.encode())
-        if low <= start and end <= high and whole.split and not whole.tail_a and not whole.tail_b:
-            said, pairs, a, b = aligner.unit(unit)
-            first = start + 1 if first is None else first      # between the ends of the prefix and of the first group
-            texts.append(said)
-            links.append(pairs)
-            n_a, n_b = n_a + a, n_b + b
-        elif end > low and start < high:
-            own = [[(t, e) for (t, e), s in zip(side, [start, *(e for _, e in side)], strict=False) if low <= s < high] for side in aligner.tokens(unit, start)]
-            part, inner = fragment(*own)
-            whole, between = combine(whole, part)
-            closed(between)
-            closed(inner)
-        start = end
-    return whole, (first, ";".join(texts), b"".join(links), n_a, n_b) if texts else None
+def range_fragment(aligner: Aligner, low: int, high: int, start: int, text: str) -> tuple[Fragment, list[Group]]:
+    """The fragment of a range, and its closed groups. The text lies between the
+    safe cuts around the range and begins at byte ``start``."""
+    return fragment(*[[(t, e) for (t, e), s in zip(side, [start, *(e for _, e in side)], strict=False) if low <= s < high]
+                      for side in aligner.tokens(text, start)])
 
 
 _SIDES = ("head_a", "head_b", "tail_a", "tail_b")
@@ -263,7 +252,7 @@ def _blocks(pieces: Iterable[dict], id_type: pa.DataType, of: int) -> Iterator[p
             yield pa.RecordBatch.from_arrays([empty[f.name] for f in schema], schema=schema)
 
     for p in pieces:
-        p["links"] = np.unique(np.frombuffer(p["links"], "<i8"), return_counts=True)
+        p["links"] = np.unique(p["links"], return_counts=True)
         held.append(p)
         size += len(p["links"][0]) + 64
         if size >= BLOCK_LINKS:
@@ -275,11 +264,9 @@ def _blocks(pieces: Iterable[dict], id_type: pa.DataType, of: int) -> Iterator[p
 
 def _whole(aligner: Aligner, i, text: str | None, keep: bool) -> dict:
     """The piece of a document that is not dealt out."""
-    if not text or SPACE_PIECE in text:     # B writes a space for this letter
-        return {"id": i, "n_a": 0, "n_b": 0, "n_groups": 0, "sha": "", "links": b"", "groups": "" if keep else None}
-    said, links, n_a, n_b = zip(*map(aligner.unit, _CUT.split(" " + text)), strict=True)
-    said, links = ";".join(said), b"".join(links)
-    return {"id": i, "n_a": sum(n_a), "n_b": sum(n_b), "n_groups": len(links) // 8, "sha": hashlib.sha256(said.encode()).hexdigest(),
+    found = aligner.aligned(" " + text) if text and SPACE_PIECE not in text else None   # B writes a space for this letter
+    said, links, n_a, n_b = found or ("", np.zeros(0, np.int64), 0, 0)
+    return {"id": i, "n_a": n_a, "n_b": n_b, "n_groups": len(links), "sha": hashlib.sha256(said.encode()).hexdigest() if found else "",
             "links": links, "groups": said if keep else None}
 
 
@@ -320,7 +307,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str =
 
     Texts of over ``chunk_bytes`` bytes are dealt out. Blocks of links, ranges and
     the rounds of the tree are written once to the shared folder. Memory of a task: a
-    block of links and a bounded memo; a digest streams over a document's pieces.
+    block of links and the tokens of one range; a digest streams over a document's pieces.
     """
     spark = docs.sparkSession
     with open(a_path, encoding="utf-8") as fa, open(b_path, "rb") as fb:
@@ -350,9 +337,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str =
             for b in batches:
                 for r in (r for at in range(0, b.num_rows, 16) for r in b.slice(at, 16).to_pylist()):
                     open_ends, inner = range_fragment(aligner(), r["low"], r["high"], r["start"], r["text"])
-                    at, said, links, n_a, n_b = inner or (None, None, b"", 0, 0)
-                    yield {"key": r["key"], "chunk": r["chunk"], "at": at, "n_a": n_a, "n_b": n_b, "n_groups": len(links) // 8,
-                           "groups": said, "links": links} | _lists(open_ends)
+                    said, links = _written(inner)
+                    yield {"key": r["key"], "chunk": r["chunk"], "at": inner[0][0] if inner else None, "n_a": sum(len(g[1]) for g in inner),
+                           "n_b": sum(len(g[2]) for g in inner), "n_groups": len(inner), "groups": said if inner else None, "links": links} | _lists(open_ends)
         yield from _blocks(pieces(), id_type, 1)
 
     short = map_arrow(src.where(~long), whole, piece)
@@ -427,7 +414,7 @@ def _tree(ends: DataFrame, chunks: int, piece: str, id_type: pa.DataType) -> Dat
             out = [] if last else [{"kind": 0, "key": doc, "chunk": place} | _lists(whole)]
             for g in groups:
                 said, links = _written([g])
-                out.append({"kind": 1, "key": doc, "at": g[0], "n_a": len(g[1]), "n_b": len(g[2]), "groups": said, "links": links})
+                out.append({"kind": 1, "key": doc, "at": g[0], "n_a": len(g[1]), "n_b": len(g[2]), "groups": said, "links": links.tobytes()})
             return pa.Table.from_batches([_arrow(out, fields)])
         return run
 
@@ -443,7 +430,7 @@ def _tree(ends: DataFrame, chunks: int, piece: str, id_type: pa.DataType) -> Dat
         cur, chunks = out.where("kind = 0").select(*cur.columns), -(-chunks // FAN_IN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _blocks((r | {"n_groups": 1} for b in batches for r in b.to_pylist()), id_type, 2)
+        yield from _blocks((r | {"n_groups": 1, "links": np.frombuffer(r["links"], "<i8")} for b in batches for r in b.to_pylist()), id_type, 2)
 
     return _stored(map_arrow(closed, run, piece), "align-seams")
 

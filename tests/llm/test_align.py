@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ODD_TEXTS = ["a", " ", "  ", "\n", " \n", "\n\n x", "a ", "a  ", "a\n", "tab\there", "a 　 b", "　　 x", "x  y", "\x1c a\x1c b", "\x00nul \x00", "it's we'll",
-             "日本語 テキスト", "é ñ 🙂🙂", "a▁b", "<s> </s> <unk> <0x0A>", "\r\n win\r\n", "\xa0nb \xa0sp", "<|endoftext|> x"]
+             "日本語 テキスト", "é ñ 🙂🙂", "a▁b", "<s> </s> <unk> <0x0A>", "\r\n win\r\n", "\xa0nb \xa0sp", "<|endoftext|> x", " " * 3000 + "x" + "\n \t" * 900]
 
 
 @functools.cache
