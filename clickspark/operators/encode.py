@@ -1,19 +1,15 @@
 """Category indexing, assembly, scaling, class weights and one-hot encoding.
 
-Category index (frequency rank, 0 = most frequent, ties alphabetical) is
-computed two ways:
-
-* ``index_category`` + ``apply_category_index``: fully distributed. Counts are a
-  partial aggregate, ranks come from the range-partitioned prefix operator, and
-  each column is encoded by a left join against its index. The join is a
-  broadcast only when that column's label count -- measured, not guessed -- is
-  under ``max_broadcast_labels``; otherwise it is a shuffle join (AQE splits a
-  hot value's partition).
-* ``CategoryIndexModel``: the same index, stored as a table, as a pipeline stage.
-  The model path uses it for every column at every size.
-
-``string_indexer`` (MLlib's, which brings every label to the driver) is kept as a
-yardstick for tests and small tables.
+Category index (frequency rank, 0 = most frequent, ties alphabetical):
+
+* ``index_category``: counts are a partial aggregate, ranks come from the
+  range-partitioned prefix operator.
+* ``apply_category_index``: indexes whose measured bytes fit together under
+  ``max_broadcast_bytes`` are joined by broadcast. All other columns go in one long
+  form, whatever their number: one shuffle to meet their indexes, one to fold the
+  rows back. Hot values are salted by the counts that the index holds.
+* ``CategoryIndexModel``: the same index, stored as a table, as a pipeline stage. A
+  saved model carries its index inside its own folder.
 """
 
 from __future__ import annotations
@@ -21,21 +17,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
-from pyspark.ml.feature import MaxAbsScaler, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLWritable
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickspark.operators.prefix import global_rank
 from clickspark.operators.profile import melt
 from clickspark.session import scratch_path
 from clickspark.spec import FeatureSpec
 
-# labels per column that may be broadcast; the result is the same above it:
-# about 10-20 MB per column, so a few dozen columns stay well inside executor memory
-MAX_BROADCAST_LABELS = 250_000
+#: Bytes of all indexes that one call may broadcast, as text plus LABEL_BYTES a label;
+#: the result is the same above it.
+MAX_BROADCAST_BYTES, LABEL_BYTES = 64 << 20, 64
+#: A value that holds more than one part in HOT of its column's rows is salted; there
+#: are fewer than HOT such values a column.
+HOT = 200
 
 
 # --- category index -----------------------------------------------------------
@@ -60,30 +60,80 @@ def label_sizes(index: DataFrame) -> dict[str, int]:
             index.groupBy("feature").agg(F.count(F.lit(1)).alias("n_labels")).collect()}
 
 
+def _index_bytes(index: DataFrame) -> dict[str, tuple[int, int]]:
+    """(labels, bytes) per column: one row per column reaches the driver."""
+    size = F.sum(F.octet_length("value") + LABEL_BYTES)
+    return {r["feature"]: (r["n"], r["size"]) for r in
+            index.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), size.alias("size")).collect()}
+
+
 def apply_category_index(df: DataFrame, index: DataFrame, columns: Sequence[str], suffix: str = "_idx",
-                         max_broadcast_labels: int = MAX_BROADCAST_LABELS, drop_source: bool = False) -> DataFrame:
+                         max_broadcast_bytes: int = MAX_BROADCAST_BYTES, drop_source: bool = False) -> DataFrame:
     """Add ``<c><suffix>`` (double) per column; null and unseen values get the label count
-    (``handleInvalid='keep'`` semantics)."""
-    sizes = label_sizes(index)
-    out = df
-    for c in columns:
-        n_labels = sizes.get(c, 0)
-        side = (index.where(F.col("feature") == c)
-                .select(F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}")))
-        if n_labels <= max_broadcast_labels:
-            side = F.broadcast(side)   # size measured just above
-        out = (out.join(side, out[c] == side[f"_v_{c}"], "left")
-                  .withColumn(c + suffix, F.coalesce(F.col(f"_i_{c}"), F.lit(float(n_labels))))
-                  .drop(f"_v_{c}", f"_i_{c}"))
-        if drop_source:
-            out = out.drop(c)
-    return out
-
-
-def string_indexer(columns: Sequence[str], suffix: str = "_idx", handle_invalid: str = "keep",
-                   order: str = "frequencyDesc") -> StringIndexer:
-    return StringIndexer(inputCols=list(columns), outputCols=[c + suffix for c in columns],
-                         handleInvalid=handle_invalid, stringOrderType=order)
+    (``handleInvalid='keep'`` semantics). The new columns are marked as nominal, with
+    one value more than there are labels."""
+    sizes = _index_bytes(index)
+    small, room = [], max_broadcast_bytes
+    for c in sorted(columns, key=lambda c: (sizes.get(c, (0, 0))[1], c)):
+        room -= sizes.get(c, (0, 0))[1]
+        if room >= 0:
+            small.append(c)
+    wide = [c for c in columns if c not in small]
+    out = _apply_wide(df, index, wide, suffix) if wide else df
+    for c in small:
+        side = F.broadcast(index.where(F.col("feature") == c)       # bytes measured just above
+                           .select(F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"{c}{suffix}")))
+        out = out.join(side, out[c] == side[f"_v_{c}"], "left").drop(f"_v_{c}")
+    kept = [F.col(f"`{c}`") for c in df.columns if not (drop_source and c in columns)]
+    return out.select(*kept, *[_nominal(c + suffix, sizes.get(c, (0, 0))[0]) for c in columns])
+
+
+def _nominal(name: str, labels: int) -> Column:
+    known = F.coalesce(F.col(f"`{name}`"), F.lit(float(labels)))
+    return known.alias(name, metadata={"ml_attr": {"type": "nominal", "name": name, "num_vals": labels + 1}})
+
+
+def row_digest(df: DataFrame) -> Column:
+    """MD5 of a whole row. Every value is written with its length, so no two rows
+    read alike; nested values as JSON."""
+    def written(f: T.StructField) -> Column:
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.UserDefinedType))
+        c = F.col(f"`{f.name}`")
+        text = F.to_json(F.struct(c)) if nested else F.base64(c) if isinstance(f.dataType, T.BinaryType) else c.cast("string")
+        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.md5(F.concat(*[written(f) for f in df.schema.fields]))
+
+
+def _apply_wide(df: DataFrame, index: DataFrame, columns: Sequence[str], suffix: str) -> DataFrame:
+    """Index of any number of columns in two shuffles of the rows.
+
+    A row becomes one long row per column with a value, and one that carries the row
+    itself. They meet the index by (column, value, salt) and are folded back by the
+    digest of the row. Equal rows fold into one with its count and are repeated, so
+    the digest needs no key; a digest does not depend on the layout of the data."""
+    index = index.where(F.col("feature").isin(list(columns)))
+    total = index.groupBy("feature").agg(F.sum("n").alias("total"))
+    hot = (index.join(F.broadcast(total), "feature").where(F.col("n") * HOT > F.col("total"))
+           .select("feature", "value", F.ceil(F.col("n") * HOT / F.col("total")).alias("salts")))
+    hot = F.broadcast(hot)                  # fewer than HOT rows a column
+    salted = index.join(hot, ["feature", "value"], "left").select(
+        "feature", "value", "idx", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.select(row.alias("row"), row_digest(df).alias("digest"))
+    nothing = F.lit(None).cast(df.schema)
+    itself = F.struct(F.lit("").alias("feature"), F.col("digest").alias("value"), F.col("row").alias("row"))   # spreads evenly
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"row.`{c}`").cast("string").alias("value"), nothing.alias("row")) for c in columns]
+    long = (marked.select("digest", F.explode(F.array(itself, *cells)).alias("c")).select("digest", "c.*")
+            .where(F.col("value").isNotNull()))
+    long = (long.join(hot, ["feature", "value"], "left")
+            .withColumn("salt", F.pmod(F.xxhash64("digest"), F.coalesce("salts", F.lit(1)))).drop("salts"))
+    met = long.join(salted, ["feature", "value", "salt"], "left")
+    folded = met.groupBy("digest").agg(
+        F.first("row", ignorenulls=True).alias("row"), F.count("row").alias("copies"),
+        *[F.max(F.when(F.col("feature") == c, F.col("idx"))).alias(f"_i{i}") for i, c in enumerate(columns)])
+    back = folded.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))), *[f"_i{i}" for i in range(len(columns))])
+    return back.select("row.*", *[F.col(f"_i{i}").alias(c + suffix) for i, c in enumerate(columns)])
 
 
 def store_index(index: DataFrame, path: str) -> str:
@@ -97,10 +147,27 @@ def load_index(spark, path: str) -> DataFrame:
     return spark.read.schema("value string, n bigint, idx double, feature string").parquet(path)
 
 
-class CategoryIndexModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+class _IndexWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        index = load_index(self.sparkSession, self.instance.getOrDefault("indexPath"))
+        store_index(index, f"{path}/index")
+
+
+class _IndexReader(DefaultParamsReader):
+    def load(self, path: str) -> CategoryIndexModel:
+        model = super().load(path)
+        return model._set(indexPath=f"{path}/index")
+
+
+class CategoryIndexModel(Transformer, MLReadable, MLWritable):
     """Pipeline stage that applies a stored category index, at any number of
     labels: the labels stay in a table and never pass through the driver. Null
-    and unseen values get the label count."""
+    and unseen values get the label count.
+
+    Saving copies the index into the model's folder, and a loaded model reads it
+    there: it needs neither the scratch folder nor the session it was fitted in,
+    and its folder may be moved."""
 
     inputCols = Param(Params._dummy(), "inputCols", "indexed columns", TypeConverters.toListString)
     indexPath = Param(Params._dummy(), "indexPath", "folder of the stored index", TypeConverters.toString)
@@ -114,6 +181,13 @@ class CategoryIndexModel(Transformer, DefaultParamsReadable, DefaultParamsWritab
         index = load_index(dataset.sparkSession, self.getOrDefault("indexPath"))
         return apply_category_index(dataset, index, self.getOrDefault("inputCols"), self.getOrDefault("suffix"))
 
+    def write(self) -> _IndexWriter:
+        return _IndexWriter(self)
+
+    @classmethod
+    def read(cls) -> _IndexReader:
+        return _IndexReader(cls)
+
 
 def fit_category_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx") -> CategoryIndexModel:
     path = store_index(index_category(df, columns), scratch_path(df.sparkSession, "category-index"))
@@ -178,6 +252,13 @@ def class_weights(df: DataFrame, spec: FeatureSpec, fit_on: DataFrame | None = N
 
 # --- one-hot ---------------------------------------------------------------------------
 
+def one_hot_encoder(columns: Sequence[str], suffix: str = "_idx", out: str = "_vec") -> OneHotEncoder:
+    """Sparse one-hot vectors of indexed columns (``<c><suffix>`` to ``<c><out>``): a
+    slot per label, none for null and unseen values. The widths are those that
+    ``apply_category_index`` marked, so fitting reads no data."""
+    return OneHotEncoder(inputCols=[c + suffix for c in columns], outputCols=[c + out for c in columns], dropLast=True, handleInvalid="error")
+
+
 def one_hot_long(indexed: DataFrame, key: Sequence[str], columns: Sequence[str], sizes: dict[str, int],
                  suffix: str = "_idx", drop_last: bool = True) -> DataFrame:
     """Sparse one-hot as rows (key..., column, slot): the set entries of

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.clean import fill_numeric_zero
-from clickspark.operators.encode import class_weights, fit_category_index
+from clickspark.operators.encode import class_weights, fit_category_index, one_hot_encoder
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
 from clickspark.operators.select import select_features
@@ -99,11 +99,17 @@ def ml_partitions(n_rows: int) -> int:
     return max(1, by_rows, -(-n_rows // MAX_ROWS_PER_ML_PARTITION))
 
 
-def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
+def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec, one_hot: bool = False) -> PipelineModel:
     """Category index -> assembler -> scaler, fitted on ``train``. One index for
-    every categorical column, whatever its number of labels."""
+    every categorical column, whatever its number of labels. With ``one_hot`` every
+    label is a feature of its own: vectors stay sparse from the index to the solver,
+    and the model holds one coefficient per label."""
     stages = [fit_category_index(train, spec.categorical)] if spec.categorical else []
-    stages += [VectorAssembler(inputCols=feature_names(spec), outputCol="features"),
+    names = feature_names(spec)
+    if one_hot and spec.categorical:
+        stages.append(one_hot_encoder(spec.categorical))
+        names = [*spec.numeric, *[c + "_vec" for c in spec.categorical]]
+    stages += [VectorAssembler(inputCols=names, outputCol="features"),
                StandardScaler(inputCol="features", outputCol=FEATURES, withStd=True, withMean=False)]
     return Pipeline(stages=stages).fit(train)
 
@@ -122,7 +128,7 @@ class Prepared:
 
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
             persist: bool = True, materialize: str = "persist", fit_scope: str = "train",
-            selection: tuple[str, float] | None = None) -> Prepared:
+            selection: tuple[str, float] | None = None, one_hot: bool = False) -> Prepared:
     """Steps 1-5 of the module docstring.
 
     The base table (joins, fill, split) is persisted while the feature pipeline
@@ -141,6 +147,7 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
 
     ``selection`` is a (mode, threshold) of ``select.univariate_select``: features
     are selected on the train rows, and both parts have the selected ones only.
+    ``one_hot``: see ``fit_feature_pipeline``.
     """
     if materialize not in ("persist", "write"):
         raise ValueError("materialize must be 'persist' or 'write'")
@@ -163,7 +170,7 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     train_raw = base.where(F.col("split") == "train")
     if selection:
         spec = select_features(train_raw, spec, *selection)
-    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec)
+    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec, one_hot)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT,
                           ratio=ratio)
@@ -174,13 +181,14 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
         # the layout identical on any cluster and when a lost partition is recomputed
         train = train.repartition(parts, *spec.key).sortWithinPartitions(*spec.key)
         test = test.repartition(parts, *spec.key).sortWithinPartitions(*spec.key)
-        if materialize == "write":
+        if materialize == "write":          # the written tables are the one copy
             train = _write_back(train, "train")
             test = _write_back(test, "test")
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        test = test.persist(StorageLevel.MEMORY_AND_DISK)
-        train.count()
-        test.count()
+        else:
+            train = train.persist(StorageLevel.MEMORY_AND_DISK)
+            test = test.persist(StorageLevel.MEMORY_AND_DISK)
+            train.count()
+            test.count()
         base.unpersist()
     return Prepared(spec, pipe, train, test)
 
@@ -230,9 +238,9 @@ def evaluate(result: TrainResult, spec: FeatureSpec) -> DataFrame:
 
 
 def train_report(df: DataFrame, spec: FeatureSpec, kind: str, params: dict | None = None,
-                 weighted: bool | None = None, selection: tuple[str, float] | None = None) -> DataFrame:
+                 weighted: bool | None = None, selection: tuple[str, float] | None = None, one_hot: bool = False) -> DataFrame:
     """The rows of ``evaluate``; with a ``selection``, also one row per selected feature."""
-    prep = prepare(df, spec, selection=selection)
+    prep = prepare(df, spec, selection=selection, one_hot=one_hot)
     res = train(prep, kind, weighted=weighted, **(params if params is not None else REFERENCE_PARAMS[kind]))
     try:
         report = evaluate(res, spec)

@@ -226,12 +226,18 @@ def histogram_by_label(df: DataFrame, spec: FeatureSpec, columns: Sequence[str]
 # --- correlation and density --------------------------------------------------
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair (a < b) in one aggregate pass."""
+    """Pearson correlation of every column pair (a < b) in one aggregate pass, over
+    the rows where both have values; null if one of them is constant there."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                    for i, (a, b) in enumerate(pairs)])
+
+    def corr(a: str, b: str) -> Column:     # F.corr divides by zero on a constant column
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    wide = df.agg(*[corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("corr"))
             for i, (a, b) in enumerate(pairs)]
     return _explode_stats(wide, rows)

@@ -10,11 +10,13 @@ expression. Nothing is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickspark.functions import hash_unit, hex_bucket
+from clickspark.functions import hash_unit, hex_bucket, key_string
 from clickspark.spec import FeatureSpec
 
 
@@ -32,6 +34,49 @@ def sample_by_label(df: DataFrame, spec: FeatureSpec, fractions: dict[int, float
     return df.where(cond)
 
 
+#: Hex digits of a histogram round, and rows that one task may order at the end.
+HEX_DIGITS, MAX_ORDERED = 3, 100_000
+
+
+def sample_exact_by_label(df: DataFrame, spec: FeatureSpec, sizes: dict[int, int | float], seed: int = 0) -> DataFrame:
+    """Exactly ``sizes[label]`` rows per label (a float is a share of the label's
+    rows, rounded up; all rows where there are fewer): those whose hashed key sorts
+    first, ties by key. Labels that are not named have none.
+
+    Histograms of the hash narrow each label's boundary, ``16 ** HEX_DIGITS`` bins a
+    round, until its bin holds few rows; only those are ordered. Nothing else is
+    sorted or shuffled; the driver sees the bins' counts."""
+    y, digest = F.col(spec.label), F.md5(F.concat(key_string(spec.key), F.lit(f"-exact-{seed}")))
+    rows = df.withColumn("_h", digest)
+    counts = {r["y"]: r["n"] for r in df.where(y.isin(list(sizes))).groupBy(y.alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    taken, edge = F.lit(False), F.lit(False)
+    left = {}
+    for label, size in sizes.items():
+        want = math.ceil(round(size * counts.get(label, 0), 6)) if isinstance(size, float) else size
+        prefix, inside = "", counts.get(label, 0)
+        while 0 < want < inside and inside > MAX_ORDERED and len(prefix) < 32:
+            digits = len(prefix) + HEX_DIGITS
+            bins = (rows.where((y == label) & F.startswith("_h", F.lit(prefix))).groupBy(F.substring("_h", 1, digits).alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())
+            for r in bins:
+                if r["n"] >= want:
+                    break
+                want -= r["n"]
+            taken = taken | ((y == label) & F.startswith("_h", F.lit(prefix)) & (F.substring("_h", 1, digits) < r["b"]))
+            prefix, inside = r["b"], r["n"]
+        here = (y == label) & F.startswith("_h", F.lit(prefix))
+        if want >= inside:
+            taken = taken | here
+        elif want > 0:
+            edge, left[label] = edge | here, want
+    out = rows.where(taken).drop("_h")
+    if left:
+        place = F.row_number().over(Window.partitionBy(spec.label).orderBy("_h", *spec.key))
+        limit = F.coalesce(*[F.when(y == label, n) for label, n in left.items()])
+        out = out.unionByName(rows.where(edge).withColumn("_place", place).where(F.col("_place") <= limit).drop("_h", "_place"))
+    return out
+
+
 def split_expr(spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019):
     """'train' when the first 4 hex digits of md5(key-seed) fall below the fraction."""
     cut = int(round(train_fraction * 65536))

@@ -11,11 +11,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickspark.operators import clean, encode, evaluate, models, profile, rowid, sample, select, theory, tuning
+from clickspark.operators import (
+    clean,
+    collinear,
+    encode,
+    evaluate,
+    importance,
+    models,
+    profile,
+    rowid,
+    sample,
+    select,
+    splits,
+    theory,
+    tuning,
+)
 from clickspark.plans.featuresets import (
     FS_D,
     FS_E,
@@ -253,6 +268,53 @@ def q_correlated_pairs_documents(spark, sf):
     return rounded(profile.correlated_pairs(df, spec.numeric, 0.5))
 
 
+def _drop_correlated_sql(cols, threshold: float) -> str:
+    """Ranked columns, then one recursion step per column: it joins the kept ones
+    unless it is too strongly correlated with one of them."""
+    pairs = "\nUNION ALL\n".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 9) AS r FROM fs_x" for a in cols for b in cols if a != b)
+    own = "\nUNION ALL\n".join(f"SELECT '{a}' AS feature, round(corr(CAST(label AS DOUBLE), {a}), 9) AS label_corr FROM fs_x" for a in cols)
+    return _with(SQL_FS_L, _L_CHARGE, f"pairs AS ({pairs})", f"own AS ({own})",
+                 "ranked AS (SELECT *, row_number() OVER (ORDER BY label_corr IS NULL, abs(label_corr) DESC, feature) - 1 AS rank FROM own)",
+                 f"""foes AS (SELECT feature, label_corr, rank,
+                   coalesce(list(b ORDER BY b) FILTER (WHERE abs(r) > {threshold}), []) AS foes
+                 FROM ranked JOIN pairs ON a = feature GROUP BY ALL)""",
+                 """steps(i, kept) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]) UNION ALL
+                 SELECT i + 1, CASE WHEN len(list_intersect(kept, foes)) > 0 THEN kept ELSE list_append(kept, feature) END
+                 FROM steps JOIN foes ON rank = i)""",
+                 "final AS (SELECT unnest(kept) AS feature FROM steps WHERE i = (SELECT max(i) FROM steps))",
+                 """rivals AS (SELECT f.feature, arg_min(k.feature, k.rank) AS rival FROM foes f JOIN foes k
+                 ON list_contains(f.foes, k.feature) AND k.rank < f.rank AND k.feature IN (SELECT feature FROM final) GROUP BY f.feature)""",
+                 ).replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT f.feature, round(f.label_corr, 6) AS label_corr, CAST(f.rank AS INTEGER) AS rank,
+       f.feature IN (SELECT feature FROM final) AS kept, rivals.rival, round(pairs.r, 6) AS rival_corr
+FROM foes f LEFT JOIN rivals ON rivals.feature = f.feature LEFT JOIN pairs ON a = f.feature AND b = rivals.rival"""
+
+
+#: A column that follows another one closely, so that there is something to drop.
+_L_CHARGE = "fs_x AS (SELECT *, l_extendedprice * (1.0 + coalesce(l_tax, 0.0)) AS charge FROM fs_l)"
+
+
+@register("drop_correlated", _drop_correlated_sql([*L_NUM, "charge"], 0.9))
+def q_drop_correlated(spark, sf):
+    df, spec = lineitem_returns(spark, sf)
+    df = df.withColumn("charge", F.col("l_extendedprice") * (1.0 + F.coalesce("l_tax", F.lit(0.0))))
+    return rounded(collinear.drop_correlated(df, spec, 0.9, [*spec.numeric, "charge"]))
+
+
+def _vif_sql(a: str, b: str, c: str) -> str:
+    """The diagonal of the inverse of a 3 x 3 correlation matrix."""
+    det = "(1 - ab * ab - ac * ac - bc * bc + 2 * ab * ac * bc)"
+    return _with(SQL_FS_E, f"""r AS (SELECT corr({a}, {b}) AS ab, corr({a}, {c}) AS ac, corr({b}, {c}) AS bc FROM fs_e
+                 WHERE {a} IS NOT NULL AND {b} IS NOT NULL AND {c} IS NOT NULL)""") + "\nUNION ALL\n".join(
+        f"SELECT '{x}' AS feature, round((1 - {r} * {r}) / {det}, 6) AS vif FROM r" for x, r in ((a, "bc"), (b, "ac"), (c, "ab")))
+
+
+@register("variance_inflation", _vif_sql(*E_NUM))
+def q_variance_inflation(spark, sf):
+    df, spec = events_clicks(spark, sf)
+    return rounded(collinear.variance_inflation(df, spec.numeric))
+
+
 _E_PAIRS = [(a, b) for i, a in enumerate(E_NUM) for b in E_NUM[i + 1:]]
 
 
@@ -511,6 +573,14 @@ def q_stratified_sample(spark, sf):
     return sample.sample_by_label(df, spec, {0: 0.1, 1: 0.5}, seed=0)
 
 
+@register("stratified_sample_exact", _with(SQL_FS_E, """h AS (SELECT *, row_number() OVER (PARTITION BY label
+              ORDER BY md5(CAST(event_id AS VARCHAR) || '-exact-7'), event_id) AS place, count(*) OVER (PARTITION BY label) AS n FROM fs_e)""")
+          + f"SELECT {E_COLS} FROM h WHERE place <= CASE label WHEN 1 THEN ceil(round(0.25 * n, 6)) ELSE ceil(round(0.05 * n, 6)) END")
+def q_stratified_sample_exact(spark, sf):
+    df, spec = events_clicks(spark, sf)
+    return sample.sample_exact_by_label(df.select(*spec.columns), spec, {0: 0.05, 1: 0.25}, seed=7)
+
+
 @register("hash_split", _with(SQL_FS_E) + f"SELECT event_id, label, {_E_SPLIT} AS split FROM fs_e")
 def q_hash_split(spark, sf):
     df, spec = events_clicks(spark, sf)
@@ -593,6 +663,15 @@ def q_encoded_feature_table(spark, sf):
     return files.read_parquet_table(spark, path)
 
 
+@register("encoded_feature_table_long", ORACLE_SQL["encoded_feature_table"])
+def q_encoded_feature_table_long(spark, sf):
+    """The encoded table with every index beyond the broadcast bound."""
+    df, spec = lineitem_returns(spark, sf)
+    index = encode.load_index(spark, encode.store_index(encode.index_category(df, spec.categorical), scratch_path(spark, "index")))
+    enc = encode.apply_category_index(clean.fill_numeric_zero(df, list(spec.numeric)), index, spec.categorical, max_broadcast_bytes=0)
+    return enc.select(*spec.key, spec.label, *spec.numeric, *[c + "_idx" for c in spec.categorical])
+
+
 @register("assemble_features", _with(SQL_FS_E, _index_sql("fs_e", E_CAT)) + "SELECT event_id, " + ", ".join(
     [f"CAST({c} AS DOUBLE) AS f_{c}" for c in E_NUM] + [f"{c}_idx AS f_{c}_idx" for c in E_CAT]) +
     f" FROM ({_apply_index_sql('fs_e', ['event_id'], E_CAT, E_NUM)}) t")
@@ -658,6 +737,17 @@ def q_feature_fit_transform(spark, sf):
     return rounded(encode.vector_columns(both, models.FEATURES, names, prefix="scaled_"))
 
 
+@register("saved_feature_pipeline", _fit_transform_sql())
+def q_saved_feature_pipeline(spark, sf):
+    """The features of ``feature_fit_transform`` by a pipeline that was saved and loaded again."""
+    df, spec = events_clicks(spark, sf)
+    base = sample.hash_split(clean.fill_numeric_zero(df, list(spec.numeric)), spec)
+    path = scratch_path(spark, "saved-pipeline")
+    models.fit_feature_pipeline(base.where(F.col("split") == "train"), spec).write().save(path)
+    features = PipelineModel.load(path).transform(base).select(*spec.key, "split", models.FEATURES)
+    return rounded(encode.vector_columns(features, models.FEATURES, models.feature_names(spec), prefix="scaled_"))
+
+
 @register("class_weights", _with(SQL_FS_E) + f"""
 SELECT event_id, label, {_E_SPLIT} AS split,
        round(CASE WHEN label = 1 THEN r ELSE 1.0 - r END, 8) AS class_weight
@@ -820,6 +910,27 @@ def q_information_gain(spark, sf):
     return rounded(theory.information_gain(df, spec, spec.categorical), 8)
 
 
+def _threshold_sql() -> str:
+    body = _union("fs_l", L_NUM, "'{c}' AS feature, CAST({c} AS DOUBLE) AS value, label", where="{c} IS NOT NULL AND label IS NOT NULL")
+    h = "(CASE WHEN {0} > 0 THEN -({0}) * ln({0}) ELSE 0.0 END + CASE WHEN {0} < 1 THEN -(1 - {0}) * ln(1 - {0}) ELSE 0.0 END)"
+    return _with(SQL_FS_L, f"""c AS (SELECT feature, value, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos
+                 FROM ({body}) u GROUP BY ALL)""",
+                 """run AS (SELECT feature, value, sum(n) OVER up AS nl, sum(pos) OVER up AS pl,
+                 sum(n) OVER (PARTITION BY feature) AS tn, sum(pos) OVER (PARTITION BY feature) AS tp FROM c
+                 WINDOW up AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING))""",
+                 f"""g AS (SELECT *, {h.format('(tp / tn)')} AS parent, {h.format('(tp / tn)')}
+                 - (nl * {h.format('(pl / nl)')} + (tn - nl) * {h.format('((tp - pl) / (tn - nl))')}) / tn AS gain FROM run WHERE nl < tn)""") + """
+SELECT feature, value AS threshold, CAST(nl AS BIGINT) AS n_left, CAST(pl AS BIGINT) AS pos_left, CAST(tn - nl AS BIGINT) AS n_right,
+       CAST(tp - pl AS BIGINT) AS pos_right, round(parent, 8) AS parent_entropy, round(gain, 8) AS gain
+FROM g QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 12) DESC, value) = 1"""
+
+
+@register("best_threshold", _threshold_sql())
+def q_best_threshold(spark, sf):
+    df, spec = lineitem_returns(spark, sf)
+    return rounded(splits.best_threshold(df, spec), 8)
+
+
 @register("majority_vote", _with(*_SCORED_CTES) + """
 SELECT event_id, CASE WHEN (CASE WHEN value > 0.5 THEN 1 ELSE 0 END) + (CASE WHEN k > 0.5 THEN 1 ELSE 0 END)
                       + (CASE WHEN hour > 0.5 THEN 1 ELSE 0 END) >= 2 THEN 1 ELSE 0 END AS vote,
@@ -922,6 +1033,51 @@ def q_top_confident_negatives(spark, sf):
     return evaluate.top_confident_negatives(scored, spec.key, prob0, 10, columns=["label"])
 
 
+def _importance_sql() -> str:
+    z = "((CAST(-1.5 AS DOUBLE) + CAST(1.0 AS DOUBLE) * {0}) + CAST(1.0 AS DOUBLE) * {1}) + CAST(1.0 AS DOUBLE) * {2}"
+    parts = ["SELECT '' AS variant, label, " + z.format(*E_NUM) + " AS z FROM o"]
+    for j, c in enumerate(E_NUM):
+        cols = ["d." + x if x == c else "o." + x for x in E_NUM]
+        parts.append(f"SELECT '{c}', o.label, {z.format(*cols)} FROM o JOIN o d ON d.seq = (o.seq + {j + 1}) % o.n")
+    return _with(*_SCORED_CTES, """o AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(event_id AS VARCHAR) || '-permute-0'), event_id) - 1 AS seq,
+                 count(*) OVER () AS n FROM sc)""", "v AS (" + " UNION ALL ".join(parts) + ")",
+                 """s AS (SELECT variant, z, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS p,
+                 CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS n FROM v WHERE z IS NOT NULL GROUP BY ALL)""",
+                 """r AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY variant ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM s)""",
+                 "a AS (SELECT variant, sum(p * (nb + 0.5 * n)) / (sum(p) * sum(n)) AS auc FROM r GROUP BY variant)") + """
+SELECT a.variant AS feature, round(b.auc, 8) AS auc, round(a.auc, 8) AS auc_exchanged, round(b.auc - a.auc, 8) AS importance
+FROM a, a b WHERE b.variant = '' AND a.variant <> ''"""
+
+
+@register("permutation_importance", _importance_sql())
+def q_permutation_importance(spark, sf):
+    scaled, spec = _scaled_events(spark, sf)
+    spec = FeatureSpec(spec.key, spec.label, spec.numeric)
+
+    def score(rows):
+        z = F.lit(FIXED_INTERCEPT)
+        for c, w in FIXED_WEIGHTS.items():
+            z = z + F.lit(w) * F.col(c)
+        return rows.withColumn("score", z)
+    return rounded(importance.permutation_importance(scaled, spec, score), 8)
+
+
+@register("permutation_importance_gbt")
+def q_permutation_importance_gbt(spark, sf):
+    """Of a fitted forest of boosted trees, on the test rows."""
+    df, spec = events_clicks(spark, sf)
+    prep = models.prepare(df, spec)
+    try:
+        model = models.train(prep, "gbt", maxIter=5).model
+        test = sample.train_test(df, spec)[1]
+        scored = importance.permutation_importance(test, spec, importance.model_scorer(prep.pipeline, model, spec))
+        path = scratch_path(spark, "importance")
+        scored.write.parquet(path)
+        return spark.read.parquet(path)
+    finally:
+        prep.unpersist()
+
+
 # ---------------------------------------------------------------------------
 # 2.11 models and tuning (MLlib fits: rows-only checks)
 # ---------------------------------------------------------------------------
@@ -944,6 +1100,24 @@ def q_train_lr_selected(spark, sf):
     return models.train_report(df, spec, "lr", selection=("numTopFeatures", 3))
 
 
+@register("train_lr_one_hot")
+def q_train_lr_one_hot(spark, sf):
+    """One coefficient per label, order keys included: about 1.5 million labels at scale 1."""
+    df, spec = lineitem_returns(spark, sf)
+    df = df.withColumn("order", F.col("l_orderkey").cast("string"))
+    spec = FeatureSpec(spec.key, spec.label, spec.numeric, (*spec.categorical, "order"))
+    return models.train_report(df, spec, "lr", one_hot=True)
+
+
+@register("train_lr_uncorrelated")
+def q_train_lr_uncorrelated(spark, sf):
+    """Trained on the numeric columns that ``drop_correlated`` keeps on the train rows."""
+    df, spec = lineitem_returns(spark, sf)
+    df = df.withColumn("charge", F.col("l_extendedprice") * (1.0 + F.coalesce("l_tax", F.lit(0.0))))
+    wide = FeatureSpec(spec.key, spec.label, (*spec.numeric, "charge"), spec.categorical)
+    return models.train_report(df, collinear.without_correlated(sample.train_test(df, wide)[0], wide, 0.9), "lr")
+
+
 def _preview_query(kind: str, negatives_first: bool):
     def q(spark, sf):
         df, spec = events_clicks(spark, sf)

@@ -85,7 +85,7 @@ def test_category_index_does_not_depend_on_the_join(spark, tmp_path):
     stage.save(path)
     a = encode.CategoryIndexModel.load(path).transform(df)
     index = encode.load_index(spark, stage.getOrDefault("indexPath"))
-    b = encode.apply_category_index(df, index, spec.categorical, max_broadcast_labels=0)
+    b = encode.apply_category_index(df, index, spec.categorical, max_broadcast_bytes=0)
     assert a.select(b.columns).exceptAll(b).count() == 0 and a.count() == df.count()
     nulls = a.where("uid is null").select("uid_idx").distinct().collect()
     assert [r.uid_idx for r in nulls] == [index.where("feature = 'uid'").count()]
