@@ -68,7 +68,7 @@ lines AS (SELECT DISTINCT source, norm, trim(l) AS line, len(string_split(trim(l
           FROM (SELECT source, norm, unnest(string_split(norm, chr(10))) AS l FROM texts) WHERE trim(l) <> ''),
 hosts AS (SELECT source, count(*) AS host_docs FROM texts GROUP BY source),
 over AS (SELECT l.source, line FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-         GROUP BY l.source, line, host_docs HAVING count(*) > {quality.MAX_DOCS} AND count(*) > {quality.MAX_SHARE} * host_docs),
+         GROUP BY l.source, line, host_docs HAVING count(*) > {quality.MIN_DOCS} AND count(*) * count(*) > CAST({quality.GROWTH} AS DOUBLE) * host_docs),
 sums AS (SELECT l.source, norm, sum(words)::BIGINT AS total,
                 coalesce(sum(words) FILTER (WHERE o.line IS NOT NULL), 0)::BIGINT AS gone
          FROM lines l LEFT JOIN over o ON o.line = l.line AND o.source IS NOT DISTINCT FROM l.source GROUP BY l.source, norm),

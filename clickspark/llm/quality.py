@@ -17,13 +17,10 @@ from clickspark.session import scratch_path
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-#: A line is removed if more distinct documents of its host hold it than both
-#: limits: a count, and a share of the host's distinct documents.
-MAX_DOCS = 50
-MAX_SHARE = 0.02
-#: With ``min_docs`` a line goes above either limit, if above this count as well:
-#: above 3 documents on hosts up to 150, above 2 % up to 2,500, above 50 beyond.
-MIN_DOCS = 3
+#: A line is removed if more than MIN_DOCS distinct documents of its host hold it
+#: and their number squared exceeds GROWTH times the host's distinct documents: from
+#: 4 of 10 or 50, 11 of 500, 45 of 10,000, 448 of a million.
+MIN_DOCS, GROWTH = 3, 0.2
 #: A document is depleted if fewer of its words are left than this share.
 MIN_LEFT = 0.4
 
@@ -89,16 +86,15 @@ def line_words(norm: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT,
-                  min_words: int = MIN_WORDS, min_docs: int | None = None) -> DataFrame:
+                  min_docs: int = MIN_DOCS, growth: float = GROWTH, min_left: float = MIN_LEFT,
+                  min_words: int = MIN_WORDS) -> DataFrame:
     """One row per input row: id, host_col, text_hash, the base measures,
     line_total, line_removed (words in distinct lines, in lines above the
     limits), base_failed, kept.
 
-    Without ``min_docs`` a line must be above both limits, as in the SQL twin; so
-    hosts with at most ``max_docs`` texts lose none. With it, a line goes if above
-    ``min_docs`` and above either limit: one threshold that never falls as the
-    host grows and that hosts of every size can reach.
+    One threshold for hosts of every size: it grows with the root of the host's
+    documents. A share of them would let a section's menu pass on a large host, and a
+    fixed count would take ordinary short lines there.
 
     Null or empty text: all measures 0, base_failed. A null host is a host of
     its own. Repeated rows each get a row; they count as one document. Other
@@ -120,11 +116,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = (rows.groupBy("host", F.col("n.key").alias("key")).agg(F.first("n.lines").alias("lines")))
     lines = texts.select("host", "key", F.explode("lines").alias("l")).select("host", "key", "l.h", "l.w")
     counts = lines.groupBy("host", "h").agg(F.count("*").alias("n_docs")).where(
-        F.col("n_docs") > (max_docs if min_docs is None else min_docs))
+        F.col("n_docs") > min_docs)
     hosts = texts.groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs"))
-    above = F.col("n_docs") > max_share * F.col("host_docs")
-    if min_docs is not None:
-        above |= F.col("n_docs") > max_docs
+    above = F.col("n_docs") * F.col("n_docs") > growth * F.col("host_docs")
     over = (counts.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).where(above)
             .select(F.col("host").alias("over_host"), F.col("h").alias("over_h")))
     removed = (lines.join(over, (F.col("h") == F.col("over_h")) & F.col("host").eqNullSafe(F.col("over_host")), "left_semi")

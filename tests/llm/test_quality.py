@@ -2,7 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 from clickspark.llm import quality
-from llm_data import SF_SMALL, docs, none, odd  # noqa: F401
+from llm_data import SF_MID, docs, none, odd  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -16,7 +16,7 @@ def base(text):
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
 
 
-def brute(rows, max_docs, max_share, min_left, min_words):
+def brute(rows, min_docs=quality.MIN_DOCS, growth=quality.GROWTH, min_left=quality.MIN_LEFT, min_words=quality.MIN_WORDS):
     norm = lambda t: [x for x in (re.sub("[ \t\x0b\x0c\r]+", " ", y).strip(" ") for y in re.sub(
         "[A-Z]", lambda m: m[0].lower(), t or "").split("\n")) if x]
     texts = defaultdict(set)
@@ -28,7 +28,7 @@ def brute(rows, max_docs, max_share, min_left, min_words):
         b = base(t)
         lines = set(norm(t))
         words = lambda xs: sum(len(x.split(" ")) for x in xs)
-        gone = words(x for x in lines if n[h, x] > max_docs and n[h, x] > max_share * len(texts[h]))
+        gone = words(x for x in lines if n[h, x] > min_docs and n[h, x] ** 2 > growth * len(texts[h]))
         failed = b[0] < min_words or 100 * b[4] > 50 * b[0]
         out.append((i, h, *b, words(lines), gone, failed, not failed and words(lines) - gone >= min_left * words(lines)))
     return sorted(out, key=repr)
@@ -40,9 +40,11 @@ def run(df, **limits):
 
 
 def test_matches_brute_force_on_documents(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    df = spark.read.parquet(f"{SF_MID}/documents.parquet")
     rows = [(r.doc_id, r.text, r.source) for r in df.collect()]
-    limits = {"max_docs": 1, "max_share": 0.05, "min_left": 0.9, "min_words": 50}
+    got = run(df)
+    assert got == brute(rows) and any(r[8] for r in got)        # the rule of the query removes lines here
+    limits = {"min_docs": 1, "growth": 0.1, "min_left": 0.9}
     got = run(df, **limits)
     assert got == brute(rows, **limits)
     assert any(not r[-1] and not r[-2] for r in got)
@@ -52,12 +54,12 @@ def test_depleted_documents_go_and_copies_count_once(docs):
     own = lambda i: " ".join(f"own{i}x{j}" for j in range(60))
     menu = "\n".join(" ".join(f"menu{i}x{j}" for j in range(40)) for i in range(5))
     rows = [(i, f"{menu}\n{own(i)}", None, "a") for i in range(8)] + [(100 + i, own(999), None, "a") for i in range(30)]
-    got = {r[0]: r[-1] for r in run(docs(rows), max_docs=5, max_share=0.1, min_left=0.4, min_words=50)}
+    got = {r[0]: r[-1] for r in run(docs(rows), min_docs=5)}
     assert not any(got[i] for i in range(8)) and all(got[100 + i] for i in range(30))
 
 
 def test_odd_rows(odd, none):
     rows = [(r.doc_id, r.text, r.source) for r in odd.collect()]
-    limits = {"max_docs": 0, "max_share": 0.0, "min_left": 0.4, "min_words": 1}
+    limits = {"min_docs": 0, "growth": 0.0, "min_words": 1}
     assert run(odd, **limits) == brute(rows, **limits)
     assert run(none) == []

@@ -6,6 +6,9 @@ from llm_data import SF_SMALL, docs, none  # noqa: F401
 MENU = "\n".join(" ".join(f"menu{i}x{j}" for j in range(40)) for i in range(5))
 
 
+LONG_LINE = " ".join(f"menu{j}" for j in range(40))
+
+
 def own(host, i):
     return "\n".join(" ".join(f"{host}{i}line{k}x{j}" for j in range(20)) for k in range(3))
 
@@ -23,12 +26,14 @@ def test_planted_boilerplate_goes_at_every_host_size(spark, docs, size, planted)
 
 def test_lines_at_or_below_the_threshold_stay(spark, docs):
     rows = [(1000 * size + i, f"{MENU}\n{own(f'h{size}', i)}" if i < n else own(f"h{size}", i), None, f"h{size}")
-            for size, n in ((10, 3), (500, 10), (3000, 50)) for i in range(size)]
+            for size, n in ((10, 3), (500, 10), (3000, 24)) for i in range(size)]
     assert corpus_pipeline.quality_rules(spark, docs(rows, extra=False), "").count() == len(rows)
 
 
-def test_rule_of_both_limits_is_the_default(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    removed = lambda **k: quality.quality_rules(df, **k).agg({"line_removed": "sum"}).first()[0]
-    assert removed() == removed(max_docs=quality.MAX_DOCS, max_share=quality.MAX_SHARE) == 0
-    assert removed(min_docs=1) > 0
+def test_threshold_of_a_host_with_a_million_texts(spark):
+    """448 texts with the menu go, 447 stay: the texts of the host are short, but all different."""
+    for planted, stays in ((447, True), (448, False)):
+        rows = spark.range(1_000_000).selectExpr("id as doc_id", f"if(id < {planted}, concat('{LONG_LINE}\\n', concat('o', id)), concat('o', id)) as text",
+                                                 "'big' as source")
+        got = quality.quality_rules(rows, min_words=0).where(f"doc_id < {planted} and not base_failed").agg({"line_removed": "max"}).first()[0]
+        assert (got == 0 or got is None) is stays
