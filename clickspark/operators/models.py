@@ -231,8 +231,11 @@ def evaluate(result: TrainResult, spec: FeatureSpec) -> DataFrame:
         rows += [(f"auc_{part}", a["auc"]), (f"n_{part}", float(a["n_pos"] + a["n_neg"]))]
         for r in weighted_metrics(pred, LABEL, "prediction").collect():
             rows.append((f"{r['metric']}_{part}", r["value"]))
-    if result.kind == "lr" and result.model.hasSummary:
-        rows.append(("summary_auc_train", float(result.model.summary.areaUnderROC)))
+    if result.kind in ("lr", "lsvc") and result.model.hasSummary:
+        summary = result.model.summary if result.kind == "lr" else result.model.summary()
+        rows.append(("iterations_train", float(summary.totalIterations)))
+        if result.kind == "lr":
+            rows.append(("summary_auc_train", float(summary.areaUnderROC)))
     return spark.createDataFrame([(result.kind, m, float(v) if v is not None else None) for m, v in rows],
                                  "model string, metric string, value double")
 

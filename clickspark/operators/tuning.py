@@ -8,9 +8,16 @@ grid points are fitted ``parallelism`` at a time.
 
 from __future__ import annotations
 
+import hashlib
+import statistics
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickspark.operators.evaluate import auc_exact
 from clickspark.operators.models import LABEL, make_classifier, prepare, score_column
@@ -64,6 +71,74 @@ def tune(df: DataFrame, spec: FeatureSpec, kind: str, grid: dict | None = None,
         prep.unpersist()
 
 
+RESULT = "search string, point string, fold int, auc double"
+
+
+def _point_name(point: dict) -> str:
+    return ",".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda kv: kv[0].name))
+
+
+def _finished(spark, path: str, search: str) -> dict[tuple[str, int], float]:
+    """AUC of the fits that this search has stored: points x folds rows at most."""
+    try:
+        rows = spark.read.schema(f"{RESULT}, fit string").parquet(path).where(F.col("search") == search).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    return {(r["point"], r["fold"]): r["auc"] for r in rows}
+
+
+def resumable_search(df: DataFrame, spec: FeatureSpec, kind: str, path: str, grid: dict | None = None, folds: int = 3,
+                     parallelism: int = 4, seed: int = 2019) -> DataFrame:
+    """The rows of ``tune`` and, per grid point, 'cv_spread': the standard deviation
+    of its AUC over the folds.
+
+    Every fit adds its (search, point, fold, AUC) to the table at ``path`` as it
+    ends. A search that starts again with the same settings reads them and makes only
+    the fits that are missing; folds hang on the row keys, so they are the same.
+    Other settings at the same path do not meet them. The data must be the same.
+    """
+    grid = grid or REFERENCE_GRIDS[kind]
+    spark = df.sparkSession
+    search = hashlib.md5(repr((kind, folds, seed, spec)).encode()).hexdigest()
+    est = make_classifier(kind, seed=seed)
+    points = {_point_name(p): p for p in build_grid(est, grid)}
+    prep = prepare(df, spec, seed=seed)
+    try:
+        train = kfold_assign(prep.train, spec, k=folds, seed=seed)
+        done = _finished(spark, path, search)
+
+        def fit(job: tuple[str, int]) -> None:
+            point, fold = job
+            model = est.copy(points[point]).fit(train.where(F.col("fold") != fold))
+            auc = auc_exact(model.transform(train.where(F.col("fold") == fold)), LABEL, score_column(kind)).first()
+            row = [(search, point, fold, auc["auc"] if auc else None)]
+            # a folder a fit: writers that end together do not meet
+            spark.createDataFrame(row, RESULT).coalesce(1).write.mode("overwrite").parquet(f"{path}/fit={hashlib.md5(repr((search, job)).encode()).hexdigest()}")
+
+        missing = [(p, f) for p in points for f in range(folds) if (p, f) not in done]
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            for ended in [pool.submit(inheritable_thread_target(spark)(fit), job) for job in missing]:
+                ended.result()
+        done = _finished(spark, path, search)
+
+        rows, mean = [], {}
+        for p in points:
+            aucs = [done[p, f] for f in range(folds) if done[p, f] is not None]
+            mean[p] = sum(aucs) / len(aucs) if aucs else float("nan")
+            rows.append((kind, "cv_auc", p, mean[p]))
+            rows.append((kind, "cv_spread", p, statistics.pstdev(aucs) if aucs else None))
+        best = points[max(points, key=lambda p: (mean[p] == mean[p], mean[p]))]      # the first of equals
+        model = est.copy(best).fit(prep.train)
+        rows += [(kind, "best_param", p.name, float(v)) for p, v in sorted(best.items(), key=lambda kv: kv[0].name)]
+        test = auc_exact(model.transform(prep.test), LABEL, score_column(kind)).first()["auc"]
+        rows.append((kind, "metric", "auc_test", test))
+        return spark.createDataFrame(rows, "model string, kind string, name string, value double")
+    finally:
+        prep.unpersist()
+
+
 def explain_params(est) -> DataFrame:
     """(param, value, doc) rows for an estimator (``explainParams`` as a table)."""
     from pyspark.sql import SparkSession
