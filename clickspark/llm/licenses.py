@@ -26,6 +26,8 @@ from clickspark.llm.text import let, lower_ascii
 LICENSE_FILE = Path(__file__).with_name("known_licenses.jsonl")
 #: A run of lines is looked up if it begins with so many words of a known text.
 START_WORDS = 4
+#: ... and has the same words at so many places; only such runs are put together.
+PROBES = 12
 
 # Public licence texts and their standard notices (id, text).
 KNOWN_LICENSES = [
@@ -138,18 +140,24 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 def known_digests(spark: SparkSession, known=None) -> DataFrame:
-    """(digest, license_id, n_lines, n_words, start) of the known texts, by
+    """(digest, license_id, n_lines, n_words, start, probes) of the known texts, by
     default ``known_texts()``; one row per digest. ``start``: the first words of
-    the canonical text."""
+    the canonical text; ``probes``: the words at PROBES places spread over it."""
     df = spark.createDataFrame(known_texts() if known is None else list(known), "license_id string, text string")
     canon = df.select("license_id", canonical(F.col("text")).alias("canon"))
     flat = canon.select("license_id", _spelled(_flat(F.col("canon"))).alias("flat"),
                         F.size(F.filter(F.split("canon", "\n"), lambda x: x != "")).alias("n_lines"))
-    return (flat.select(digest(F.col("flat")).alias("digest"), "license_id", "n_lines",
-                        F.size(F.split("flat", " ")).alias("n_words"),
-                        F.substring_index("flat", " ", START_WORDS).alias("start"))
+    words = F.split("flat", " ")
+    return (flat.select(digest(F.col("flat")).alias("digest"), "license_id", "n_lines", F.size(words).alias("n_words"),
+                        F.substring_index("flat", " ", START_WORDS).alias("start"),
+                        F.transform(_places(F.size(words)), lambda at: F.get(words, at)).alias("probes"))
             .groupBy("digest").agg(F.min("license_id").alias("license_id"), F.max("n_lines").alias("n_lines"),
-                                   F.first("n_words").alias("n_words"), F.first("start").alias("start")))
+                                   *[F.first(c).alias(c) for c in ("n_words", "start", "probes")]))
+
+
+def _places(n: Column) -> Column:
+    """Places of the probe words in a text of n words; the last word is one."""
+    return F.transform(F.sequence(F.lit(1), F.lit(PROBES)), lambda j: (j * n / PROBES).cast("int") - 1)
 
 
 def _starts_pattern(starts: list[str]) -> str:
@@ -169,19 +177,30 @@ def _spelled_lines(canon: Column) -> Column:
     return canon
 
 
-def _runs(canon: Column, lengths: dict[str, list[int]]) -> Column:
-    """The runs of whole lines, joined by single spaces, that begin with a start
-    of ``lengths`` and have one of its numbers of words, however wrapped."""
+def _runs(canon: Column, lengths: dict[str, list[tuple[int, list[str]]]]) -> Column:
+    """Digests of the runs of whole lines, joined by single spaces, that begin with
+    a start of ``lengths``, have one of its numbers of words, however wrapped, and the
+    words of that text at its probe places. A place costs one look, and a run is put
+    together, one at a time, only if all its probes agree; what is kept of it is its
+    digest. So a text of starts alone needs no more memory than its words."""
     tokens = F.split(F.concat(F.lit("\n"), F.regexp_replace(_spelled_lines(canon), r"\n+", " \n")), " ")
-    number_of = F.create_map(*[x for k, v in sorted(lengths.items()) for x in (F.lit(k), F.array(*map(F.lit, sorted(v))))])
+    number_of = F.create_map(*[x for k, v in sorted(lengths.items()) for x in (F.lit(k), F.array(*[
+        F.struct(F.lit(n).alias("n"), F.array(*map(F.lit, probes)).alias("probes")) for n, probes in sorted(v)]))])
+    none = F.array().cast("array<struct<n:int,probes:array<string>>>")
     flat = lambda t, at, n: F.replace(F.array_join(F.slice(t, at + 1, n), " "), F.lit("\n"), F.lit(""))
     begins = lambda t, at: F.startswith(F.get(t, at), F.lit("\n"))
+
+    def agrees(t: Column, at: Column, known: Column) -> Column:
+        ends = (at + known["n"] == F.size(t)) | F.coalesce(begins(t, at + known["n"]), F.lit(False))
+        same = F.forall(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda j: F.coalesce(
+            F.ltrim(F.get(t, at + ((j + 1) * known["n"] / PROBES).cast("int") - 1), F.lit("\n")) == F.get(known["probes"], j), F.lit(False)))
+        return ends & same
+
     return let(tokens, lambda t: F.flatten(F.transform(
         F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda at: begins(t, at)),
         lambda at: F.transform(
-            F.filter(F.coalesce(F.element_at(number_of, flat(t, at, F.lit(START_WORDS))), F.array().cast("array<int>")),
-                     lambda n: (at + n == F.size(t)) | F.coalesce(begins(t, at + n), F.lit(False))),
-            lambda n: flat(t, at, n)))))
+            F.filter(F.coalesce(F.element_at(number_of, flat(t, at, F.lit(START_WORDS))), none), lambda known: agrees(t, at, known)),
+            lambda known: digest(flat(t, at, known["n"]))))))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id",
@@ -200,24 +219,24 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id",
     ``known`` joins by hash; its side is broadcast only if Spark measures it
     under the broadcast threshold. Lines that hit are aggregated per document
     before the join back, at most one entry per licence. The driver receives the
-    starts and lengths of the known texts, not of the documents; only documents
-    with a line that begins with a start are searched for runs.
+    starts, lengths and probe words of the known texts, not of the documents; only
+    documents with a line that begins with a start are searched for runs. Memory of a
+    row: its text, its words and one run.
     """
-    lengths: dict[str, list[int]] = {}
-    for r in known.where("n_lines > 1").select("start", "n_words").distinct().collect():
-        lengths.setdefault(r.start, []).append(r.n_words)
+    lengths: dict[str, list[tuple[int, list[str]]]] = {}
+    for r in known.where("n_lines > 1").select("start", "n_words", "probes").distinct().collect():
+        lengths.setdefault(r.start, []).append((r.n_words, r.probes))
     known = known.select("digest", "license_id")
     base = docs.select(F.col(id_col).alias("id"), canonical(F.col(text_col)).alias("canon"))
     whole = base.select("id", digest(_flat(F.col("canon"))).alias("digest"),
                         F.coalesce(F.size(F.filter(F.split("canon", "\n"), lambda x: x != "")), F.lit(0))
                         .cast("long").alias("n_lines"))
-    units = F.split("canon", "\n")
+    lines = F.filter(F.array_distinct(F.split("canon", "\n")), lambda x: x != "")
+    units = F.transform(lines, digest)
     if lengths:
         units = F.when(F.col("canon").rlike(_starts_pattern(list(lengths))),
                        F.concat(units, _runs(F.col("canon"), lengths))).otherwise(units)
-    lines = (base.select("id", F.explode(F.array_distinct(units)).alias("line"))
-             .where("line != '' and id is not null")
-             .select("id", digest(F.col("line")).alias("digest")))
+    lines = base.where("id is not null").select("id", F.explode(F.array_distinct(units)).alias("digest"))
     found = (lines.join(known, "digest")
              .groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses")))
     return (whole.join(known, "digest", "left").join(found, "id", "left")

@@ -40,3 +40,12 @@ def test_notices_and_identifiers(spark, docs):
     got = scan(spark, docs(rows))
     assert got[1][1] == "MPL-2.0" and got[2][1] == "AGPL-3.0"
     assert got[3] == ("CC-BY-SA-4.0", "CC-BY-SA-4.0") and got[4][0] == "BSD-3-Clause"
+
+
+def test_a_long_text_of_starts_alone_needs_little_memory(spark, docs):
+    """5 MB in which every line begins a known text, and one licence amid them."""
+    line = "gnu\ngeneral\npublic\nlicense\n"
+    mit = next(t for i, t in licenses.known_texts() if i == "MIT" and t.count("\n") > 5)
+    df = docs([(1, line * 200_000, "en", "a"), (2, line * 1000 + mit + "\n" + line * 1000, "en", "a")], extra=False)
+    got = {r.doc_id: r.line_licenses for r in licenses.scan_licenses(df, licenses.known_digests(spark)).collect()}
+    assert "MIT" in got[2].split(",") and "MIT" not in got[1].split(",")
