@@ -57,29 +57,44 @@ def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType,
 NULL_MARKER = "\\N"   # fixed value: how a null is spelled in CSV files
 
 
-def _csv_options(rw, header: bool):
+def _csv_options(rw, header: bool, line_ends: bool):
     """Options shared by the CSV writer and reader: nulls as \\N, no whitespace
-    trimming, quotes doubled inside quotes and line ends allowed there, so null,
-    '', ' ' and text of several lines all survive a round trip. Such files are
-    read whole by one task each; big tables belong in Parquet."""
+    trimming, quotes doubled inside quotes, so null, '' and ' ' survive a round trip,
+    and with ``line_ends`` text of several lines does too. Files that may hold such
+    text cannot be split: one task reads each of them whole."""
     return (rw.option("header", str(header).lower()).option("nullValue", NULL_MARKER)
-              .option("multiLine", "true").option("quote", '"').option("escape", '"')
+              .option("multiLine", str(line_ends).lower()).option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    """CSV sink with a header."""
+def _holds_text(schema: T.StructType) -> bool:
+    return any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True, line_ends: bool = True) -> str:
+    """CSV sink with a header. ``line_ends=False``: a line end in a text is an error,
+    and the files may be read in splits."""
+    if not line_ends:
+        def checked(f):
+            c = F.col(f"`{f.name}`")
+            broken = F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r"))
+            return F.when(broken, F.raise_error(F.lit(f"column {f.name}: line end in a value"))).otherwise(c).alias(f.name)
+        df = df.select(*[checked(f) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
     # empty strings are written quoted ("") so they differ from the null marker
-    _csv_options(df.write.mode("errorifexists"), header).option("emptyValue", '""').csv(path)
+    _csv_options(df.write.mode("errorifexists"), header, line_ends).option("emptyValue", '""').csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             header: bool = True, infer: bool = False) -> DataFrame:
+             header: bool = True, infer: bool = False, line_ends: bool | None = None) -> DataFrame:
     """CSV scan. With ``schema`` no inference pass runs (the production path);
     ``infer=True`` samples the files for types (an extra full pass); otherwise
-    every column is a string."""
-    reader = _csv_options(spark.read, header)
+    every column is a string.
+
+    ``line_ends``: texts may hold line ends, so every file is one task's. By default
+    only a schema without text columns rules that out; say False for files written
+    with ``line_ends=False``, which any number of tasks read."""
+    reader = _csv_options(spark.read, header, (schema is None or _holds_text(schema)) if line_ends is None else line_ends)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:

@@ -1,5 +1,6 @@
 """Sources, sinks, feature roles, one-hot and the streaming operators."""
 
+import pytest
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import functions as F
 
@@ -137,3 +138,20 @@ def test_watermarked_running_aggregate_as_stream(spark):
         final[k] = max(final.get(k, (0, 0)), (r["n"], r["clicks"]))
     assert final == _hourly_batch(ev)
     assert len(rows) >= len(final)
+
+
+def test_csv_of_one_large_file_is_read_in_splits(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr("id", "if(id % 3 = 0, null, concat('a \"b\", ', id)) as t", "id / 7 as x").coalesce(1)
+    path = files.write_csv(rows, str(tmp_path / "one"), line_ends=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        split = files.read_csv(spark, path, rows.schema, line_ends=False)
+        assert split.rdd.getNumPartitions() > 4 and files.read_csv(spark, path, rows.schema).rdd.getNumPartitions() == 1
+        assert split.exceptAll(rows).count() == 0 and split.count() == 60_000
+        numbers = files.write_csv(rows.select("id", "x"), str(tmp_path / "numbers"))
+        assert files.read_csv(spark, numbers, rows.select("id", "x").schema).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(Exception, match="line end"):
+        files.write_csv(spark.createDataFrame([("a\nb",)], "t string"), str(tmp_path / "broken"), line_ends=False)
