@@ -25,7 +25,9 @@ HEADLINE = [
     "encoded_feature_table", "standard_scale", "hash_split", "kfold_assign", "stable_row_id",
     "reassemble_by_row_id", "chi_square_stat", "information_gain", "auc_exact", "roc_curve",
     "weighted_metrics", "top_confident_negatives", "csv_roundtrip", "ascii_clean", "ctr_stream_hourly",
-    "limit_extract",
+    "limit_extract", "encoded_feature_table_long", "saved_feature_pipeline", "drop_correlated", "best_threshold",
+    "permutation_importance", "stratified_sample_exact", "sketch_profile", "select_fpr", "stream_scoring",
+    "compare_classifiers_sample",
 ]
 
 
