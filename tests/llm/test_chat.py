@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 from clickspark.llm import chat
@@ -48,3 +49,23 @@ def test_layout_and_spans(spark):
     r = chat.format_conversations(spark.createDataFrame(rows, SCHEMA)).first()
     assert r.formatted == "### user:\na\\h</turn>\n### assistant:\nb\\l</part>c\\b</turn>\n### user:\nd</turn>\n"
     assert [r.formatted[s.start:s.start + s.length] for s in r.loss_spans] == ["b\\l", "c\\b"]
+
+
+def test_one_long_conversation_takes_time_in_proportion(spark):
+    def digest(n):
+        rows = (spark.range(n).selectExpr("1L as conv_id", "id as turn", "if(id % 3 = 0, 'user', 'assistant') as role",
+                                          "concat('a<', id, repeat(' b#', 30)) as text"))
+        begin = time.time()
+        got = chat.conversation_digests(rows).collect()
+        return time.time() - begin, tuple(got[0])[:5]
+
+    digest(100)
+    short, (_, *got) = digest(5_000)
+    assert tuple(got) == brute([(1, i, "assistant" if i % 3 else "user", f"a<{i}" + " b#" * 30) for i in range(5_000)])[1]
+    long, _ = digest(20_000)
+    assert long < 8 * short                 # quadratic: 16 times
+
+
+def test_one_shuffle(spark):
+    plan = chat.conversation_digests(spark.createDataFrame([(1, 0, "user", "a")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
