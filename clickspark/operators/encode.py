@@ -5,9 +5,10 @@ Category index (frequency rank, 0 = most frequent, ties alphabetical):
 * ``index_category``: counts are a partial aggregate, ranks come from the
   range-partitioned prefix operator.
 * ``apply_category_index``: indexes whose measured bytes fit together under
-  ``max_broadcast_bytes`` are joined by broadcast. All other columns go in one long
-  form, whatever their number: one shuffle to meet their indexes, one to fold the
-  rows back. Hot values are salted by the counts that the index holds.
+  ``max_broadcast_bytes`` are joined by broadcast. All other columns go together,
+  whatever their number: each combination of their values is looked up once, in a
+  long form, and the rows meet their combination in one shuffle. Hot values and
+  combinations are salted.
 * ``CategoryIndexModel``: the same index, stored as a table, as a pipeline stage. A
   saved model carries its index inside its own folder.
 """
@@ -36,6 +37,8 @@ MAX_BROADCAST_BYTES, LABEL_BYTES = 64 << 20, 64
 #: A value that holds more than one part in HOT of its column's rows is salted; there
 #: are fewer than HOT such values a column.
 HOT = 200
+#: Rows with the same values in all wide columns that one task receives.
+SALT_ROWS = 100_000
 
 
 # --- category index -----------------------------------------------------------
@@ -105,12 +108,12 @@ def row_digest(df: DataFrame) -> Column:
 
 
 def _apply_wide(df: DataFrame, index: DataFrame, columns: Sequence[str], suffix: str) -> DataFrame:
-    """Index of any number of columns in two shuffles of the rows.
+    """Index of any number of columns in one shuffle of the rows.
 
-    A row becomes one long row per column with a value, and one that carries the row
-    itself. They meet the index by (column, value, salt) and are folded back by the
-    digest of the row. Equal rows fold into one with its count and are repeated, so
-    the digest needs no key; a digest does not depend on the layout of the data."""
+    Rows that agree in all ``columns`` have the same index values, so each such
+    combination is looked up once: it becomes one long row per column with a value,
+    these meet the index by (column, value, salt) and are folded back by the digest of
+    the combination. The rows then meet their combination by digest and salt."""
     index = index.where(F.col("feature").isin(list(columns)))
     total = index.groupBy("feature").agg(F.sum("n").alias("total"))
     hot = (index.join(F.broadcast(total), "feature").where(F.col("n") * HOT > F.col("total"))
@@ -119,21 +122,29 @@ def _apply_wide(df: DataFrame, index: DataFrame, columns: Sequence[str], suffix:
     salted = index.join(hot, ["feature", "value"], "left").select(
         "feature", "value", "idx", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
 
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    marked = df.select(row.alias("row"), row_digest(df).alias("digest"))
-    nothing = F.lit(None).cast(df.schema)
-    itself = F.struct(F.lit("").alias("feature"), F.col("digest").alias("value"), F.col("row").alias("row"))   # spreads evenly
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"row.`{c}`").cast("string").alias("value"), nothing.alias("row")) for c in columns]
-    long = (marked.select("digest", F.explode(F.array(itself, *cells)).alias("c")).select("digest", "c.*")
-            .where(F.col("value").isNotNull()))
+    names = [f"_v{i}" for i in range(len(columns))]
+    digest = F.unhex(row_digest(df.select(*[F.col(f"`{c}`") for c in columns])))
+    values = df.select(*[F.col(f"`{c}`").cast("string").alias(v) for c, v in zip(columns, names)], digest.alias("_of"))
+    found = values.groupBy("_of").agg(F.count(F.lit(1)).alias("_n"), *[F.first(v).alias(v) for v in names])
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(v).alias("value")) for c, v in zip(columns, names)]
+    long = found.select("_of", "_n", F.explode(F.array(*cells)).alias("c")).select("_of", "_n", "c.*")
     long = (long.join(hot, ["feature", "value"], "left")
-            .withColumn("salt", F.pmod(F.xxhash64("digest"), F.coalesce("salts", F.lit(1)))).drop("salts"))
+            .withColumn("salt", F.pmod(F.xxhash64("_of"), F.coalesce("salts", F.lit(1)))).drop("salts"))
     met = long.join(salted, ["feature", "value", "salt"], "left")
-    folded = met.groupBy("digest").agg(
-        F.first("row", ignorenulls=True).alias("row"), F.count("row").alias("copies"),
-        *[F.max(F.when(F.col("feature") == c, F.col("idx"))).alias(f"_i{i}") for i, c in enumerate(columns)])
-    back = folded.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))), *[f"_i{i}" for i in range(len(columns))])
-    return back.select("row.*", *[F.col(f"_i{i}").alias(c + suffix) for i, c in enumerate(columns)])
+    folded = met.groupBy("_of").agg(
+        F.first("_n").alias("_n"), *[F.max(F.when(F.col("feature") == c, F.col("idx"))).alias(f"_i{i}") for i, c in enumerate(columns)])
+
+    # rows of a frequent combination go to many tasks; there are rows / SALT_ROWS such combinations at most
+    parts = F.ceil(F.col("_n") / SALT_ROWS)
+    often = F.broadcast(found.where(F.col("_n") > SALT_ROWS).select("_of", parts.alias("_parts")))
+    spread = folded.select("_of", *[f"_i{i}" for i in range(len(columns))],
+                           F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_part_of"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(row.alias("row"), digest.alias("digest"), row_digest(df).alias("_whole"))
+    rows = rows.join(often, F.col("digest") == F.col("_of"), "left").select("row", "digest", F.when(
+        F.col("_parts") > 1, F.pmod(F.xxhash64("_whole"), F.col("_parts"))).otherwise(F.lit(0).cast("long")).alias("_part"))
+    out = rows.join(spread, (F.col("digest") == F.col("_of")) & (F.col("_part") == F.col("_part_of")), "left")
+    return out.select("row.*", *[F.col(f"_i{i}").alias(c + suffix) for i, c in enumerate(columns)])
 
 
 def store_index(index: DataFrame, path: str) -> str:
@@ -172,13 +183,21 @@ class CategoryIndexModel(Transformer, MLReadable, MLWritable):
     inputCols = Param(Params._dummy(), "inputCols", "indexed columns", TypeConverters.toListString)
     indexPath = Param(Params._dummy(), "indexPath", "folder of the stored index", TypeConverters.toString)
     suffix = Param(Params._dummy(), "suffix", "suffix of the output columns", TypeConverters.toString)
+    leastRows = Param(Params._dummy(), "leastRows", "labels of fewer fitted rows count as unseen", TypeConverters.toInt)
 
-    def __init__(self, columns: Sequence[str] = (), path: str = "", suffix: str = "_idx"):
+    def __init__(self, columns: Sequence[str] = (), path: str = "", suffix: str = "_idx", least_rows: int = 0):
         super().__init__()
-        self._set(inputCols=list(columns), indexPath=path, suffix=suffix)
+        self._setDefault(leastRows=0)
+        self._set(inputCols=list(columns), indexPath=path, suffix=suffix, leastRows=least_rows)
+
+    def applied_index(self, spark) -> DataFrame:
+        """The labels that the stage tells apart: as ranks go by rows, the first of every column."""
+        index = load_index(spark, self.getOrDefault("indexPath"))
+        least = self.getOrDefault("leastRows")
+        return index.where(F.col("n") >= least) if least else index
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        index = load_index(dataset.sparkSession, self.getOrDefault("indexPath"))
+        index = self.applied_index(dataset.sparkSession)
         return apply_category_index(dataset, index, self.getOrDefault("inputCols"), self.getOrDefault("suffix"))
 
     def write(self) -> _IndexWriter:
@@ -189,9 +208,9 @@ class CategoryIndexModel(Transformer, MLReadable, MLWritable):
         return _IndexReader(cls)
 
 
-def fit_category_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx") -> CategoryIndexModel:
+def fit_category_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx", least_rows: int = 0) -> CategoryIndexModel:
     path = store_index(index_category(df, columns), scratch_path(df.sparkSession, "category-index"))
-    return CategoryIndexModel(columns, path, suffix)
+    return CategoryIndexModel(columns, path, suffix, least_rows)
 
 
 def index_label(df: DataFrame, spec: FeatureSpec, out: str = "label_idx") -> DataFrame:

@@ -700,8 +700,10 @@ def q_encoded_feature_table(spark, sf):
 
 @register("encoded_feature_table_long", ORACLE_SQL["encoded_feature_table"])
 def q_encoded_feature_table_long(spark, sf):
-    """The encoded table with every index beyond the broadcast bound."""
+    """The encoded table with every index beyond the broadcast bound. The joined rows
+    are stored once: the index, its combinations and the result all read them."""
     df, spec = lineitem_returns(spark, sf)
+    df = files.read_parquet_table(spark, files.write_parquet_table(df, scratch_path(spark, "joined")))
     index = encode.load_index(spark, encode.store_index(encode.index_category(df, spec.categorical), scratch_path(spark, "index")))
     enc = encode.apply_category_index(clean.fill_numeric_zero(df, list(spec.numeric)), index, spec.categorical, max_broadcast_bytes=0)
     return enc.select(*spec.key, spec.label, *spec.numeric, *[c + "_idx" for c in spec.categorical])

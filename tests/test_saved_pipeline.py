@@ -133,3 +133,28 @@ def test_written_features_are_the_only_copy(spark):
     df, spec = events_clicks(spark, SF_SMALL)
     prep = models.prepare(df, spec, materialize="write")
     assert not prep.train.is_cached and not prep.test.is_cached and prep.train.count() + prep.test.count() == df.count()
+
+
+def test_wide_index_looks_up_combinations_not_rows(spark):
+    """Rows that agree in every wide column meet the index once, however many they are."""
+    df = spark.range(0, 20_000, 1, 4).select("id", (F.col("id") % 3).cast("string").alias("a"),
+                                             F.when(F.col("id") % 5 != 0, (F.col("id") % 5).cast("string")).alias("b"))
+    df = df.unionByName(df.where("id < 7"))                            # rows that come twice
+    index = encode.index_category(df.where("id % 5 != 4"), ["a", "b"])  # b = 4 is unseen
+    wide = encode.apply_category_index(df, index, ["a", "b"], max_broadcast_bytes=0)
+    narrow = encode.apply_category_index(df, index, ["a", "b"])
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, narrow.collect()))
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    generated = [line for line in plan.splitlines() if "Generate explode(array(" in line]
+    assert generated and all("row" not in line for line in generated)
+    assert plan.count("Generate explode(array(") == 1
+
+
+def test_wide_index_spreads_a_frequent_combination(spark, monkeypatch):
+    monkeypatch.setattr(encode, "SALT_ROWS", 100)
+    df = spark.range(0, 3_000, 1, 3).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("x").alias("a"))
+    index = encode.index_category(df, ["a"])
+    out = encode.apply_category_index(df, index, ["a"], max_broadcast_bytes=0)
+    known = {r["value"]: r["idx"] for r in index.collect()}
+    rows = out.collect()
+    assert sorted(r["id"] for r in rows) == list(range(3_000)) and all(r["a_idx"] == known[r["a"]] for r in rows)
