@@ -1,9 +1,8 @@
 """Grid search with k-fold cross-validation on the AUC.
 
-Folds come from the row key (``kfold_assign``) and are passed to
-``CrossValidator(foldCol=...)``, so fold membership does not depend on
-partitioning and survives recomputation. The train table is persisted once and
-grid points are fitted ``parallelism`` at a time.
+Folds come from the row key (``kfold_assign``), so fold membership does not depend
+on partitioning and survives recomputation. The train table is persisted once, one
+fold's two parts at a time, and grid points are fitted ``parallelism`` at a time.
 """
 
 from __future__ import annotations
@@ -12,15 +11,15 @@ import hashlib
 import statistics
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.evaluate import auc_exact
-from clickspark.operators.models import LABEL, make_classifier, prepare, score_column
+from clickspark.operators.models import FEATURES, LABEL, WEIGHT, make_classifier, prepare, score_column, solver_rows
 from clickspark.operators.sample import kfold_assign
 from clickspark.spec import FeatureSpec
 
@@ -41,32 +40,81 @@ def build_grid(est, grid: dict):
     return b.build()
 
 
+def shared_fits(kind: str, points: list[dict]) -> list[tuple[int, dict[int, int | None]]]:
+    """Points whose models one fit gives exactly: (the point to fit, {point: its trees, or
+    None for the whole model}).
+
+    ``aggregationDepth`` only says in how many steps the executors' sums are added up.
+    Boosting is sequential: the first n trees of a longer run are the run of n trees,
+    so the longest run of a group holds the others."""
+    groups: dict = {}
+    for i, point in enumerate(points):
+        named = {p.name: v for p, v in point.items()}
+        trees = named.pop("maxIter", None) if kind == "gbt" else None
+        named.pop("aggregationDepth", None)
+        groups.setdefault(tuple(sorted(named.items())), []).append((trees, i))
+    out = []
+    for members in groups.values():
+        most = max((t for t, _ in members if t is not None), default=None)
+        lead = next(i for t, i in members if t == most)
+        out.append((lead, {i: None if t == most else t for t, i in members}))
+    return out
+
+
+def _first_trees(model, rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with the raw prediction of the first ``n`` trees of a boosted model."""
+    margin = F.lit(0.0)
+    for i, (tree, weight) in enumerate(zip(model.trees[:n], model.treeWeights)):
+        rows = tree.setFeaturesCol(FEATURES).setPredictionCol(f"_tree{i}").transform(rows)
+        margin = margin + F.lit(float(weight)) * F.col(f"_tree{i}")
+    return rows.select(LABEL, margin.alias("rawPrediction"))
+
+
 def tune(df: DataFrame, spec: FeatureSpec, kind: str, grid: dict | None = None, folds: int = 3,
          parallelism: int = 4, seed: int = 2019) -> DataFrame:
     """Rows (model, kind, name, value):
     one 'cv_auc' row per grid point (name = the point's parameters), the best
-    point's parameters as 'best_param' rows, and its exact test AUC."""
+    point's parameters as 'best_param' rows, and its exact test AUC.
+
+    Every point is scored on every fold; points of one fit (``shared_fits``) are
+    scored from it."""
     grid = grid or REFERENCE_GRIDS[kind]
+    spark = df.sparkSession
     prep = prepare(df, spec, seed=seed)
     try:
-        train = kfold_assign(prep.train, spec, k=folds, seed=seed)
+        train = kfold_assign(prep.train, spec, k=folds, seed=seed).select(LABEL, FEATURES, WEIGHT, "fold")
         est = make_classifier(kind, seed=seed)
         points = build_grid(est, grid)
         ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
                                            metricName="areaUnderROC", numBins=0)
-        cv = CrossValidator(estimator=est, estimatorParamMaps=points, evaluator=ev, numFolds=folds,
-                            foldCol="fold", parallelism=parallelism, seed=seed)
-        cvm = cv.fit(train)
-        rows = []
-        for pm, m in zip(points, cvm.avgMetrics):
-            label = ",".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-            rows.append((kind, "cv_auc", label, float(m)))
-        best = cvm.bestModel
-        for name in sorted(grid):
-            rows.append((kind, "best_param", name, float(best.getOrDefault(best.getParam(name)))))
-        test_auc = auc_exact(best.transform(prep.test), LABEL, score_column(kind)).first()["auc"]
+        total = [0.0] * len(points)
+        for fold in range(folds):
+            used = solver_rows(train.where(F.col("fold") != fold), kind).persist(StorageLevel.MEMORY_AND_DISK)
+            held = train.where(F.col("fold") == fold).persist(StorageLevel.MEMORY_AND_DISK)
+
+            def fit(job):
+                lead, members = job
+                model = est.copy(points[lead]).fit(used)
+                known = {n: ev.evaluate(_first_trees(model, held, n) if n else model.transform(held))
+                         for n in set(members.values())}
+                return {i: known[n] for i, n in members.items()}
+
+            try:
+                with ThreadPoolExecutor(max(1, parallelism)) as pool:
+                    for scored in pool.map(inheritable_thread_target(spark)(fit), shared_fits(kind, points)):
+                        for i, auc in scored.items():
+                            total[i] += auc
+            finally:
+                used.unpersist()
+                held.unpersist()
+        mean = [t / folds for t in total]
+        rows = [(kind, "cv_auc", _point_name(p), float(m)) for p, m in zip(points, mean)]
+        best = points[max(range(len(points)), key=lambda i: mean[i])]       # the first of equals
+        model = est.copy(best).fit(solver_rows(prep.train, kind))
+        rows += [(kind, "best_param", p.name, float(v)) for p, v in sorted(best.items(), key=lambda kv: kv[0].name)]
+        test_auc = auc_exact(model.transform(prep.test), LABEL, score_column(kind)).first()["auc"]
         rows.append((kind, "metric", "auc_test", float(test_auc)))
-        return df.sparkSession.createDataFrame(rows, "model string, kind string, name string, value double")
+        return spark.createDataFrame(rows, "model string, kind string, name string, value double")
     finally:
         prep.unpersist()
 
@@ -111,7 +159,7 @@ def resumable_search(df: DataFrame, spec: FeatureSpec, kind: str, path: str, gri
 
         def fit(job: tuple[str, int]) -> None:
             point, fold = job
-            model = est.copy(points[point]).fit(train.where(F.col("fold") != fold))
+            model = est.copy(points[point]).fit(solver_rows(train.where(F.col("fold") != fold), kind))
             auc = auc_exact(model.transform(train.where(F.col("fold") == fold)), LABEL, score_column(kind)).first()
             row = [(search, point, fold, auc["auc"] if auc else None)]
             # a folder a fit: writers that end together do not meet
@@ -130,7 +178,7 @@ def resumable_search(df: DataFrame, spec: FeatureSpec, kind: str, path: str, gri
             rows.append((kind, "cv_auc", p, mean[p]))
             rows.append((kind, "cv_spread", p, statistics.pstdev(aucs) if aucs else None))
         best = points[max(points, key=lambda p: (mean[p] == mean[p], mean[p]))]      # the first of equals
-        model = est.copy(best).fit(prep.train)
+        model = est.copy(best).fit(solver_rows(prep.train, kind))
         rows += [(kind, "best_param", p.name, float(v)) for p, v in sorted(best.items(), key=lambda kv: kv[0].name)]
         test = auc_exact(model.transform(prep.test), LABEL, score_column(kind)).first()["auc"]
         rows.append((kind, "metric", "auc_test", test))

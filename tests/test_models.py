@@ -156,3 +156,29 @@ def test_linear_solvers_read_all_rows_in_fewer_tasks(spark):
     for kind in ("lr", "lsvc"):
         read = models.solver_rows(rows, kind)
         assert read.rdd.getNumPartitions() == 15 and read.count() == 1000
+
+
+def test_first_trees_of_a_long_boosting_run_are_the_short_run(planted):
+    df, spec = planted
+    grid = {"maxIter": [2, 5], "maxDepth": [2, 3]}
+    points = tuning.build_grid(models.make_classifier("gbt"), grid)
+    assert sorted(len(members) for _, members in tuning.shared_fits("gbt", points)) == [2, 2]
+    together = {r["name"]: r["value"] for r in tuning.tune(df, spec, "gbt", grid, folds=2).collect() if r["kind"] == "cv_auc"}
+    assert len(together) == 4
+    for iters in (2, 5):
+        for depth in (2, 3):
+            alone = tuning.tune(df, spec, "gbt", {"maxIter": [iters], "maxDepth": [depth]}, folds=2).where("kind = 'cv_auc'").first()
+            assert together[alone["name"]] == pytest.approx(alone["value"], abs=1e-9)
+
+
+def test_points_that_only_differ_in_aggregation_depth_share_a_fit(planted):
+    points = tuning.build_grid(models.make_classifier("lsvc"), tuning.REFERENCE_GRIDS["lsvc"])
+    jobs = tuning.shared_fits("lsvc", points)
+    assert len(points) == 12 and len(jobs) == 6 and sorted(i for _, m in jobs for i in m) == list(range(12))
+    df, spec = planted
+    out = tuning.tune(df, spec, "lr", {"aggregationDepth": [2, 5], "regParam": [0.0, 0.1]}, folds=2).where("kind = 'cv_auc'").collect()
+    assert len(out) == 4
+    for r in out:
+        named = {k: float(v) for k, v in (p.split("=") for p in r["name"].split(","))}
+        alone = tuning.tune(df, spec, "lr", {"aggregationDepth": [int(named["aggregationDepth"])], "regParam": [named["regParam"]]}, folds=2)
+        assert r["value"] == pytest.approx(alone.where("kind = 'cv_auc'").first()["value"], abs=1e-6)
