@@ -190,6 +190,10 @@ class CategoryIndexModel(Transformer, MLReadable, MLWritable):
         self._setDefault(leastRows=0)
         self._set(inputCols=list(columns), indexPath=path, suffix=suffix, leastRows=least_rows)
 
+    def of_least(self, rows: int) -> CategoryIndexModel:
+        """The same index, whose labels of fewer fitted rows count as unseen."""
+        return CategoryIndexModel(self.getOrDefault("inputCols"), self.getOrDefault("indexPath"), self.getOrDefault("suffix"), rows)
+
     def applied_index(self, spark) -> DataFrame:
         """The labels that the stage tells apart: as ranks go by rows, the first of every column."""
         index = load_index(spark, self.getOrDefault("indexPath"))
@@ -208,9 +212,9 @@ class CategoryIndexModel(Transformer, MLReadable, MLWritable):
         return _IndexReader(cls)
 
 
-def fit_category_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx", least_rows: int = 0) -> CategoryIndexModel:
+def fit_category_index(df: DataFrame, columns: Sequence[str], suffix: str = "_idx") -> CategoryIndexModel:
     path = store_index(index_category(df, columns), scratch_path(df.sparkSession, "category-index"))
-    return CategoryIndexModel(columns, path, suffix, least_rows)
+    return CategoryIndexModel(columns, path, suffix)
 
 
 def index_label(df: DataFrame, spec: FeatureSpec, out: str = "label_idx") -> DataFrame:

@@ -21,6 +21,7 @@ checkpoint folder, so a long boosting run keeps a short lineage.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.clean import fill_numeric_zero
-from clickspark.operators.encode import class_weights, fit_category_index, one_hot_encoder
+from clickspark.operators.encode import class_weights, fit_category_index, label_sizes, one_hot_encoder
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
 from clickspark.operators.select import select_features
@@ -93,6 +94,8 @@ MAX_SMALL_PARTITIONS = 24
 MAX_ROWS_PER_ML_PARTITION = 2_000_000
 #: Linear solvers make short passes, and the most of them; their sums do not hang on the layout.
 LINEAR_PARTITIONS = 12
+#: One-hot slots up to which every label goes to the solver: its vectors pass through the driver.
+MAX_SLOTS = 200_000
 
 
 def ml_partitions(n_rows: int) -> int:
@@ -112,16 +115,44 @@ def solver_rows(rows: DataFrame, kind: str) -> DataFrame:
     return rows.coalesce(max(LINEAR_PARTITIONS, parts // 2)) if parts > LINEAR_PARTITIONS else rows
 
 
-def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec, one_hot: bool = False) -> PipelineModel:
+def least_label_rows(l1: float, rows: int, positives: int, weighted: bool) -> int:
+    """Train rows that a label needs for its one-hot coefficient to leave zero under an
+    L1 penalty ``l1`` on standardised features; 0 without a penalty.
+
+    With p the label's share of the weight, its standardised, centred feature has a
+    mean absolute value of at most 2 p (1 - p) / sqrt(p (1 - p)) <= 2 sqrt(p). No row's
+    error exceeds 1, so this bounds the slope of the loss along the coefficient at
+    every point. Up to ``l1`` the coefficient stays at zero in every step from a start
+    at zero, and is zero in the optimum. p <= n * largest weight / total weight; with
+    class weights that quotient is 2 * the smaller class's rows."""
+    total = 2 * min(positives, rows - positives) if weighted else rows
+    return math.floor(l1 * l1 * total / 4) + 1 if l1 > 0 else 0
+
+
+def l1_penalty(kind: str, params: dict) -> float:
+    """L1 penalty on standardised features; 0 where the solver has none."""
+    if kind != "lr" or not params.get("standardization", True):
+        return 0.0
+    return params.get("regParam", 0.0) * params.get("elasticNetParam", 0.0)
+
+
+def fit_feature_pipeline(train: DataFrame, spec: FeatureSpec, one_hot: bool = False, least_rows: int = 0) -> PipelineModel:
     """Category index -> assembler -> scaler, fitted on ``train``. One index for
     every categorical column, whatever its number of labels. With ``one_hot`` every
     label is a feature of its own: vectors stay sparse from the index to the solver,
-    and the model holds one coefficient per label."""
+    and the model holds one coefficient per label. Above ``MAX_SLOTS`` labels, those with
+    fewer than ``least_rows`` rows, whose coefficient is known to be zero
+    (``least_label_rows``), take no slot."""
     stages = [fit_category_index(train, spec.categorical)] if spec.categorical else []
     names = feature_names(spec)
     if one_hot and spec.categorical:
-        stages.append(one_hot_encoder(spec.categorical))
-        names = [*spec.numeric, *[c + "_vec" for c in spec.categorical]]
+        labels = label_sizes(stages[0].applied_index(train.sparkSession))
+        if least_rows and sum(labels.values()) > MAX_SLOTS:
+            stages[0] = stages[0].of_least(least_rows)
+            labels = label_sizes(stages[0].applied_index(train.sparkSession))
+        wide = [c for c in spec.categorical if labels.get(c)]
+        stages += [one_hot_encoder(wide)] if wide else []
+        names = [*spec.numeric, *[c + "_vec" for c in wide]]
     stages += [VectorAssembler(inputCols=names, outputCol="features"),
                StandardScaler(inputCol="features", outputCol=FEATURES, withStd=True, withMean=False)]
     return Pipeline(stages=stages).fit(train)
@@ -141,7 +172,8 @@ class Prepared:
 
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
             persist: bool = True, materialize: str = "persist", fit_scope: str = "train",
-            selection: tuple[str, float] | None = None, one_hot: bool = False) -> Prepared:
+            selection: tuple[str, float] | None = None, one_hot: bool = False, l1: float = 0.0,
+            weighted: bool = True) -> Prepared:
     """Steps 1-5 of the module docstring.
 
     The base table (joins, fill, split) is persisted while the feature pipeline
@@ -160,7 +192,9 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
 
     ``selection`` is a (mode, threshold) of ``select.univariate_select``: features
     are selected on the train rows, and both parts have the selected ones only.
-    ``one_hot``: see ``fit_feature_pipeline``.
+    ``one_hot``: see ``fit_feature_pipeline``. ``l1``, ``weighted``: the penalty of the
+    fit to come and whether it uses the class weights; labels whose one-hot coefficient
+    is zero under it take no slot.
     """
     if materialize not in ("persist", "write"):
         raise ValueError("materialize must be 'persist' or 'write'")
@@ -170,7 +204,7 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     ensure_checkpoint_dir(spark)
     base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
     base = hash_split(base, spec, train_fraction, seed)
-    parts, ratio = None, None
+    parts, ratio, least = None, None, 0
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
         # one pass over the persisted base gives the row count (partition sizing)
@@ -180,10 +214,12 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
                        F.count_if(is_train & (F.col(spec.label) == 1)).alias("_pt")).first()
         parts = ml_partitions(row["_n"])
         ratio = (row["_nt"] - row["_pt"]) / row["_nt"] if row["_nt"] else 0.5
+        if one_hot and fit_scope == "train":
+            least = least_label_rows(l1, row["_nt"], row["_pt"], weighted)
     train_raw = base.where(F.col("split") == "train")
     if selection:
         spec = select_features(train_raw, spec, *selection)
-    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec, one_hot)
+    pipe = fit_feature_pipeline(train_raw if fit_scope == "train" else base, spec, one_hot, least)
     keep = [*spec.key, spec.label, LABEL, FEATURES]
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT,
                           ratio=ratio)
@@ -256,8 +292,10 @@ def evaluate(result: TrainResult, spec: FeatureSpec) -> DataFrame:
 def train_report(df: DataFrame, spec: FeatureSpec, kind: str, params: dict | None = None,
                  weighted: bool | None = None, selection: tuple[str, float] | None = None, one_hot: bool = False) -> DataFrame:
     """The rows of ``evaluate``; with a ``selection``, also one row per selected feature."""
-    prep = prepare(df, spec, selection=selection, one_hot=one_hot)
-    res = train(prep, kind, weighted=weighted, **(params if params is not None else REFERENCE_PARAMS[kind]))
+    params = params if params is not None else REFERENCE_PARAMS[kind]
+    prep = prepare(df, spec, selection=selection, one_hot=one_hot, l1=l1_penalty(kind, params),
+                   weighted=kind == "lr" if weighted is None else weighted)
+    res = train(prep, kind, weighted=weighted, **params)
     try:
         report = evaluate(res, spec)
         if not selection:

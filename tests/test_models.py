@@ -182,3 +182,35 @@ def test_points_that_only_differ_in_aggregation_depth_share_a_fit(planted):
         named = {k: float(v) for k, v in (p.split("=") for p in r["name"].split(","))}
         alone = tuning.tune(df, spec, "lr", {"aggregationDepth": [int(named["aggregationDepth"])], "regParam": [named["regParam"]]}, folds=2)
         assert r["value"] == pytest.approx(alone.where("kind = 'cv_auc'").first()["value"], abs=1e-6)
+
+
+def test_labels_that_the_penalty_holds_at_zero_take_no_slot(spark, monkeypatch):
+    """The same model with a slot for every label has zeros for them, and the same predictions."""
+    monkeypatch.setattr(models, "MAX_SLOTS", 100)
+    df = spark.range(4000).select(
+        "id", (F.pmod(F.xxhash64("id"), F.lit(10)) < F.when(F.col("id") % 3 == 0, 7).otherwise(2)).cast("int").alias("label"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) / 10).alias("x"), (F.col("id") % 3).cast("string").alias("few"),
+        F.floor(F.col("id") / 3).cast("string").alias("many"))
+    spec = FeatureSpec(("id",), "label", ("x",), ("few", "many"))
+    params = {"regParam": 0.2, "elasticNetParam": 0.5}
+    l1 = models.l1_penalty("lr", params)
+    slim, full = models.prepare(df, spec, one_hot=True, l1=l1), models.prepare(df, spec, one_hot=True)
+    try:
+        a, b = models.train(slim, "lr", **params), models.train(full, "lr", **params)
+        assert a.model.numFeatures == 1 + 3 and b.model.numFeatures > 1000
+        kept, every = a.model.coefficients.toArray(), b.model.coefficients.toArray()
+        assert abs(kept).max() > 0.01 and kept == pytest.approx(every[:4], abs=1e-5) and not every[4:].any()
+        pa, pb = (dict(r.pred_test.select("id", models.score_column("lr")).collect()) for r in (a, b))
+        assert pa == pytest.approx(pb, abs=1e-5) and len(pa) > 1000
+    finally:
+        slim.unpersist()
+        full.unpersist()
+
+
+def test_no_label_is_left_out_without_an_l1_penalty():
+    assert models.l1_penalty("lr", {"regParam": 0.1}) == models.l1_penalty("lr", {"elasticNetParam": 0.5}) == 0
+    assert models.l1_penalty("lr", {"regParam": 0.1, "elasticNetParam": 0.5, "standardization": False}) == 0
+    assert models.l1_penalty("lsvc", {"regParam": 0.1}) == 0
+    assert models.least_label_rows(0.0, 10**9, 10**8, True) == 0
+    assert models.least_label_rows(0.005, 36_000_000, 9_000_000, True) == 113
+    assert models.least_label_rows(0.005, 36_000_000, 0, True) == 1        # every label of the table
