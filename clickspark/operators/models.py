@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.operators.clean import fill_numeric_zero
+from clickspark.operators.collinear import without_correlated
 from clickspark.operators.encode import class_weights, fit_category_index, label_sizes, one_hot_encoder
 from clickspark.operators.evaluate import auc_exact, weighted_metrics
 from clickspark.operators.sample import hash_split
 from clickspark.operators.select import select_features
-from clickspark.session import ensure_checkpoint_dir, scratch_path
+from clickspark.session import discard, ensure_checkpoint_dir, scratch_path, store
 from clickspark.spec import FeatureSpec
 
 LABEL, FEATURES, WEIGHT = "label_d", "scaled_features", "class_weight"
@@ -173,7 +174,7 @@ class Prepared:
 def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed: int = 2019,
             persist: bool = True, materialize: str = "persist", fit_scope: str = "train",
             selection: tuple[str, float] | None = None, one_hot: bool = False, l1: float = 0.0,
-            weighted: bool = True) -> Prepared:
+            weighted: bool = True, uncorrelated: float | None = None) -> Prepared:
     """Steps 1-5 of the module docstring.
 
     The base table (joins, fill, split) is persisted while the feature pipeline
@@ -184,7 +185,10 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     ``materialize="persist"`` keeps the featurised tables in executor memory and
     disk (a lost executor's blocks are recomputed through the lineage);
     ``"write"`` writes them as Parquet into the shared checkpoint folder and
-    reads them back, cutting the lineage for long training jobs.
+    reads them back, cutting the lineage for long training jobs. ``"rows"`` is for a ``df`` of
+    ``store``: the base table replaces its files, and the vectors are computed in every pass. Rows with
+    their keys and vectors are neither shuffled nor kept, which takes several times the disk (tables of one
+    partition are). For fits that make few passes over the table themselves, such as linear ones.
 
     ``fit_scope="all"`` fits the indexer and scaler on all rows before the
     split -- test rows leak into the features -- and exists only to measure
@@ -192,22 +196,30 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
 
     ``selection`` is a (mode, threshold) of ``select.univariate_select``: features
     are selected on the train rows, and both parts have the selected ones only.
+    ``uncorrelated`` is a threshold of ``collinear.drop_correlated``: of the numeric features,
+    those are left that it keeps on the train rows as they are before the fill.
     ``one_hot``: see ``fit_feature_pipeline``. ``l1``, ``weighted``: the penalty of the
     fit to come and whether it uses the class weights; labels whose one-hot coefficient
     is zero under it take no slot.
     """
-    if materialize not in ("persist", "write"):
-        raise ValueError("materialize must be 'persist' or 'write'")
+    if materialize not in ("persist", "write", "rows"):
+        raise ValueError("materialize must be 'persist', 'write' or 'rows'")
     if fit_scope not in ("train", "all"):
         raise ValueError("fit_scope must be 'train' or 'all'")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    base = fill_numeric_zero(df, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
-    base = hash_split(base, spec, train_fraction, seed)
+    rows = hash_split(df, spec, train_fraction, seed)
+    if persist and materialize == "rows":
+        rows = store(rows, "base")
+        discard(df)
+    if uncorrelated is not None:
+        spec = without_correlated(rows.where(F.col("split") == "train"), spec, uncorrelated)
+    base = fill_numeric_zero(rows, list(spec.numeric)).withColumn(LABEL, F.col(spec.label).cast("double"))
     parts, ratio, least = None, None, 0
     if persist:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        # one pass over the persisted base gives the row count (partition sizing)
+        if materialize != "rows":
+            base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        # one pass over the kept base gives the row count (partition sizing)
         # and the class ratio of the train rows
         is_train = F.col("split") == "train"
         row = base.agg(F.count(F.lit(1)).alias("_n"), F.count_if(is_train).alias("_nt"),
@@ -224,7 +236,7 @@ def prepare(df: DataFrame, spec: FeatureSpec, train_fraction: float = 0.7, seed:
     train = class_weights(pipe.transform(train_raw).select(*keep), spec, fit_on=train_raw, col=WEIGHT,
                           ratio=ratio)
     test = pipe.transform(base.where(F.col("split") == "test")).select(*keep).withColumn(WEIGHT, F.lit(1.0))
-    if persist:
+    if persist and not (materialize == "rows" and parts > 1):
         # every fit makes many passes: spread the rows (AQE may have coalesced the
         # join output to a few partitions); hashing and sorting by the key keeps
         # the layout identical on any cluster and when a lost partition is recomputed
@@ -290,14 +302,16 @@ def evaluate(result: TrainResult, spec: FeatureSpec) -> DataFrame:
 
 
 def train_report(df: DataFrame, spec: FeatureSpec, kind: str, params: dict | None = None,
-                 weighted: bool | None = None, selection: tuple[str, float] | None = None, one_hot: bool = False) -> DataFrame:
-    """The rows of ``evaluate``; with a ``selection``, also one row per selected feature."""
+                 weighted: bool | None = None, selection: tuple[str, float] | None = None, one_hot: bool = False,
+                 uncorrelated: float | None = None, materialize: str = "persist") -> DataFrame:
+    """The rows of ``evaluate``; with a ``selection``, also one row per selected feature.
+    ``uncorrelated`` and ``materialize``: see ``prepare``."""
     params = params if params is not None else REFERENCE_PARAMS[kind]
     prep = prepare(df, spec, selection=selection, one_hot=one_hot, l1=l1_penalty(kind, params),
-                   weighted=kind == "lr" if weighted is None else weighted)
+                   weighted=kind == "lr" if weighted is None else weighted, uncorrelated=uncorrelated, materialize=materialize)
     res = train(prep, kind, weighted=weighted, **params)
     try:
-        report = evaluate(res, spec)
+        report = evaluate(res, prep.spec)
         if not selection:
             return report
         chosen = df.sparkSession.createDataFrame([(kind, f"selected_{c}", 1.0) for c in prep.spec.features], report.schema)

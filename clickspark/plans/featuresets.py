@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickspark.session import discard, store
 from clickspark.sources import read_table
 from clickspark.spec import FeatureSpec
 
@@ -52,7 +53,9 @@ def events_to_clicks(ev: DataFrame) -> DataFrame:
     )
 
 
-def lineitem_returns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeatureSpec]:
+def lineitem_returns(spark: SparkSession, sf_dir: str, stored: bool = False) -> tuple[DataFrame, FeatureSpec]:
+    """``stored``: the rows are written after each of the joins with orders, part and supplier, so that the
+    disk holds the shuffle of one join at a time, and the result reads scratch files only."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
@@ -62,9 +65,14 @@ def lineitem_returns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Featu
     supp = (read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
             .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", "n_name"))
-    joined = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(part, F.col("l_partkey") == F.col("p_partkey"))
-                .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
+    joined = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if stored:
+        first = store(joined.drop("o_orderkey"), "joined-orders")
+        second = joined = store(first.join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey"), "joined-part")
+        discard(first)
+    else:
+        joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    joined = joined.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
     df = joined.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"),
@@ -76,6 +84,9 @@ def lineitem_returns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Featu
         F.when(F.col("p_brand") == "Brand#1", F.lit("")).otherwise(F.col("p_brand")).alias("p_brand"),
         "p_type", "o_orderpriority", "n_name",
     )
+    if stored:
+        df = store(df, "joined")
+        discard(second)
     return df, FS_L
 
 

@@ -298,7 +298,7 @@ _L_CHARGE = "fs_x AS (SELECT *, l_extendedprice * (1.0 + coalesce(l_tax, 0.0)) A
 
 @register("drop_correlated", _drop_correlated_sql([*L_NUM, "charge"], 0.9))
 def q_drop_correlated(spark, sf):
-    df, spec = lineitem_returns(spark, sf)
+    df, spec = lineitem_returns(spark, sf, stored=True)
     df = df.withColumn("charge", F.col("l_extendedprice") * (1.0 + F.coalesce("l_tax", F.lit(0.0))))
     return rounded(collinear.drop_correlated(df, spec, 0.9, [*spec.numeric, "charge"]))
 
@@ -1149,10 +1149,10 @@ def q_train_lr_one_hot(spark, sf):
 @register("train_lr_uncorrelated")
 def q_train_lr_uncorrelated(spark, sf):
     """Trained on the numeric columns that ``drop_correlated`` keeps on the train rows."""
-    df, spec = lineitem_returns(spark, sf)
+    df, spec = lineitem_returns(spark, sf, stored=True)
     df = df.withColumn("charge", F.col("l_extendedprice") * (1.0 + F.coalesce("l_tax", F.lit(0.0))))
     wide = FeatureSpec(spec.key, spec.label, (*spec.numeric, "charge"), spec.categorical)
-    return models.train_report(df, collinear.without_correlated(sample.train_test(df, wide)[0], wide, 0.9), "lr")
+    return models.train_report(df, wide, "lr", uncorrelated=0.9, materialize="rows")
 
 
 def _preview_query(kind: str, negatives_first: bool):

@@ -8,7 +8,8 @@ from collections import Counter
 import numpy as np
 import pytest
 from clickspark.operators import collinear, importance, models, sample, splits
-from clickspark.plans.featuresets import events_clicks
+from clickspark.plans.featuresets import events_clicks, lineitem_returns
+from clickspark.session import discard, store
 from clickspark.spec import FeatureSpec
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -170,3 +171,36 @@ def test_stratified_sample_is_exact(spark, monkeypatch, ordered):
             assert got[y] == want
             assert {k for k, l in picked if l == y} == set(_rank([k for k, l in rows if l == y], "-exact-3")[:want])
     assert sample.sample_exact_by_label(df.limit(0), spec, {0: 5, 1: 0.5}).count() == 0
+
+
+def test_uncorrelated_features_are_chosen_on_the_train_rows_of_the_stored_table(spark, planted, monkeypatch):
+    """One stored table serves the choice, the fit and the metrics; vectors are neither shuffled nor kept."""
+    df = planted.withColumn("a", F.when(F.col("id") % 7 > 0, F.col("a")))       # correlated where both have values
+    train = sample.train_test(df, SPEC)[0]
+    want = models.train_report(df, collinear.without_correlated(train, SPEC, 0.8), "lr", {"maxIter": 5}).collect()
+    got = models.train_report(store(df, "test"), SPEC, "lr", {"maxIter": 5}, uncorrelated=0.8, materialize="rows").collect()
+    assert got == want                                      # one partition: the same rows in the same order
+    monkeypatch.setattr(models, "ROWS_PER_ML_PARTITION", 100)
+    source = store(df, "test")
+    prep = models.prepare(source, SPEC, uncorrelated=0.8, materialize="rows")
+    assert prep.spec == collinear.without_correlated(train, SPEC, 0.8)
+    plan = prep.train._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" not in plan and "hashpartitioning" not in plan and "clickspark-base" in prep.train.inputFiles()[0]
+    with pytest.raises(Exception):
+        source.count()                                      # its files were scratch
+    values = {r.metric: r.value for r in models.evaluate(models.train(prep, "lr", maxIter=5), prep.spec).collect()}
+    assert values == pytest.approx({r.metric: r.value for r in want})
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet(f"{SF_SMALL}/nation.parquet"))
+
+
+def test_stored_rows_leave_no_shuffle_behind(spark):
+    rows = store(spark.range(5000).repartition(7, "id").groupBy((F.col("id") % 50).alias("k")).count(), "test")
+    assert rows.count() == 50 and rows.agg(F.sum("count")).first()[0] == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_stored_joins_of_lineitem_are_the_joins(spark):
+    plain, stored = (lineitem_returns(spark, SF_SMALL, stored=s)[0] for s in (False, True))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, stored.collect()))
+    assert all("clickspark-joined" in f for f in stored.inputFiles())
